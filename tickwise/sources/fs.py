@@ -17,6 +17,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs_and_path(spark, path)
+    fs.mkdirs(hpath)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """Fully qualified form of ``path`` (scheme and authority), as Spark reports file paths."""
+    fs, hpath = _fs_and_path(spark, path)
+    return str(fs.makeQualified(hpath).toString()).rstrip("/")
+
+
 def clear_folder(spark: SparkSession, path: str) -> int:
     """Delete every child of ``path`` (creating the folder if missing); returns the number deleted.
 
