@@ -72,10 +72,11 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str,
         broadcast = check_size(lookup, max_rows, max_bytes).bounded
     if broadcast:
         return facts.join(F.broadcast(lookup), keys, how)
+    # Size not proven: pin a sort-merge join so no estimate can turn the lookup into a broadcast.
     if salt_buckets <= 1:
-        return facts.join(lookup, keys, how)
+        return facts.join(lookup.hint("merge"), keys, how)
     # Deterministic salt from the row content, so a retried task routes every row the same way.
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salt_buckets)))
-    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                   .cast("long"))
-    return salted.join(replicated, [*keys, "_salt"], how).drop("_salt")
+    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                 F.lit(salt_buckets - 1).cast("long"))))
+    return salted.join(replicated.hint("merge"), [*keys, "_salt"], how).drop("_salt")

@@ -12,10 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.config import use_utc
+from tickwise.config import Settings, scratch_path, use_utc
 from tickwise.functions import encode, parse, snapshot
 from tickwise.operators import enrich as enrich_op
 from tickwise.operators import grid, latest, summary, windows
+from tickwise.plans import inspection
+from tickwise.schemas import ENRICHED_FIELDS
 from tickwise.sources import tables
 
 ROUND = 6
@@ -155,6 +157,37 @@ def key_profile(spark, sf):
     return summary.key_profile(_enriched(spark, sf))
 
 
+def _inspected(spark, sf) -> inspection.InspectionReport:
+    """Store the enriched ticks as a flat Parquet folder, then run the inspection report over it."""
+    root = scratch_path(spark, "stored_table")
+    stored = _enriched(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    stored.select(*ENRICHED_FIELDS).write.mode("append").parquet(root)
+    settings = Settings(database="tickwise_inspect", table="ticks_" + root.rsplit("/", 1)[-1][:12],
+                        output_path=root)
+    return inspection.inspect(spark, settings)
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def inspection_row_count(spark, sf):
+    return _inspected(spark, sf).frames["row_count"]
+
+
+def inspection_time_range(spark, sf):
+    return _ntz(_inspected(spark, sf).frames["time_range"], "first_event_timestamp",
+                "latest_event_timestamp")
+
+
+def inspection_rows_by_symbol(spark, sf):
+    return _inspected(spark, sf).frames["rows_by_symbol"]
+
+
+def inspection_recent_sample(spark, sf):
+    return _ntz(_inspected(spark, sf).frames["recent_sample"], "timestamp")
+
+
 QUERIES: dict[str, Query] = {
     "window_stats_from_messages": window_stats_from_messages,
     "window_stats_2s": _stats("2 seconds"),
@@ -183,6 +216,10 @@ QUERIES: dict[str, Query] = {
     "symbol_slice": symbol_slice,
     "sample_10": sample_10,
     "key_profile": key_profile,
+    "inspection_row_count": inspection_row_count,
+    "inspection_time_range": inspection_time_range,
+    "inspection_rows_by_symbol": inspection_rows_by_symbol,
+    "inspection_recent_sample": inspection_recent_sample,
 }
 
 # ---------------------------------------------------------------------------------------------------
@@ -336,3 +373,11 @@ ORACLE_SQL: dict[str, str] = {
                     "min(timestamp) AS first_event_timestamp, max(timestamp) AS latest_event_timestamp "
                     f"FROM ({_ENRICHED}) s GROUP BY ALL"),
 }
+ORACLE_SQL.update({
+    "inspection_row_count": "SELECT count(*) AS record_count FROM events",
+    "inspection_time_range": ORACLE_SQL["time_range"],
+    "inspection_rows_by_symbol": ORACLE_SQL["rows_by_symbol_name_category"],
+    # Event times are unique in the shared table, so the newest 20 rows are well defined.
+    "inspection_recent_sample": (f"SELECT symbol, coin_name, category, price, timestamp FROM ({_ENRICHED}) s "
+                                 "ORDER BY timestamp DESC LIMIT 20"),
+})
