@@ -82,11 +82,20 @@ SESSION_CONF = {
 
 
 def build_session(app_name: str = "tickwise", master: str | None = None,
-                  settings: Settings | None = None, extra: dict | None = None) -> SparkSession:
+                  settings: Settings | None = None, extra: dict | None = None,
+                  raw_local_files: bool = False) -> SparkSession:
+    """Session with the options above.
+
+    ``raw_local_files`` makes ``file:`` paths skip Hadoop's hidden ``.crc`` side files, so a table folder
+    on a local or mounted disk holds only data files. It is off by default: the RocksDB state store
+    cannot commit its checkpoints through that file system. Cluster stores have no side files.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
+    if raw_local_files:
+        conf["spark.hadoop.fs.file.impl"] = "org.apache.hadoop.fs.RawLocalFileSystem"
     if settings is not None:
         conf["spark.sql.warehouse.dir"] = settings.warehouse_dir
     conf.update(extra or {})
