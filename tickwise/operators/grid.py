@@ -4,9 +4,12 @@ For every key: the newest bucket ``B`` (bucket of the newest tick), then every b
 ``floor(B - history)`` to ``B + lookahead`` inclusive, each with the last price of that bucket or null.
 
 Only the ticks inside each key's chart frame are aggregated: a first pass finds each key's newest event
-time (a partial aggregation, one tiny row per key), the frame table is joined back to the ticks (a
-broadcast when its size is proven small, a salted shuffle join otherwise) and filtered, so the
-last-in-bucket aggregation touches minutes of data per key instead of its whole history.
+time (a partial aggregation, one tiny row per key) and is checkpointed to the shared checkpoint folder,
+so it is computed once and reused by both branches below. The earliest frame start is then pushed into
+the second scan as a literal bound (Parquet row groups older than every frame are skipped), the frame
+table is joined back to the ticks (a broadcast when its size is proven small, a salted shuffle join
+otherwise) and filtered per key, so the last-in-bucket aggregation touches minutes of data per key
+instead of its whole history.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.config import shared_dir
 from tickwise.functions.timefns import bucket_series, bucket_start, shift, time_label
 from tickwise.operators.joins import lookup_join
 from tickwise.operators.latest import last_in_bucket
@@ -47,8 +51,17 @@ def dense_trend_grid(ticks: DataFrame, key: str = "symbol", timestamp: str = "ti
     """
     width = f"{bucket_seconds} seconds"
     frames = chart_frames(ticks, key, timestamp, bucket_seconds, history_minutes, lookahead_seconds)
-    in_frame = (lookup_join(ticks.select(key, timestamp, price, *tie_breakers),
-                            frames.select(key, "grid_start"), key, "inner", broadcast=broadcast)
+    if not ticks.isStreaming:
+        shared_dir(ticks.sparkSession)  # make sure a checkpoint folder is configured
+        frames = frames.checkpoint(eager=True)
+    recent = ticks.select(key, timestamp, price, *tie_breakers)
+    if not ticks.isStreaming:
+        # Rendered and parsed back by Spark in the session zone, so no driver-side time zone is involved.
+        earliest = frames.agg(F.date_format(F.min("grid_start"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        if earliest is not None:
+            ts_type = dict(ticks.dtypes)[timestamp]
+            recent = recent.filter(F.col(timestamp) >= F.lit(earliest).cast(ts_type))
+    in_frame = (lookup_join(recent, frames.select(key, "grid_start"), key, "inner", broadcast=broadcast)
                 .filter(F.col(timestamp) >= F.col("grid_start")))
     points = last_in_bucket(in_frame, width, key, price, timestamp, tie_breakers)
     grid = frames.select(key, F.explode(bucket_series("grid_start", "grid_end", bucket_seconds))
