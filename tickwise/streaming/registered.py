@@ -62,9 +62,10 @@ def _stats_run(spark: SparkSession, sf: str, order=None) -> DataFrame:
     out = f"{root}/out"
     replay = _replay(spark, sf, root)
     stream = _enriched_stream(spark, sf, replay.stage_path)
+    parts = sq.state_partitions(spark, replay.rows_per_slice())
     replay.run(lambda: sq.window_stats_query(
         stream, f"{root}/checkpoint", versioned_writer(out), "2 seconds", "2 seconds", STAT_KEYS,
-        output_mode="update", trigger={"availableNow": True}), order)
+        output_mode="update", trigger={"availableNow": True}, partitions=parts), order)
     final = latest_updates(spark, out, ["window_start", "window_end", *STAT_KEYS])
     return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *STAT_KEYS,

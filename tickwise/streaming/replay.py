@@ -25,14 +25,16 @@ def _micros(col: str):
     return F.unix_micros(c.cast("timestamp"))
 
 
-def slice_bounds(df: DataFrame, time_col: str, n: int) -> list[tuple[int, int]]:
-    """``n`` half-open event-time ranges in epoch microseconds covering every row (one small job)."""
-    row = df.agg(F.min(_micros(time_col)).alias("lo"), F.max(_micros(time_col)).alias("hi")).first()
+def slice_bounds(df: DataFrame, time_col: str, n: int) -> tuple[list[tuple[int, int]], int]:
+    """``n`` half-open event-time ranges in epoch microseconds covering every row, and the row count
+    (one small aggregation job)."""
+    row = df.agg(F.min(_micros(time_col)).alias("lo"), F.max(_micros(time_col)).alias("hi"),
+                 F.count(F.lit(1)).alias("n")).first()
     if row["lo"] is None:
-        return []
+        return [], 0
     lo, span = int(row["lo"]), int(row["hi"]) - int(row["lo"]) + 1
     edges = [lo + (span * k) // n for k in range(n + 1)]
-    return list(zip(edges[:-1], edges[1:]))
+    return list(zip(edges[:-1], edges[1:])), int(row["n"])
 
 
 @dataclass
@@ -50,9 +52,13 @@ class SliceReplay:
 
     def bounds(self) -> list[tuple[int, int]]:
         if not hasattr(self, "_bounds"):
-            self._bounds = slice_bounds(self.source, self.time_col, self.n_slices)
+            self._bounds, self._rows = slice_bounds(self.source, self.time_col, self.n_slices)
         return self._bounds
 
+    def rows_per_slice(self) -> int:
+        self.bounds()
+        return -(-self._rows // max(self.n_slices, 1))
+
     def stage(self, k: int) -> None:
         lo, hi = self.bounds()[k]
         t = _micros(self.time_col)
