@@ -105,3 +105,22 @@ def clear_location(spark: SparkSession, path: str, table: str | None = None) ->
     if table:
         spark.catalog.refreshTable(table)
     return deleted
+
+
+def compact(spark: SparkSession, source_path: str, target_path: str, rows_per_file: int = 5_000_000,
+            sort_by: str = "timestamp") -> DataFrame:
+    """Rewrite a folder of many small micro-batch files into large, time-ordered files in a new folder.
+
+    Streaming appends leave one small file per task and trigger. The rewrite range-partitions by event
+    time (sampled boundaries, no single-task sort) so each output file covers a contiguous time range,
+    which makes row-group pruning on time effective. The target must be a different folder: a folder
+    written by the streaming file sink is governed by its metadata log. Returns the compacted table.
+    """
+    if source_path.rstrip("/") == target_path.rstrip("/"):
+        raise ValueError("compaction writes to a different folder")
+    df = spark.read.parquet(source_path)
+    total = df.count()
+    files = max(1, -(-total // rows_per_file))
+    (df.repartitionByRange(files, sort_by).sortWithinPartitions(sort_by)
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(target_path))
+    return spark.read.parquet(target_path)
