@@ -79,3 +79,20 @@ def test_salted_join_matches_broadcast(spark):
     assert sorted(map(tuple, bcast.select("k", "v", "w").collect())) == expected
     inner = lookup_join(facts, dim.filter("k < 10"), "k", "inner", broadcast=False, salt_buckets=4)
     assert inner.count() == facts.filter("k < 10").count()
+
+
+def test_salting_spreads_a_hot_key_over_tasks(spark):
+    """A key holding most facts is joined by several tasks, not one."""
+    facts = spark.range(0, 30000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(1)
+                                          .alias("k"), F.col("id").alias("v"))
+    dim = spark.range(0, 7).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # keep tiny shuffle partitions apart so task placement is visible
+    try:
+        joined = lookup_join(facts, dim, "k", "left", broadcast=False, salt_buckets=8)
+        tasks = joined.filter("k = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+        plain = (facts.join(dim.hint("merge"), "k", "left").filter("k = 1")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.set(key, "true")
+    assert plain == 1 and tasks > 1

@@ -56,7 +56,7 @@ def _replay(spark: SparkSession, sf: str, root: str) -> SliceReplay:
     return SliceReplay(_messages(spark, sf), "ts", f"{root}/stage", ["json"], "text", SLICES)
 
 
-def _stats_run(spark: SparkSession, sf: str, order=None) -> DataFrame:
+def _stats_run(spark: SparkSession, sf: str, order=None, output_mode: str = "update") -> DataFrame:
     use_utc(spark)
     root = scratch_path(spark, "stream_window_stats")
     out = f"{root}/out"
@@ -65,7 +65,7 @@ def _stats_run(spark: SparkSession, sf: str, order=None) -> DataFrame:
     parts = sq.state_partitions(spark, replay.rows_per_slice())
     replay.run(lambda: sq.window_stats_query(
         stream, f"{root}/checkpoint", versioned_writer(out), "2 seconds", "2 seconds", STAT_KEYS,
-        output_mode="update", trigger={"availableNow": True}, partitions=parts), order)
+        output_mode=output_mode, trigger={"availableNow": True}, partitions=parts), order)
     final = latest_updates(spark, out, ["window_start", "window_end", *STAT_KEYS])
     return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *STAT_KEYS,
@@ -83,6 +83,12 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _stats_run(spark, sf, LATE_ORDER)
 
 
+def stream_window_stats_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Append mode: each window is emitted once, when the watermark passes its end. Windows still open
+    when the replay ends (end after the newest event time minus 2 s) are never emitted."""
+    return _stats_run(spark, sf, output_mode="append")
+
+
 def _stored(df: DataFrame) -> DataFrame:
     return df.select(
         "user_id", "coin_name", "category", "event_id", "symbol", "price",
@@ -132,8 +138,16 @@ def _late_sql() -> str:
     return edges + _stats_sql("2 seconds", "symbol, coin_name, category", kept)
 
 
+def _append_sql() -> str:
+    # Spark keeps the watermark in milliseconds: newest event time (ms) minus the 2 s delay.
+    closed = ("SELECT * FROM ({stats}) s WHERE epoch_ms(window_end) <= "
+              "(SELECT epoch_ms(max(ts)) - 2000 FROM events)")
+    return closed.format(stats=BATCH_SQL["window_stats_from_messages"])
+
+
 QUERIES = {
     "stream_window_stats": stream_window_stats,
+    "stream_window_stats_append": stream_window_stats_append,
     "stream_late_rows": stream_late_rows,
     "stream_raw_store": stream_raw_store,
     "stream_flat_store": stream_flat_store,
@@ -142,6 +156,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "stream_window_stats": BATCH_SQL["window_stats_from_messages"],
+    "stream_window_stats_append": _append_sql(),
     "stream_late_rows": _late_sql(),
     "stream_raw_store": _ENRICHED,
     "stream_flat_store": _ENRICHED,
