@@ -1,5 +1,14 @@
 """Settings from the environment and connector option builders."""
 
+import os
+
+import pytest
+
+from tickwise.functions.encode import kafka_records
+from tickwise.functions.parse import parse_ticks
+from tickwise.sources.files import replay_stream
+from tickwise.streaming.queries import kafka_sink_query
+
 from tickwise.config import Settings, scratch_path, shared_dir
 from tickwise.sources import kafka
 
@@ -27,3 +36,12 @@ def test_scratch_folders_are_fresh_and_shared(spark):
     base = shared_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(base)
+
+
+def test_kafka_sink_query_is_wired(spark, workdir):
+    """The sink asks Spark for the kafka data source; without the connector Spark says it is missing."""
+    os.makedirs(os.path.join(workdir, "in"))
+    ticks = parse_ticks(replay_stream(spark, os.path.join(workdir, "in")).withColumnRenamed("value", "json"))
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND|Failed to find data source: kafka"):
+        kafka_sink_query(kafka_records(ticks), kafka.sink_options(Settings()), os.path.join(workdir, "c"),
+                         trigger={"availableNow": True}).awaitTermination()

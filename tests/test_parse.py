@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import pytest
+from hypothesis import given, settings as hsettings, strategies as st
 from pyspark.sql import functions as F
 
 from tickwise.functions.encode import kafka_records, tick_json
@@ -122,3 +123,20 @@ def test_lenient_normalise_keeps_existing_columns(spark):
 def test_nan_price_dropped_from_typed_input(spark, price):
     df = spark.createDataFrame([("BTC", price, UTC_NOON)], "symbol string, price double, timestamp timestamp_ntz")
     assert normalize_prices(df).count() == 0 and math.isnan(price)
+
+_TICKS = st.lists(st.tuples(
+    st.text(alphabet=st.characters(blacklist_categories=("Cs",)), min_size=0, max_size=12),
+    st.floats(allow_nan=False, allow_infinity=False, width=64),
+    st.datetimes(min_value=dt.datetime(1970, 1, 2), max_value=dt.datetime(2200, 1, 1))),
+    min_size=1, max_size=20)
+
+
+@hsettings(max_examples=8, deadline=None)
+@given(_TICKS)
+def test_round_trip_property(spark, rows):
+    """Any symbol text, any finite double and any instant survive tick_json -> parse_ticks unchanged."""
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "id int, symbol string, price double, timestamp timestamp_ntz")
+    back = parse_ticks(df.select("id", tick_json().alias("json")), keep=("id",))
+    back = back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    assert sorted(map(tuple, back.collect())) == sorted((i, *r) for i, r in enumerate(rows))

@@ -95,6 +95,15 @@ def window_stats_query(enriched: DataFrame, checkpoint: str, sink: str | BatchWr
     return _start(_apply_trigger(w, trigger), enriched.sparkSession, partitions)
 
 
+def kafka_sink_query(records: DataFrame, options: dict[str, str], checkpoint: str,
+                     name: str = "tick_publisher", trigger: dict | None = None) -> StreamingQuery:
+    """Publish a stream of ``key, value`` records (see ``functions.encode.kafka_records``) to Kafka;
+    ``options`` from ``sources.kafka.sink_options``. Needs the Kafka connector on the classpath."""
+    w = (records.select("key", "value").writeStream.queryName(name).format("kafka").options(**options)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return _apply_trigger(w, trigger).start()
+
+
 def start_all(builders: Sequence[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
     """Start independent queries (each keeps its own source offsets and checkpoint)."""
     return [build() for build in builders]

@@ -131,11 +131,12 @@ def stream_file_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def _late_sql() -> str:
     # The slice edges in epoch microseconds, computed as the replay computes them.
-    edges = ("WITH b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) - min(epoch_us(ts)) + 1 AS span "
-             "FROM events), e AS (SELECT lo + (span * 3) // 5 AS s3, lo + (span * 4) // 5 AS s4 FROM b) ")
-    kept = (f"SELECT x.* FROM ({_ENRICHED}) x, e WHERE epoch_us(x.timestamp) < e.s3 "
-            "OR epoch_us(x.timestamp) >= e.s4")
-    return edges + _stats_sql("2 seconds", "symbol, coin_name, category", kept)
+    span = "(SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) - min(epoch_us(ts)) + 1 AS span FROM events)"
+    s3 = f"(SELECT lo + (span * 3) // 5 FROM {span} b)"
+    s4 = f"(SELECT lo + (span * 4) // 5 FROM {span} b)"
+    kept = (f"SELECT * FROM ({_ENRICHED}) x WHERE epoch_us(x.timestamp) < {s3} "
+            f"OR epoch_us(x.timestamp) >= {s4}")
+    return _stats_sql("2 seconds", "symbol, coin_name, category", kept)
 
 
 def _append_sql() -> str:
