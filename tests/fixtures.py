@@ -14,7 +14,8 @@ def iso(t: dt.datetime) -> str:
     return t.strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-# The end-to-end feed: three BTC ticks and one ETH tick, the last at "now".
+# The end-to-end feed of the original tests, three BTC ticks and one ETH tick, the last
+# at "now" (here a fixed instant).
 FEED = [
     ("BTC", 100.0, OLD),
     ("BTC", 120.0, OLD + dt.timedelta(seconds=10)),
@@ -27,7 +28,7 @@ def feed_json() -> list[str]:
     return ['{"symbol":"%s","price":%s,"timestamp":"%s"}' % (s, p, iso(t)) for s, p, t in FEED]
 
 
-# Metadata dimension rows (header CSV).
+# The metadata dimension of the original deployment (header CSV, all text).
 METADATA_CSV = """symbol,coin_name,category
 BTC,Bitcoin,Store of Value
 ETH,Ethereum,Smart Contracts
