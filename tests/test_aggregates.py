@@ -103,3 +103,11 @@ def test_dashboard_build(spark):
     assert frames.analytics.count() == 4
     assert [r["symbol"] for r in frames.symbols.collect()] == ["BTC", "ETH"]
     assert frames.grid.count() == 34 and frames.trends.count() == 3
+
+
+def test_single_column_ordering_uses_hash_aggregation(spark):
+    df = _feed(spark)
+    fast = latest.last_in_bucket(df, "40 seconds")._jdf.queryExecution().executedPlan().toString()
+    exact = latest.last_in_bucket(df.withColumn("id", F.lit(1)), "40 seconds", tie_breakers=("id",))
+    assert "HashAggregate" in fast and "SortAggregate" not in fast
+    assert "SortAggregate" in exact._jdf.queryExecution().executedPlan().toString()
