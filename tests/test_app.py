@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickwise.cli import _parser, settings_from
 from tickwise.config import Settings
@@ -85,3 +86,13 @@ def test_cli_flags_override_environment(monkeypatch):
     assert (s.database, s.sample_size, s.output_path, s.table) == ("db1", 5, "/data/env", "crypto_info")
     args = _parser().parse_args(["stream", "--source", "files", "--path", "/feed"])
     assert args.source == "files" and args.path == "/feed"
+
+
+def test_large_cap_is_exact_and_distributed(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"), F.col("id").alias("v"))
+    expected = [r["k"] for r in df.orderBy("k").limit(1234).collect()]
+    got = cap_events(df, 1234, order=("k",), top_k_limit=10)
+    assert sorted(r["k"] for r in got.collect()) == expected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
+    assert cap_events(df, 6000, order=("k",), top_k_limit=10).count() == 5000

@@ -12,11 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.config import Settings
+from tickwise.config import Settings, shared_dir
 from tickwise.functions.encode import kafka_records
 from tickwise.functions.snapshot import DEFAULT_ASSETS, snapshot_rejects, snapshot_ticks
+from tickwise.operators.joins import lookup_join
 from tickwise.sources import kafka
 
+# Caps up to this size are a top-k (each task keeps its best n rows, one task merges them); larger caps
+# use the distributed path of first_rows, which never gathers the kept rows in one task.
+TOP_K_LIMIT = 10_000
+
 
 @dataclass
 class IngestResult:
@@ -32,12 +37,40 @@ def with_fetch_time(snapshots: DataFrame, column: str = "fetched_at") -> DataFra
     return snapshots.withColumn(column, F.current_timestamp())
 
 
-def cap_events(ticks: DataFrame, max_events: int = 0,
-               order: tuple[str, ...] = ("timestamp", "symbol")) -> DataFrame:
+def first_rows(df: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
+    """Exactly the first ``n`` rows by ``order`` (ties broken by a row hash), without a single-task merge.
+
+    Rows are range-partitioned and sorted by the order (range partition ``i`` holds only keys before those
+    of ``i + 1``), numbered within their partition and checkpointed so partitions and numbers are fixed.
+    One small job counts rows per partition; the running totals become a per-partition offset table (one
+    row per partition, broadcast), and a row is kept when ``offset + position < n``.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    tie = F.xxhash64(*df.columns)
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # row number in partition
+    ranked = (df.withColumn("_tie", tie).repartitionByRange(*[F.col(c) for c in order], F.col("_tie"))
+              .sortWithinPartitions(*order, "_tie")
+              .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", within)
+              .checkpoint(eager=True))
+    counts = sorted((r["_pid"], r["count"]) for r in ranked.groupBy("_pid").count().collect())
+    offsets, total = [], 0
+    for pid, cnt in counts:
+        offsets.append((pid, total))
+        total += cnt
+    table = spark.createDataFrame(offsets, "_pid int, _offset long")
+    kept = lookup_join(ranked, table, "_pid", "inner", broadcast=True)
+    return kept.filter(F.col("_offset") + F.col("_pos") < F.lit(n)).select(*df.columns)
+
+
+def cap_events(ticks: DataFrame, max_events: int = 0, order: tuple[str, ...] = ("timestamp", "symbol"),
+               top_k_limit: int = TOP_K_LIMIT) -> DataFrame:
     """At most ``max_events`` ticks, earliest first; 0 means unlimited."""
     if max_events <= 0:
         return ticks
-    return ticks.orderBy(*order).limit(max_events)
+    if max_events <= top_k_limit:
+        return ticks.orderBy(*order).limit(max_events)
+    return first_rows(ticks, max_events, order)
 
 
 def shape(snapshots: DataFrame, assets=DEFAULT_ASSETS, max_events: int = 0,
