@@ -59,10 +59,15 @@ class SliceReplay:
         self.bounds()
         return -(-self._rows // max(self.n_slices, 1))
 
+    def _edge(self, micros: int):
+        """A slice edge as a literal of the time column's own type, so the filter reaches the scan."""
+        kind = dict(self.source.dtypes)[self.time_col]
+        return F.timestamp_micros(F.lit(micros)).cast(kind)
+
     def stage(self, k: int) -> None:
         lo, hi = self.bounds()[k]
-        t = _micros(self.time_col)
-        part = self.source.filter((t >= F.lit(lo)) & (t < F.lit(hi))).select(*self.columns)
+        t = F.col(self.time_col)
+        part = self.source.filter((t >= self._edge(lo)) & (t < self._edge(hi))).select(*self.columns)
         part.write.mode("append").format(self.fmt).save(self.stage_path)
 
     def run(self, start_query: Callable[[], StreamingQuery],
