@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tickwise.operators import grid, latest, summary, windows
-from tickwise.plans.dashboard import build
+from tickwise.plans.dashboard import build, symbol_grid
 
 from fixtures import FEED, NOW, OLD, TICKS_NTZ
 
@@ -103,6 +103,7 @@ def test_dashboard_build(spark):
     assert frames.analytics.count() == 4
     assert [r["symbol"] for r in frames.symbols.collect()] == ["BTC", "ETH"]
     assert frames.grid.count() == 34 and frames.trends.count() == 3
+    assert [r["price"] for r in symbol_grid(frames, "BTC").orderBy("time_bucket").collect()] == [120.0, 150.0]
 
 
 def test_single_column_ordering_uses_hash_aggregation(spark):

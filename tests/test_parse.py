@@ -8,7 +8,7 @@ from hypothesis import given, settings as hsettings, strategies as st
 from pyspark.sql import functions as F
 
 from tickwise.functions.encode import kafka_records, tick_json
-from tickwise.functions.parse import normalize_prices, parse_ticks
+from tickwise.functions.parse import bytes_to_text, normalize_prices, parse_ticks
 from tickwise.schemas import TICK
 
 from fixtures import feed_json
@@ -140,3 +140,8 @@ def test_round_trip_property(spark, rows):
     back = parse_ticks(df.select("id", tick_json().alias("json")), keep=("id",))
     back = back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     assert sorted(map(tuple, back.collect())) == sorted((i, *r) for i, r in enumerate(rows))
+
+
+def test_bytes_to_text_then_parse(spark):
+    df = spark.createDataFrame([(bytearray(t.encode()),) for t in feed_json()], "value binary")
+    assert parse_ticks(bytes_to_text(df)).count() == 4

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tickwise.config import Settings
 from tickwise.operators.summary import key_profile, newest
 from tickwise.plans import catalog
+from tickwise.sources.files import read_table
 
 KEYS = ("symbol", "coin_name", "category")
 
@@ -44,7 +45,7 @@ def inspect(spark: SparkSession, settings: Settings = Settings(),
     if report.empty:
         return report
     catalog.register_table(spark, database, table, path, replace=False)
-    df = spark.table(name)
+    df = read_table(spark, name)
     profile = key_profile(df, KEYS).cache()
     report.frames.update({
         "tables": catalog.show_tables(spark, database),

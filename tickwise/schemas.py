@@ -32,9 +32,6 @@ ENRICHED_FIELDS = [f.name for f in ENRICHED.fields]
 
 ENRICHED_DDL = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in ENRICHED.fields)
 
-# Output of the window statistics operator.
-WINDOW_STATS_MEASURES = ["average_price", "max_price", "min_price", "event_count"]
-
 # Price-API response: an open set of asset ids, each with a USD quote kept exact until the final cast.
 SNAPSHOT_BODY = T.MapType(T.StringType(), T.StructType([
     T.StructField("usd", T.DecimalType(38, 18), True),

@@ -8,9 +8,9 @@ reader/writer with the right options. Where the connector is absent, ``load()``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickwise.config import Settings
+from tickwise.functions.parse import bytes_to_text
 
 
 def stream_options(settings: Settings, starting_offsets: str = "latest",
@@ -46,14 +46,14 @@ def bounded_options(settings: Settings) -> dict[str, str]:
 def read_stream(spark: SparkSession, settings: Settings, **kw) -> DataFrame:
     """Streaming read of the tick topic; one ``json`` text column."""
     raw = spark.readStream.format("kafka").options(**stream_options(settings, **kw)).load()
-    return raw.select(F.col("value").cast("string").alias("json"))
+    return bytes_to_text(raw)
 
 
 def read_topic(spark: SparkSession, settings: Settings) -> DataFrame:
     """Bounded batch read of the whole topic; one ``json`` text column. Parse with the strict parser,
     which drops undecodable messages instead of failing the read."""
     raw = spark.read.format("kafka").options(**bounded_options(settings)).load()
-    return raw.select(F.col("value").cast("string").alias("json"))
+    return bytes_to_text(raw)
 
 
 def sink_options(settings: Settings, acks: str = "all") -> dict[str, str]:

@@ -19,7 +19,7 @@ from tickwise.plans import catalog
 from tickwise.plans.registered import EXCLUDED_SEGMENT, ORACLE_SQL as BATCH_SQL, ROUND
 from tickwise.plans.registered import _ENRICHED, _stats_sql
 from tickwise.sources import tables
-from tickwise.sources.files import replay_stream
+from tickwise.sources.files import read_table, replay_stream
 from tickwise.streaming import queries as sq
 from tickwise.streaming.replay import SliceReplay
 from tickwise.streaming.sinks import latest_updates, versioned_writer
@@ -120,7 +120,7 @@ def stream_flat_store(spark: SparkSession, sf: str) -> DataFrame:
                                   columns_ddl="symbol STRING, coin_name STRING, category STRING, "
                                               "user_id BIGINT, price DOUBLE, timestamp TIMESTAMP, "
                                               "event_id BIGINT")
-    return _stored(spark.table(name))
+    return _stored(read_table(spark, name))
 
 
 def stream_file_count(spark: SparkSession, sf: str) -> DataFrame:
