@@ -16,7 +16,7 @@ from tickwise.config import Settings, scratch_path, use_utc
 from tickwise.functions import encode, parse, snapshot
 from tickwise.operators import enrich as enrich_op
 from tickwise.operators import grid, latest, summary, windows
-from tickwise.plans import inspection
+from tickwise.plans import dashboard, inspection
 from tickwise.schemas import ENRICHED_FIELDS
 from tickwise.sources import tables
 
@@ -167,6 +167,24 @@ def key_profile(spark, sf):
     return summary.key_profile(_enriched(spark, sf))
 
 
+def _dashboard(spark, sf) -> dashboard.DashboardFrames:
+    """The dashboard plan over the loosely typed text feed (no metadata file: names stay empty)."""
+    use_utc(spark)
+    return dashboard.build(tables.loose_feed(spark, sf).drop("event_id"))
+
+
+def dashboard_latest(spark, sf):
+    return _dashboard(spark, sf).latest
+
+
+def dashboard_trends(spark, sf):
+    return _dashboard(spark, sf).trends
+
+
+def dashboard_grid(spark, sf):
+    return _dashboard(spark, sf).grid
+
+
 def _inspected(spark, sf) -> inspection.InspectionReport:
     """Store the enriched ticks as a flat Parquet folder, then run the inspection report over it."""
     root = scratch_path(spark, "stored_table")
@@ -226,6 +244,9 @@ QUERIES: dict[str, Query] = {
     "symbol_slice": symbol_slice,
     "sample_10": sample_10,
     "key_profile": key_profile,
+    "dashboard_latest": dashboard_latest,
+    "dashboard_trends": dashboard_trends,
+    "dashboard_grid": dashboard_grid,
     "inspection_row_count": inspection_row_count,
     "inspection_time_range": inspection_time_range,
     "inspection_rows_by_symbol": inspection_rows_by_symbol,
@@ -391,3 +412,14 @@ ORACLE_SQL.update({
     "inspection_recent_sample": (f"SELECT symbol, coin_name, category, price, timestamp FROM ({_ENRICHED}) s "
                                  "ORDER BY timestamp DESC LIMIT 20"),
 })
+
+# Dashboard over the loose feed: the lenient oracle's rows, then the dashboard's queries.
+_LENIENT = ORACLE_SQL["lenient_normalise"]
+_LOOSE_POINTS = ("SELECT symbol, time_bucket(INTERVAL '40 seconds', timestamp) AS time_bucket, "
+                 f"arg_max(price, timestamp) AS price FROM ({_LENIENT}) n GROUP BY ALL")
+ORACLE_SQL.update({
+    "dashboard_latest": (f"SELECT symbol, coin_name, category, price, timestamp FROM ({_LENIENT}) n "
+                         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC) = 1"),
+    "dashboard_trends": _LOOSE_POINTS,
+    "dashboard_grid": _GRID.replace(_TREND_POINTS, _LOOSE_POINTS),
+})
