@@ -96,3 +96,28 @@ def test_large_cap_is_exact_and_distributed(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
     assert cap_events(df, 6000, order=("k",), top_k_limit=10).count() == 5000
+
+
+def test_cli_inspect_end_to_end(spark, workdir):
+    """`python -m tickwise inspect` in its own process over a stored folder, then over a missing one."""
+    import subprocess
+    import sys
+
+    table = os.path.join(workdir, "stored")
+    rows = [("BTC", "Bitcoin", "Store of Value", 100.0, dt.datetime(2026, 5, 7, 12, 0, 0)),
+            ("ETH", "Ethereum", "Smart Contracts", 50.0, dt.datetime(2026, 5, 7, 12, 0, 20))]
+    spark.createDataFrame(rows, "symbol string, coin_name string, category string, price double, "
+                                "timestamp timestamp").write.parquet(table)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root)
+    cmd = [sys.executable, "-m", "tickwise", "inspect", "--master", "local[2]", "--table-path", table,
+           "--warehouse-dir", os.path.join(workdir, "wh"), "--database", "cli_db", "--sample-size", "1"]
+    out = subprocess.run(cmd, cwd=workdir, env=env, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    files = len([f for f in os.listdir(table) if f.endswith(".parquet")])
+    row_count = out.stdout.split("=== Row Count ===")[1].split("===")[0]
+    assert "record_count" in row_count and "|2           |" in row_count
+    assert f"Parquet Files ===\n{files}" in out.stdout
+    cmd[cmd.index(table)] = os.path.join(workdir, "missing")
+    out = subprocess.run(cmd, cwd=workdir, env=env, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0 and "No Parquet files found" in out.stdout
