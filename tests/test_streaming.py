@@ -132,3 +132,23 @@ def test_memory_sink_and_named_queries(spark, workdir):
     sq.drain(q)
     assert q.name == "tick_stats_mem"
     assert spark.table("tick_stats_mem").count() == 4
+
+
+def test_dimension_edits_show_in_next_micro_batch(spark, workdir):
+    """The static side of a stream-static join is read again for every micro-batch."""
+    meta_path = write(os.path.join(workdir, "meta.csv"), METADATA_CSV)
+    stage, raw = os.path.join(workdir, "stage"), os.path.join(workdir, "raw")
+    os.makedirs(stage)
+    stream = parse_ticks(replay_stream(spark, stage, "text").withColumnRenamed("value", "json"))
+    enriched = enrich(stream, read_metadata(spark, meta_path), broadcast=True)
+    q = sq.raw_storage_query(enriched, raw, os.path.join(workdir, "ck"))  # one running query
+    try:
+        write(os.path.join(stage, "a.json"), _msg("BTC", 1.0, _at()) + "\n")
+        q.processAllAvailable()
+        write(meta_path, METADATA_CSV.replace("BTC,Bitcoin,", "BTC,Bitcoin (renamed),"))
+        write(os.path.join(stage, "b.json"), _msg("BTC", 2.0, _at(seconds=5)) + "\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    names = {r["price"]: r["coin_name"] for r in spark.read.parquet(raw).collect()}
+    assert names == {1.0: "Bitcoin", 2.0: "Bitcoin (renamed)"}
