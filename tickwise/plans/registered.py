@@ -48,6 +48,21 @@ def _stats(width, keys=("symbol",), drop_unmatched=False, enriched=False):
     return run
 
 
+def _hot_key_ticks(spark, sf):
+    """Ticks where every third event belongs to one user (key 0): a key holding a third of all rows."""
+    t = _ticks(spark, sf)
+    return t.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+
+
+def hot_key_enrich_stats(spark, sf):
+    """Enrichment forced through the salted sort-merge join (the path for a dimension too large to
+    broadcast), then hourly statistics per user: the hot key is spread over the salt buckets."""
+    dim = tables.dimension(spark, sf, exclude_segment=EXCLUDED_SEGMENT)
+    enriched = enrich_op.enrich(_hot_key_ticks(spark, sf), dim, key="user_id", broadcast=False)
+    return windows.window_stats(enriched, "1 hour", ("user_id", "coin_name", "category"),
+                                round_average=ROUND)
+
+
 def window_stats_from_messages(spark: SparkSession, sf: str) -> DataFrame:
     """The streaming job's plan in batch: JSON messages -> strict parse -> enrich -> 2-second stats."""
     use_utc(spark)
@@ -223,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "stats_keep_unmatched": _stats("1 hour", ("user_id", "coin_name", "category"), enriched=True),
     "stats_drop_unmatched": _stats("1 hour", ("user_id", "coin_name", "category"), True, enriched=True),
     "dashboard_analytics_2s": dashboard_analytics_2s,
+    "hot_key_enrich_stats": hot_key_enrich_stats,
     "latest_per_symbol": latest_per_symbol,
     "last_price_40s": last_price_40s,
     "latest_bucket_per_symbol": latest_bucket_per_symbol,
@@ -423,3 +439,10 @@ ORACLE_SQL.update({
     "dashboard_trends": _LOOSE_POINTS,
     "dashboard_grid": _GRID.replace(_TREND_POINTS, _LOOSE_POINTS),
 })
+
+_HOT_TICKS = ("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, "
+              "event_type AS symbol, value AS price, ts AS timestamp FROM events")
+ORACLE_SQL["hot_key_enrich_stats"] = _stats_sql(
+    "1 hour", "user_id, coin_name, category",
+    f"SELECT t.user_id, d.coin_name, d.category, t.price, t.timestamp FROM ({_HOT_TICKS}) t "
+    f"LEFT JOIN ({_DIM}) d ON t.user_id = d.user_id")
