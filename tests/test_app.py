@@ -121,3 +121,14 @@ def test_cli_inspect_end_to_end(spark, workdir):
     cmd[cmd.index(table)] = os.path.join(workdir, "missing")
     out = subprocess.run(cmd, cwd=workdir, env=env, capture_output=True, text=True, timeout=300)
     assert out.returncode == 0 and "No Parquet files found" in out.stdout
+
+
+def test_large_cap_with_heavy_ties(spark):
+    # A third of the rows share the smallest key: the row-hash tie-break still yields exactly n rows.
+    df = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+                                     .alias("k"), F.col("id").alias("v"))
+    got = cap_events(df, 2500, order=("k",), top_k_limit=10).collect()
+    assert len(got) == 2500
+    ks = sorted(r["k"] for r in got)
+    assert ks[:2000] == [0] * 2000 and ks[2000:] == sorted(r["k"] for r in df.filter("k > 0")
+                                                                 .orderBy("k").limit(500).collect())
