@@ -8,7 +8,7 @@ layer only reads the small results.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +24,42 @@ from tickwise.sources.files import read_metadata, read_parquet_folder
 from tickwise.sources.kafka import read_topic
 
 
-@dataclass
 class DashboardFrames:
-    prices: DataFrame
-    latest: DataFrame
-    analytics: DataFrame
-    trends: DataFrame
-    grid: DataFrame
-    symbols: DataFrame
+    """The dashboard's results over one cleaned price table, each built on first access (the trend grid
+    runs a small preparatory job, so it is only prepared when asked for)."""
+
+    def __init__(self, prices: DataFrame, settings: Settings, tie_breakers: tuple[str, ...] = ()):
+        self.prices = prices
+        self.settings = settings
+        self.tie_breakers = tie_breakers
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        order = ("timestamp", *self.tie_breakers)
+        return (latest_per_key(self.prices, "symbol", order,
+                               columns=["coin_name", "category", "price", "timestamp"]).orderBy("symbol"))
+
+    @cached_property
+    def analytics(self) -> DataFrame:
+        return bucket_stats(self.prices, self.settings.window_width).orderBy("symbol", "time_bucket")
+
+    @cached_property
+    def trends(self) -> DataFrame:
+        bucket = f"{self.settings.trend_bucket_seconds} seconds"
+        return (last_in_bucket(self.prices, bucket, "symbol", "price", tie_breakers=self.tie_breakers)
+                .orderBy("symbol", "time_bucket"))
+
+    @cached_property
+    def grid(self) -> DataFrame:
+        s = self.settings
+        return dense_trend_grid(self.prices, "symbol", tie_breakers=self.tie_breakers,
+                                bucket_seconds=s.trend_bucket_seconds,
+                                history_minutes=s.trend_history_minutes,
+                                lookahead_seconds=s.trend_lookahead_seconds)
+
+    @cached_property
+    def symbols(self) -> DataFrame:
+        return distinct_values(self.prices, "symbol")
 
 
 def enrich_with_metadata(prices: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -48,19 +76,7 @@ def build(prices: DataFrame, metadata: DataFrame | None = None, settings: Settin
     clean = normalize_prices(prices)
     if metadata is not None:
         clean = enrich_with_metadata(clean, metadata)
-    order = ("timestamp", *tie_breakers)
-    bucket = f"{settings.trend_bucket_seconds} seconds"
-    latest = (latest_per_key(clean, "symbol", order,
-                             columns=["coin_name", "category", "price", "timestamp"])
-              .orderBy("symbol"))
-    analytics = bucket_stats(clean, settings.window_width).orderBy("symbol", "time_bucket")
-    trends = (last_in_bucket(clean, bucket, "symbol", "price", tie_breakers=tie_breakers)
-              .orderBy("symbol", "time_bucket"))
-    grid = dense_trend_grid(clean, "symbol", tie_breakers=tie_breakers,
-                            bucket_seconds=settings.trend_bucket_seconds,
-                            history_minutes=settings.trend_history_minutes,
-                            lookahead_seconds=settings.trend_lookahead_seconds)
-    return DashboardFrames(clean, latest, analytics, trends, grid, distinct_values(clean, "symbol"))
+    return DashboardFrames(clean, settings, tie_breakers)
 
 
 def from_parquet(spark: SparkSession, settings: Settings) -> DashboardFrames:
