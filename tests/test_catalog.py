@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickwise.config import Settings
 from tickwise.plans import catalog
@@ -80,3 +81,14 @@ def test_inspection_report(spark, workdir):
     assert f["time_range"].first()["latest_event_timestamp"] == dt.datetime(2026, 5, 7, 12, 0, 20)
     assert [(r["symbol"], r["count"]) for r in f["rows_by_symbol"].collect()] == [("BTC", 2), ("ETH", 1)]
     assert [r["price"] for r in f["recent_sample"].collect()] == [50.0, 120.0]
+
+
+def test_inspection_of_day_partitioned_table(spark, workdir):
+    path = os.path.join(workdir, "by_day")
+    (spark.createDataFrame(ROWS, SCHEMA).withColumn("day", F.to_date("timestamp"))
+     .write.partitionBy("day").parquet(path))
+    settings = Settings(database="tw_inspect_days", table="t", output_path=path, partition_by_day=True)
+    report = inspect(spark, settings)
+    assert report.file_count >= 1
+    assert report.frames["row_count"].first()["record_count"] == 3
+    assert catalog.count_data_files(spark, path).first()["file_count"] == 0  # nothing at the top level

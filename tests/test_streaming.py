@@ -152,3 +152,27 @@ def test_dimension_edits_show_in_next_micro_batch(spark, workdir):
         q.stop()
     names = {r["price"]: r["coin_name"] for r in spark.read.parquet(raw).collect()}
     assert names == {1.0: "Bitcoin", 2.0: "Bitcoin (renamed)"}
+
+
+def test_day_partitioned_storage_prunes_partitions(spark, workdir):
+    from tickwise.plans import catalog
+    from tickwise.sources.files import read_table
+
+    stage, table = os.path.join(workdir, "stage"), os.path.join(workdir, "table")
+    os.makedirs(stage)
+    days = [_at(), _at(days=1), _at(days=2, seconds=3)]
+    write(os.path.join(stage, "a.json"), "\n".join(_msg("BTC", float(i), t) for i, t in enumerate(days)) + "\n")
+    meta = read_metadata(spark, write(os.path.join(workdir, "meta.csv"), METADATA_CSV))
+    enriched = enrich(parse_ticks(replay_stream(spark, stage, "text").withColumnRenamed("value", "json")), meta)
+    for exactly_once in (False, True):
+        out = f"{table}-{exactly_once}"
+        sq.drain(sq.raw_storage_query(enriched, out, f"{out}-ck", exactly_once=exactly_once,
+                                      trigger={"availableNow": True}, partition_by_day=True))
+        assert sorted(d for d in os.listdir(out) if d.startswith("day=")) == [
+            "day=2026-05-07", "day=2026-05-08", "day=2026-05-09"]
+        name = catalog.register_table(spark, "tw_parts", f"t_{exactly_once}".lower(), out,
+                                      partition_by_day=True)
+        one_day = read_table(spark, name).filter("day = DATE'2026-05-08'")
+        assert [r["price"] for r in one_day.collect()] == [1.0]
+        plan = one_day._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(day" in plan

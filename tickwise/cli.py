@@ -30,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--table-path")
         s.add_argument("--warehouse-dir")
         s.add_argument("--master")
+        s.add_argument("--partition-by-day", action="store_true",
+                       help="stored table uses day=YYYY-MM-DD partition folders")
         if name == "stream":
             s.add_argument("--source", choices=["kafka", "files"], default="kafka")
             s.add_argument("--path", help="folder of JSON-lines files for --source files")
@@ -47,7 +49,8 @@ def _parser() -> argparse.ArgumentParser:
 def settings_from(args: argparse.Namespace) -> Settings:
     s = Settings.from_env()
     overrides = {"database": args.database, "table": args.table, "output_path": args.table_path,
-                 "warehouse_dir": args.warehouse_dir, "sample_size": getattr(args, "sample_size", None)}
+                 "warehouse_dir": args.warehouse_dir, "sample_size": getattr(args, "sample_size", None),
+                 "partition_by_day": args.partition_by_day or None}
     return replace(s, **{k: v for k, v in overrides.items() if v is not None})
 
 

@@ -47,6 +47,8 @@ class Settings:
     trend_history_minutes: int = 10
     trend_lookahead_seconds: int = 60
     sample_size: int = 20
+    # Stored table layout: flat folder (original) or day=YYYY-MM-DD partitions for time pruning.
+    partition_by_day: bool = False
     # Upper bound on the number of dimension rows shipped to every executor.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024

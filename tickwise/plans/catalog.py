@@ -44,18 +44,28 @@ def create_database(spark: SparkSession, database: str) -> None:
 
 
 def register_table(spark: SparkSession, database: str, table: str, path: str,
-                   replace: bool = True, columns_ddl: str = ENRICHED_DDL) -> str:
+                   replace: bool = True, columns_ddl: str = ENRICHED_DDL,
+                   partition_by_day: bool = False) -> str:
     """Create the database and an external Parquet table over ``path``; returns the quoted name.
 
     ``replace`` drops an existing definition first (the data files stay); otherwise an existing table is
-    kept as it is (``IF NOT EXISTS``).
+    kept as it is (``IF NOT EXISTS``). ``partition_by_day`` declares the ``day`` partition column written
+    by the day-partitioned storage layout and registers the partitions already present.
     """
     create_database(spark, database)
     name = full_table_name(database, table)
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     guard = "" if replace else "IF NOT EXISTS "
-    spark.sql(f"CREATE TABLE {guard}{name} ({columns_ddl}) USING PARQUET LOCATION {sql_string(path)}")
+    columns, partitioning = columns_ddl, ""
+    if partition_by_day:
+        columns, partitioning = f"{columns_ddl}, `day` DATE", "PARTITIONED BY (`day`) "
+    spark.sql(f"CREATE TABLE {guard}{name} ({columns}) USING PARQUET {partitioning}"
+              f"LOCATION {sql_string(path)}")
+    # A folder written by the streaming file sink is described by its metadata log: Spark then keeps no
+    # partition list in the catalog and reads prune through the log, so there is nothing to recover.
+    if partition_by_day and any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return name
 
@@ -74,8 +84,9 @@ def schema_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
 
 
-def data_files(spark: SparkSession, path: str) -> DataFrame:
-    """The ``.parquet`` files directly in ``path`` (not in sub-folders) with size and modification time.
+def data_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """The ``.parquet`` files directly in ``path`` (with ``recursive``, also in partition sub-folders),
+    with size and modification time.
 
     Spark's ``binaryFile`` source lists in parallel for large folders; the file content is never read
     because only metadata columns are selected. A missing folder gives no rows.
@@ -84,15 +95,17 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-               .option("recursiveFileLookup", "false").load(path))
+               .option("recursiveFileLookup", str(recursive).lower()).load(path))
+    if recursive:
+        return listing.select("path", "modificationTime", "length")
     top = qualified(spark, path)
     # Only files whose parent is the folder itself; partition sub-folders are not counted.
     parent = F.regexp_replace(F.col("path"), "/[^/]*$", "")
     return listing.select("path", "modificationTime", "length").filter(parent == F.lit(top))
 
 
-def count_data_files(spark: SparkSession, path: str) -> DataFrame:
-    return data_files(spark, path).agg(F.count(F.lit(1)).alias("file_count"))
+def count_data_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    return data_files(spark, path, recursive).agg(F.count(F.lit(1)).alias("file_count"))
 
 
 def clear_location(spark: SparkSession, path: str, table: str | None = None) -> int:

@@ -38,13 +38,14 @@ def inspect(spark: SparkSession, settings: Settings = Settings(),
     """Build the report; DataFrames stay lazy except the file count and the cached key profile."""
     database, table, path = settings.database, settings.table, settings.output_path
     catalog.create_database(spark, database)
-    files = catalog.count_data_files(spark, path).first()["file_count"]
+    files = catalog.count_data_files(spark, path, settings.partition_by_day).first()["file_count"]
     name = catalog.full_table_name(database, table)
     report = InspectionReport(name, path, int(files))
     report.frames["tables_before"] = catalog.show_tables(spark, database)
     if report.empty:
         return report
-    catalog.register_table(spark, database, table, path, replace=False)
+    catalog.register_table(spark, database, table, path, replace=False,
+                           partition_by_day=settings.partition_by_day)
     df = read_table(spark, name)
     profile = key_profile(df, KEYS).cache()
     report.frames.update({

@@ -26,8 +26,11 @@ def read_parquet_folder(spark: SparkSession, path: str,
 
 
 def read_table(spark: SparkSession, name: str, refresh: bool = True) -> DataFrame:
-    """Catalog table; refreshed first so files added or removed behind the catalog are seen."""
+    """Catalog table; refreshed first so files added or removed behind the catalog are seen, and for a
+    partitioned table partitions written since registration are registered first."""
     if refresh:
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)
         spark.catalog.refreshTable(name)
     return spark.table(name)
 

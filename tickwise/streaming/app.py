@@ -67,10 +67,12 @@ def start(spark: SparkSession, settings: Settings, source: str = "kafka", path:
     appends); ``True`` uses Spark's file sink with its metadata log.
     """
     use_utc(spark)
-    catalog.register_table(spark, settings.database, settings.table, settings.output_path, replace=True)
+    catalog.register_table(spark, settings.database, settings.table, settings.output_path, replace=True,
+                           partition_by_day=settings.partition_by_day)
     stream = enriched_ticks(spark, settings, source, path, max_files_per_trigger)
     storage = sq.raw_storage_query(stream, settings.output_path, f"{settings.checkpoint_path}/crypto_info",
-                                   name="tick_storage", exactly_once=exactly_once, trigger=trigger)
+                                   name="tick_storage", exactly_once=exactly_once, trigger=trigger,
+                                   partition_by_day=settings.partition_by_day)
     analytics = sq.window_stats_query(stream, f"{settings.checkpoint_path}/window_stats", analytics_sink,
                                       settings.window_width, settings.watermark_delay,
                                       name="tick_window_stats", trigger=trigger)

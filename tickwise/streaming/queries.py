@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.operators.windows import DEFAULT_KEYS, window_stats
@@ -44,19 +45,26 @@ def _start(writer, spark: SparkSession, partitions: int | None) -> StreamingQuer
 
 def raw_storage_query(enriched: DataFrame, output_path: str, checkpoint: str,
                       name: str = "tick_storage", exactly_once: bool = True,
-                      trigger: dict | None = None) -> StreamingQuery:
+                      trigger: dict | None = None, partition_by_day: bool = False,
+                      timestamp: str = "timestamp") -> StreamingQuery:
     """Append every enriched tick to a Parquet folder.
 
     No watermark: late ticks are always stored even where the windowed statistics drop them.
     ``exactly_once`` uses Spark's file sink (its ``_spark_metadata`` log makes replays idempotent; read the
     folder with Spark to honour it). Otherwise micro-batches are appended flat into the folder with
     :func:`~tickwise.streaming.sinks.append_writer` (at-least-once, no metadata folder).
+    ``partition_by_day`` writes ``day=YYYY-MM-DD`` sub-folders (UTC event date) so that time-bounded reads
+    skip whole days; the flat layout of the original job is the default.
     """
-    w = enriched.writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
+    rows = enriched.withColumn("day", F.to_date(F.col(timestamp))) if partition_by_day else enriched
+    parts = ("day",) if partition_by_day else ()
+    w = rows.writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
     if exactly_once:
         w = w.format("parquet").option("path", output_path)
+        if parts:
+            w = w.partitionBy(*parts)
     else:
-        w = w.foreachBatch(append_writer(output_path))
+        w = w.foreachBatch(append_writer(output_path, partition_by=parts))
     return _apply_trigger(w, trigger).start()
 
 
