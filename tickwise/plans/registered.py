@@ -93,7 +93,8 @@ def last_price_40s(spark, sf):
 
 
 def latest_bucket_per_symbol(spark, sf):
-    return latest.latest_bucket(last_price_40s(spark, sf))
+    # The newest bucket is the bucket of the newest tick: one max per symbol, no per-bucket aggregation.
+    return grid.chart_frames(_ticks(spark, sf)).select("symbol", "latest_bucket")
 
 
 def dense_trend_grid(spark, sf):
