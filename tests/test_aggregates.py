@@ -1,11 +1,14 @@
 """Window statistics, latest values, trend buckets, the dense grid and table summaries."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
+from tickwise.config import Settings
+
 from tickwise.operators import grid, latest, summary, windows
-from tickwise.plans.dashboard import build, symbol_grid
+from tickwise.plans.dashboard import build, from_parquet, symbol_grid
 
 from fixtures import FEED, NOW, OLD, TICKS_NTZ
 
@@ -112,3 +115,14 @@ def test_single_column_ordering_uses_hash_aggregation(spark):
     exact = latest.last_in_bucket(df.withColumn("id", F.lit(1)), "40 seconds", tie_breakers=("id",))
     assert "HashAggregate" in fast and "SortAggregate" not in fast
     assert "SortAggregate" in exact._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dashboard_from_parquet_folder(spark, workdir):
+    missing = from_parquet(spark, Settings(output_path=os.path.join(workdir, "none")))
+    assert missing.latest.count() == 0 and missing.analytics.count() == 0
+    path = os.path.join(workdir, "stored")
+    _feed(spark).withColumn("timestamp", F.col("timestamp").cast("timestamp")).select(
+        "symbol", F.lit("Bitcoin").alias("coin_name"), F.lit("SoV").alias("category"), "price",
+        "timestamp").write.parquet(path)
+    frames = from_parquet(spark, Settings(output_path=path))
+    assert [(r["symbol"], r["price"]) for r in frames.latest.collect()] == [("BTC", 150.0), ("ETH", 50.0)]

@@ -176,3 +176,14 @@ def test_day_partitioned_storage_prunes_partitions(spark, workdir):
         assert [r["price"] for r in one_day.collect()] == [1.0]
         plan = one_day._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_console_sink_runs(spark, workdir):
+    stage = os.path.join(workdir, "stage")
+    os.makedirs(stage)
+    write(os.path.join(stage, "a.json"), "\n".join(_msg(*r) for r in BATCHES[0]) + "\n")
+    stream = parse_ticks(replay_stream(spark, stage, "text").withColumnRenamed("value", "json"))
+    stream = stream.withColumn("coin_name", F.lit("n")).withColumn("category", F.lit("c"))
+    q = sq.window_stats_query(stream, os.path.join(workdir, "ckpt"), "console", trigger={"availableNow": True})
+    progress = sq.drain(q)
+    assert q.exception() is None and progress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
