@@ -132,3 +132,22 @@ def test_large_cap_with_heavy_ties(spark):
     ks = sorted(r["k"] for r in got)
     assert ks[:2000] == [0] * 2000 and ks[2000:] == sorted(r["k"] for r in df.filter("k > 0")
                                                                  .orderBy("k").limit(500).collect())
+
+
+def test_cli_clear_check_end_to_end(spark, workdir):
+    """`python -m tickwise clear-check`: register if absent, clear the folder, count (0), sample."""
+    import subprocess
+    import sys
+
+    table = os.path.join(workdir, "stored")
+    spark.createDataFrame([("BTC", "Bitcoin", "Store of Value", 100.0, dt.datetime(2026, 5, 7, 12, 0, 0))],
+                          "symbol string, coin_name string, category string, price double, "
+                          "timestamp timestamp").write.parquet(table)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cmd = [sys.executable, "-m", "tickwise", "clear-check", "--master", "local[2]", "--table-path", table,
+           "--warehouse-dir", os.path.join(workdir, "wh"), "--database", "cli_db2"]
+    out = subprocess.run(cmd, cwd=workdir, env=dict(os.environ, PYTHONPATH=root), capture_output=True,
+                         text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "record_count" in out.stdout and "|0           |" in out.stdout
+    assert os.path.isdir(table) and not [f for f in os.listdir(table) if f.endswith(".parquet")]
