@@ -16,7 +16,7 @@ from tickwise.config import Settings, scratch_path, use_utc
 from tickwise.functions import encode, parse, snapshot
 from tickwise.operators import enrich as enrich_op
 from tickwise.operators import grid, latest, summary, windows
-from tickwise.plans import dashboard, inspection
+from tickwise.plans import catalog, dashboard, ingest, inspection
 from tickwise.schemas import ENRICHED_FIELDS
 from tickwise.sources import tables
 
@@ -211,6 +211,26 @@ def _inspected(spark, sf) -> inspection.InspectionReport:
     return inspection.inspect(spark, settings)
 
 
+def compacted_table(spark, sf):
+    """Enriched ticks appended as many small files (as micro-batches leave them), compacted into large
+    time-ordered files in a new folder, read back."""
+    root = scratch_path(spark, "compaction")
+    ticks = _enriched(spark, sf)
+    # Output files of at most 5 M rows (at least 16 files on small inputs); small files 1/20 of that,
+    # produced by every writing task splitting its own output (no shuffle).
+    rows_per_file = min(5_000_000, max(1000, ticks.count() // 16))
+    (ticks.write.option("maxRecordsPerFile", max(50, rows_per_file // 20)).mode("append")
+     .parquet(f"{root}/small"))
+    return catalog.compact(spark, f"{root}/small", f"{root}/compacted", rows_per_file=rows_per_file)
+
+
+def capped_events_half(spark, sf):
+    """The earliest half of all ticks by (time, symbol), through the distributed exact cap."""
+    ticks = _ticks(spark, sf)
+    half = ticks.count() // 2
+    return ingest.cap_events(ticks, half, order=("timestamp", "symbol"), top_k_limit=0)
+
+
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
@@ -264,6 +284,8 @@ QUERIES: dict[str, Query] = {
     "dashboard_latest": dashboard_latest,
     "dashboard_trends": dashboard_trends,
     "dashboard_grid": dashboard_grid,
+    "compacted_table": compacted_table,
+    "capped_events_half": capped_events_half,
     "inspection_row_count": inspection_row_count,
     "inspection_time_range": inspection_time_range,
     "inspection_rows_by_symbol": inspection_rows_by_symbol,
@@ -447,3 +469,8 @@ ORACLE_SQL["hot_key_enrich_stats"] = _stats_sql(
     "1 hour", "user_id, coin_name, category",
     f"SELECT t.user_id, d.coin_name, d.category, t.price, t.timestamp FROM ({_HOT_TICKS}) t "
     f"LEFT JOIN ({_DIM}) d ON t.user_id = d.user_id")
+
+ORACLE_SQL["compacted_table"] = _ENRICHED
+ORACLE_SQL["capped_events_half"] = (
+    f"SELECT * FROM ({_TICKS}) t QUALIFY row_number() OVER (ORDER BY timestamp, symbol) "
+    "<= (SELECT count(*) // 2 FROM events)")
