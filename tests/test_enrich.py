@@ -61,7 +61,7 @@ def test_size_check_is_bounded(spark):
     small = check_size(big, max_rows=10_000)
     assert small.bounded and small.rows == 5000 and small.bytes >= 5000 * 8
     capped = check_size(big, max_rows=100)
-    assert not capped.bounded and capped.rows == 101
+    assert not capped.bounded and capped.rows == 5000 and capped.bytes == -1
     assert not check_size(big, max_rows=10_000, max_bytes=1000).bounded
 
 

@@ -1,9 +1,9 @@
 """Joins of a large fact side against a lookup side of unknown size.
 
-The lookup side is broadcast only after a bounded Spark job has proven it small (row count and byte
-size, both read over at most ``max_rows + 1`` rows). Otherwise the join is a shuffle join whose fact side
-is salted, so that a key holding a large share of all facts is spread over ``salt_buckets`` tasks instead
-of landing on one; the lookup rows are replicated once per salt value.
+The lookup side is broadcast only after Spark jobs have proven it small: a distributed row count, and only
+when that is within bounds a byte count over those few rows. Otherwise the join is a shuffle join whose
+fact side is salted, so that a key holding a large share of all facts is spread over ``salt_buckets``
+tasks instead of landing on one; the lookup rows are replicated once per salt value.
 """
 
 from __future__ import annotations
@@ -39,12 +39,17 @@ def _row_bytes(df: DataFrame):
 
 def check_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                max_bytes: int = DEFAULT_MAX_BYTES) -> SizeCheck:
-    """Bounded probe of a relation's size: reads at most ``max_rows + 1`` rows, whatever its size."""
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                       F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b"))
-    row = probe.first()
-    n, b = int(row["n"]), int(row["b"])
-    return SizeCheck(rows=n, bytes=b, bounded=n <= max_rows and b <= max_bytes)
+    """Probe a relation's size with distributed aggregations (no single-task funnel, nothing but two
+    numbers reaches the driver).
+
+    First the row count: a partial count per task (for Parquet files only row-group metadata is read).
+    Only when it is within ``max_rows`` the bytes of those rows are summed (``bytes`` is -1 otherwise).
+    """
+    n = int(df.agg(F.count(F.lit(1))).first()[0])
+    if n > max_rows:
+        return SizeCheck(rows=n, bytes=-1, bounded=False)
+    b = int(df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0])
+    return SizeCheck(rows=n, bytes=b, bounded=b <= max_bytes)
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str] | str) -> None:
