@@ -63,9 +63,17 @@ def _stats_run(spark: SparkSession, sf: str, order=None, output_mode: str = "upd
     replay = _replay(spark, sf, root)
     stream = _enriched_stream(spark, sf, replay.stage_path)
     parts = sq.state_partitions(spark, replay.rows_per_slice())
-    replay.run(lambda: sq.window_stats_query(
-        stream, f"{root}/checkpoint", versioned_writer(out), "2 seconds", "2 seconds", STAT_KEYS,
-        output_mode=output_mode, trigger={"availableNow": True}, partitions=parts), order)
+
+    def start(trigger):
+        return sq.window_stats_query(stream, f"{root}/checkpoint", versioned_writer(out), "2 seconds",
+                                     "2 seconds", STAT_KEYS, output_mode=output_mode, trigger=trigger,
+                                     partitions=parts)
+
+    if order is None:
+        # In time order: one running query; update-mode results do not depend on eviction timing.
+        replay.run_live(start, skip_idle_batches=output_mode == "update")
+    else:
+        replay.run(lambda: start({"availableNow": True}), order)   # out of order: batch per slice
     final = latest_updates(spark, out, ["window_start", "window_end", *STAT_KEYS])
     return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *STAT_KEYS,
