@@ -96,3 +96,10 @@ def test_salting_spreads_a_hot_key_over_tasks(spark):
     finally:
         spark.conf.set(key, "true")
     assert plain == 1 and tasks > 1
+
+
+def test_salting_with_a_map_column(spark):
+    facts = spark.range(0, 100).select((F.col("id") % 3).alias("k"),
+                                       F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    dim = spark.range(0, 3).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    assert lookup_join(facts, dim, "k", "left", broadcast=False, salt_buckets=4).count() == 100

@@ -37,6 +37,12 @@ def _row_bytes(df: DataFrame):
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
+def row_hash(df: DataFrame):
+    """A deterministic hash of a row's content (map columns, which Spark cannot hash, are left out)."""
+    cols = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
+
+
 def check_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                max_bytes: int = DEFAULT_MAX_BYTES) -> SizeCheck:
     """Probe a relation's size with distributed aggregations (no single-task funnel, nothing but two
@@ -81,7 +87,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str,
     if salt_buckets <= 1:
         return facts.join(lookup.hint("merge"), keys, how)
     # Deterministic salt from the row content, so a retried task routes every row the same way.
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salt_buckets)))
+    salted = facts.withColumn("_salt", F.pmod(row_hash(facts), F.lit(salt_buckets)))
     replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(salt_buckets - 1).cast("long"))))
     return salted.join(replicated.hint("merge"), [*keys, "_salt"], how).drop("_salt")

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.operators.joins import row_hash
 from tickwise.schemas import ENRICHED_DDL
 from tickwise.sources.fs import clear_folder, path_exists, qualified
 
@@ -135,7 +136,7 @@ def compact(spark: SparkSession, source_path: str, target_path: str, rows_per_fi
     total = df.count()
     files = max(1, -(-total // rows_per_file))
     # A row hash after the time key lets the range partitioner split a time value shared by many rows.
-    spread = F.xxhash64(*df.columns)
+    spread = row_hash(df)
     (df.repartitionByRange(files, F.col(sort_by), spread).sortWithinPartitions(sort_by)
      .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(target_path))
     return spark.read.parquet(target_path)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tickwise.config import Settings, shared_dir
 from tickwise.functions.encode import kafka_records
 from tickwise.functions.snapshot import DEFAULT_ASSETS, snapshot_rejects, snapshot_ticks
-from tickwise.operators.joins import lookup_join
+from tickwise.operators.joins import lookup_join, row_hash
 from tickwise.sources import kafka
 
 # Caps up to this size are a top-k (each task keeps its best n rows, one task merges them); larger caps
@@ -47,7 +47,7 @@ def first_rows(df: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
     """
     spark = df.sparkSession
     shared_dir(spark)
-    tie = F.xxhash64(*df.columns)
+    tie = row_hash(df)
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # row number in partition
     ranked = (df.withColumn("_tie", tie).repartitionByRange(*[F.col(c) for c in order], F.col("_tie"))
               .sortWithinPartitions(*order, "_tie")
