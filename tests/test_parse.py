@@ -145,3 +145,9 @@ def test_round_trip_property(spark, rows):
 def test_bytes_to_text_then_parse(spark):
     df = spark.createDataFrame([(bytearray(t.encode()),) for t in feed_json()], "value binary")
     assert parse_ticks(bytes_to_text(df)).count() == 4
+
+
+def test_lenient_numeric_timestamps_are_epoch_seconds(spark):
+    df = spark.createDataFrame([("BTC", "1.5", 1778155200), ("ETH", "2", None)],
+                               "symbol string, price string, timestamp bigint")
+    assert [(r["symbol"], r["timestamp"]) for r in normalize_prices(df).collect()] == [("BTC", UTC_NOON)]

@@ -48,7 +48,8 @@ def normalize_prices(df: DataFrame, symbol: str = "symbol", price: str = "price"
     Price and timestamp may arrive as text or as typed values: unparseable values become null, rows
     without symbol, price (or with a NaN price) or timestamp are dropped. Text timestamps carrying a zone
     are converted to the instant and returned as UTC wall-clock time (TIMESTAMP_NTZ); text without a zone
-    is read as UTC. Missing descriptive columns are added as empty strings.
+    is read as UTC; numeric timestamps are epoch seconds. Missing descriptive columns are added as empty
+    strings.
     """
     dtype = dict(df.dtypes)
     price_expr = F.col(price).try_cast("double") if dtype[price] != "double" else F.col(price)
@@ -57,6 +58,9 @@ def normalize_prices(df: DataFrame, symbol: str = "symbol", price: str = "price"
         ts_expr = F.col(timestamp)
     elif ts_type == "timestamp":
         ts_expr = F.col(timestamp).cast("timestamp_ntz")
+    elif ts_type in ("tinyint", "smallint", "int", "bigint", "float", "double") or ts_type.startswith("decimal"):
+        # Numbers are epoch seconds, as the strict JSON parser reads them.
+        ts_expr = F.timestamp_seconds(F.col(timestamp)).cast("timestamp_ntz")
     else:
         ts_expr = _text(timestamp).try_cast("timestamp").cast("timestamp_ntz")
     out = df.withColumns({price: price_expr, timestamp: ts_expr})
