@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
             print_report(inspect(spark, settings))
         elif args.command == "clear-check":
             name = catalog.register_table(spark, settings.database, settings.table, settings.output_path,
-                                          replace=False)
+                                          replace=False, partition_by_day=settings.partition_by_day)
             catalog.show_databases(spark).show(truncate=False)
             catalog.show_tables(spark, settings.database).show(truncate=False)
             deleted = catalog.clear_location(spark, settings.output_path, name)
