@@ -39,7 +39,12 @@ def append_writer(path: str, fmt: str = "parquet", partition_by: Sequence[str] =
 
 
 def versioned_writer(path: str, fmt: str = "parquet") -> BatchWriter:
-    """Write each micro-batch to ``path/batch_id=N``, replacing that folder if the batch is replayed."""
+    """Write each micro-batch to ``path/batch_id=N``, replacing that folder if the batch is replayed.
+
+    One folder per micro-batch suits bounded runs and audits. A query that runs for months should collapse
+    the log from time to time: write :func:`latest_updates` of it to a new folder and continue the log
+    from there, so readers never list more than the batches since the last collapse.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
