@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.config import scratch_path, use_utc
+from tickwise.config import Settings, scratch_path, use_utc
 from tickwise.functions.parse import parse_ticks
 from tickwise.operators.enrich import enrich
 from tickwise.plans import catalog
@@ -20,6 +20,7 @@ from tickwise.plans.registered import EXCLUDED_SEGMENT, ORACLE_SQL as BATCH_SQL,
 from tickwise.plans.registered import _ENRICHED, _stats_sql
 from tickwise.sources import tables
 from tickwise.sources.files import read_table, replay_stream
+from tickwise.streaming import app
 from tickwise.streaming import queries as sq
 from tickwise.streaming.replay import SliceReplay
 from tickwise.streaming.sinks import latest_updates, versioned_writer
@@ -137,6 +138,55 @@ def stream_file_count(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.count_data_files(spark, out)
 
 
+def _app_run(spark: SparkSession, sf: str) -> tuple[Settings, str]:
+    """The two-query application over the replayed events, slice by slice in time order.
+
+    Its metadata file is derived from ``events`` by Spark: one row per symbol (name = upper-case symbol,
+    category from the symbol's length), written as a header CSV folder.
+    """
+    use_utc(spark)
+    root = scratch_path(spark, "stream_app")
+    symbols = tables.load(spark, sf, "events").select(F.col("event_type").alias("symbol")).distinct()
+    (symbols.select("symbol", F.upper("symbol").alias("coin_name"),
+                    F.concat(F.lit("kind-"), F.length("symbol").cast("string")).alias("category"))
+     .write.option("header", True).csv(f"{root}/metadata"))
+    settings = Settings(metadata_path=f"{root}/metadata", output_path=f"{root}/table",
+                        checkpoint_path=f"{root}/checkpoints", database="tickwise_app",
+                        table="ticks_" + root.rsplit("/", 1)[-1][:12])
+    replay = _replay(spark, sf, root)
+    for k in range(len(replay.bounds())):
+        replay.stage(k)
+        running = app.start(spark, settings, source="files", path=replay.stage_path,
+                            analytics_sink=versioned_writer(f"{root}/stats"),
+                            trigger={"availableNow": True})
+        for q in running.queries():
+            sq.drain(q)
+    return settings, root
+
+
+def stream_app_storage(spark: SparkSession, sf: str) -> DataFrame:
+    """What the application's storage query wrote, read through its catalog table."""
+    settings, _ = _app_run(spark, sf)
+    stored = read_table(spark, catalog.full_table_name(settings.database, settings.table))
+    return stored.select("symbol", "coin_name", "category", "price",
+                         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+def stream_app_window_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """The application's windowed statistics (update mode): last update per window and key."""
+    _, root = _app_run(spark, sf)
+    final = latest_updates(spark, f"{root}/stats", ["window_start", "window_end", *STAT_KEYS])
+    return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                        F.col("window_end").cast("timestamp_ntz").alias("window_end"), *STAT_KEYS,
+                        F.round("average_price", ROUND).alias("average_price"),
+                        "max_price", "min_price", "event_count")
+
+
+_APP_TICKS = ("SELECT event_type AS symbol, upper(event_type) AS coin_name, "
+              "'kind-' || CAST(length(event_type) AS VARCHAR) AS category, value AS price, ts AS timestamp "
+              "FROM events")
+
+
 def _late_sql() -> str:
     # The slice edges in epoch microseconds, computed as the replay computes them.
     span = "(SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) - min(epoch_us(ts)) + 1 AS span FROM events)"
@@ -161,6 +211,8 @@ QUERIES = {
     "stream_raw_store": stream_raw_store,
     "stream_flat_store": stream_flat_store,
     "stream_file_count": stream_file_count,
+    "stream_app_storage": stream_app_storage,
+    "stream_app_window_stats": stream_app_window_stats,
 }
 
 ORACLE_SQL = {
@@ -169,4 +221,6 @@ ORACLE_SQL = {
     "stream_late_rows": _late_sql(),
     "stream_raw_store": _ENRICHED,
     "stream_flat_store": _ENRICHED,
+    "stream_app_storage": _APP_TICKS,
+    "stream_app_window_stats": _stats_sql("2 seconds", "symbol, coin_name, category", _APP_TICKS),
 }
