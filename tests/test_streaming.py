@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tickwise.functions.parse import parse_ticks
 from tickwise.operators.enrich import enrich
-from tickwise.sources.files import read_metadata, replay_stream
+from tickwise.plans import catalog
+from tickwise.sources.files import read_metadata, read_table, replay_stream
 from tickwise.streaming import queries as sq
 from tickwise.streaming.sinks import latest_updates, versioned_writer
 
@@ -155,9 +156,6 @@ def test_dimension_edits_show_in_next_micro_batch(spark, workdir):
 
 
 def test_day_partitioned_storage_prunes_partitions(spark, workdir):
-    from tickwise.plans import catalog
-    from tickwise.sources.files import read_table
-
     stage, table = os.path.join(workdir, "stage"), os.path.join(workdir, "table")
     os.makedirs(stage)
     days = [_at(), _at(days=1), _at(days=2, seconds=3)]
@@ -187,3 +185,17 @@ def test_console_sink_runs(spark, workdir):
     q = sq.window_stats_query(stream, os.path.join(workdir, "ckpt"), "console", trigger={"availableNow": True})
     progress = sq.drain(q)
     assert q.exception() is None and progress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
+
+
+def test_clear_file_sink_folder_with_its_checkpoint(spark, workdir):
+    stage, out, ck = (os.path.join(workdir, d) for d in ("stage", "out", "ck"))
+    os.makedirs(stage)
+    write(os.path.join(stage, "a.json"), "\n".join(_msg(*r) for r in BATCHES[0]) + "\n")
+    stream = parse_ticks(replay_stream(spark, stage, "text").withColumnRenamed("value", "json"))
+    sq.drain(sq.raw_storage_query(stream, out, ck, trigger={"availableNow": True}))
+    assert spark.read.parquet(out).count() == 4
+    catalog.clear_location(spark, out, checkpoint=ck)
+    assert os.listdir(out) == [] and not os.path.exists(ck)
+    # A restarted query begins a new log and reads the source from the start again.
+    sq.drain(sq.raw_storage_query(stream, out, ck, trigger={"availableNow": True}))
+    assert spark.read.parquet(out).count() == 4

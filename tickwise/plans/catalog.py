@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tickwise.operators.joins import row_hash
 from tickwise.schemas import ENRICHED_DDL
-from tickwise.sources.fs import clear_folder, path_exists, qualified
+from tickwise.sources.fs import clear_folder, delete_path, path_exists, qualified
 
 _SIMPLE_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
@@ -109,12 +109,16 @@ def count_data_files(spark: SparkSession, path: str, recursive: bool = False) ->
     return data_files(spark, path, recursive).agg(F.count(F.lit(1)).alias("file_count"))
 
 
-def clear_location(spark: SparkSession, path: str, table: str | None = None) -> int:
+def clear_location(spark: SparkSession, path: str, table: str | None = None,
+                   checkpoint: str | None = None) -> int:
     """Delete everything inside a table folder, then refresh the table. Destructive, explicit only.
 
-    A folder written by Spark's streaming file sink must also have its checkpoint reset, otherwise the
-    sink's log still lists the deleted files.
+    For a folder written by Spark's streaming file sink pass the writing query's ``checkpoint`` as well (the
+    query must be stopped): it is deleted too, so a restarted query starts a fresh log instead of resuming
+    offsets whose files are gone.
     """
+    if checkpoint:
+        delete_path(spark, checkpoint)
     deleted = clear_folder(spark, path)
     if table:
         spark.catalog.refreshTable(table)

@@ -28,6 +28,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(hpath).toString()).rstrip("/")
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder tree; False when it did not exist. Destructive, explicit calls only."""
+    fs, hpath = _fs_and_path(spark, path)
+    return bool(fs.exists(hpath)) and bool(fs.delete(hpath, True))
+
+
 def clear_folder(spark: SparkSession, path: str) -> int:
     """Delete every child of ``path`` (creating the folder if missing); returns the number deleted.
 
