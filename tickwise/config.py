@@ -49,6 +49,9 @@ class Settings:
     sample_size: int = 20
     # Stored table layout: flat folder (original) or day=YYYY-MM-DD partitions for time pruning.
     partition_by_day: bool = False
+    # State partitions of the windowed statistics query, fixed at its first start (None: the session's
+    # spark.sql.shuffle.partitions); see streaming.queries.state_partitions.
+    state_partitions: int | None = None
     # Upper bound on the number of dimension rows shipped to every executor.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024

@@ -75,7 +75,8 @@ def start(spark: SparkSession, settings: Settings, source: str = "kafka", path:
                                    partition_by_day=settings.partition_by_day)
     analytics = sq.window_stats_query(stream, f"{settings.checkpoint_path}/window_stats", analytics_sink,
                                       settings.window_width, settings.watermark_delay,
-                                      name="tick_window_stats", trigger=trigger)
+                                      name="tick_window_stats", trigger=trigger,
+                                      partitions=settings.state_partitions)
     return RunningApp(storage, analytics)
 
 

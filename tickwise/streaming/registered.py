@@ -139,7 +139,8 @@ def stream_file_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _app_run(spark: SparkSession, sf: str) -> tuple[Settings, str]:
-    """The two-query application over the replayed events, slice by slice in time order.
+    """The two-query application over the replayed events, slice by slice in time order, both queries
+    running throughout (in-order slices cannot be late, so batch boundaries do not change results).
 
     Its metadata file is derived from ``events`` by Spark: one row per symbol (name = upper-case symbol,
     category from the symbol's length), written as a header CSV folder.
@@ -150,17 +151,26 @@ def _app_run(spark: SparkSession, sf: str) -> tuple[Settings, str]:
     (symbols.select("symbol", F.upper("symbol").alias("coin_name"),
                     F.concat(F.lit("kind-"), F.length("symbol").cast("string")).alias("category"))
      .write.option("header", True).csv(f"{root}/metadata"))
+    replay = _replay(spark, sf, root)
     settings = Settings(metadata_path=f"{root}/metadata", output_path=f"{root}/table",
                         checkpoint_path=f"{root}/checkpoints", database="tickwise_app",
-                        table="ticks_" + root.rsplit("/", 1)[-1][:12])
-    replay = _replay(spark, sf, root)
-    for k in range(len(replay.bounds())):
-        replay.stage(k)
-        running = app.start(spark, settings, source="files", path=replay.stage_path,
-                            analytics_sink=versioned_writer(f"{root}/stats"),
-                            trigger={"availableNow": True})
-        for q in running.queries():
-            sq.drain(q)
+                        table="ticks_" + root.rsplit("/", 1)[-1][:12],
+                        state_partitions=sq.state_partitions(spark, replay.rows_per_slice()))
+    def start(trigger):
+        return app.start(spark, settings, source="files", path=replay.stage_path,
+                         analytics_sink=versioned_writer(f"{root}/stats"), trigger=trigger)
+
+    # Slices in time order: both queries keep running while slices arrive, then one closing run.
+    running = start(None)
+    try:
+        for k in range(len(replay.bounds())):
+            replay.stage(k)
+            for q in running.queries():
+                q.processAllAvailable()
+    finally:
+        running.stop()
+    for q in start({"availableNow": True}).queries():
+        sq.drain(q)
     return settings, root
 
 
