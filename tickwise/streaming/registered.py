@@ -110,8 +110,11 @@ def _store_run(spark: SparkSession, sf: str, exactly_once: bool) -> tuple[str, s
     out = f"{root}/table"
     replay = _replay(spark, sf, root)
     stream = _enriched_stream(spark, sf, replay.stage_path)
-    replay.run(lambda: sq.raw_storage_query(stream, out, f"{root}/checkpoint", exactly_once=exactly_once,
-                                            trigger={"availableNow": True}), LATE_ORDER)
+    # Stateless storage: delivery order and batch boundaries cannot change what is stored, so one live
+    # query takes the slices, late ones included.
+    replay.run_live(lambda trigger: sq.raw_storage_query(stream, out, f"{root}/checkpoint",
+                                                         exactly_once=exactly_once, trigger=trigger),
+                    order=LATE_ORDER)
     return root, out
 
 
