@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tickwise.config import shared_dir
 from tickwise.functions.timefns import bucket_series, bucket_start, shift, time_label
-from tickwise.operators.joins import lookup_join
+from tickwise.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, lookup_join, row_bytes
 from tickwise.operators.latest import last_in_bucket
 
 
@@ -55,13 +55,19 @@ def dense_trend_grid(ticks: DataFrame, key: str = "symbol", timestamp: str = "ti
         shared_dir(ticks.sparkSession)  # make sure a checkpoint folder is configured
         frames = frames.checkpoint(eager=True)
     recent = ticks.select(key, timestamp, price, *tie_breakers)
+    lookup = frames.select(key, "grid_start")
     if not ticks.isStreaming:
-        # Rendered and parsed back by Spark in the session zone, so no driver-side time zone is involved.
-        earliest = frames.agg(F.date_format(F.min("grid_start"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-        if earliest is not None:
+        # One job over the small checkpoint: the earliest frame start (rendered and parsed back by Spark in
+        # the session zone, so no driver-side time zone is involved) and the frame table's size.
+        stats = lookup.agg(F.date_format(F.min("grid_start"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("earliest"),
+                           F.count(F.lit(1)).alias("rows"),
+                           F.coalesce(F.sum(row_bytes(lookup)), F.lit(0)).alias("bytes")).first()
+        if stats["earliest"] is not None:
             ts_type = dict(ticks.dtypes)[timestamp]
-            recent = recent.filter(F.col(timestamp) >= F.lit(earliest).cast(ts_type))
-    in_frame = (lookup_join(recent, frames.select(key, "grid_start"), key, "inner", broadcast=broadcast)
+            recent = recent.filter(F.col(timestamp) >= F.lit(stats["earliest"]).cast(ts_type))
+        if broadcast is None:
+            broadcast = stats["rows"] <= DEFAULT_MAX_ROWS and stats["bytes"] <= DEFAULT_MAX_BYTES
+    in_frame = (lookup_join(recent, lookup, key, "inner", broadcast=broadcast)
                 .filter(F.col(timestamp) >= F.col("grid_start")))
     points = last_in_bucket(in_frame, width, key, price, timestamp, tie_breakers)
     grid = frames.select(key, F.explode(bucket_series("grid_start", "grid_end", bucket_seconds))

@@ -27,7 +27,8 @@ class SizeCheck:
     bounded: bool
 
 
-def _row_bytes(df: DataFrame):
+def row_bytes(df: DataFrame):
+    """Approximate in-memory bytes of a row: string/binary lengths plus 16 per other column."""
     parts = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -54,7 +55,7 @@ def check_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     n = int(df.agg(F.count(F.lit(1))).first()[0])
     if n > max_rows:
         return SizeCheck(rows=n, bytes=-1, bounded=False)
-    b = int(df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0])
+    b = int(df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0])
     return SizeCheck(rows=n, bytes=b, bounded=b <= max_bytes)
 
 
