@@ -45,3 +45,12 @@ def test_kafka_sink_query_is_wired(spark, workdir):
     with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND|Failed to find data source: kafka"):
         kafka_sink_query(kafka_records(ticks), kafka.sink_options(Settings()), os.path.join(workdir, "c"),
                          trigger={"availableNow": True}).awaitTermination()
+
+
+def test_state_partitions_sizing(spark):
+    from tickwise.streaming.queries import state_partitions
+
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert state_partitions(spark, 10) == 1
+    assert state_partitions(spark, 5_000_000, target_rows=1_000_000) == min(cap, 5)
+    assert state_partitions(spark, 10**12) == cap

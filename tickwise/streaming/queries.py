@@ -24,7 +24,8 @@ def state_partitions(spark: SparkSession, rows_per_trigger: int,
                      target_rows: int = 2_000_000) -> int:
     """State-store partitions for a stateful query: enough that one partition handles about
     ``target_rows`` input rows per trigger, never more than the session's shuffle partitions."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    setting = str(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    cap = int(setting) if setting.isdigit() else 200  # non-numeric settings: Spark's default
     need = -(-max(rows_per_trigger, 1) // target_rows)
     return max(1, min(cap, need))
 
