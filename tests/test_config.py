@@ -7,7 +7,7 @@ import pytest
 from tickwise.functions.encode import kafka_records
 from tickwise.functions.parse import parse_ticks
 from tickwise.sources.files import replay_stream
-from tickwise.streaming.queries import kafka_sink_query
+from tickwise.streaming.queries import kafka_sink_query, state_partitions
 
 from tickwise.config import Settings, scratch_path, shared_dir
 from tickwise.sources import kafka
@@ -48,8 +48,6 @@ def test_kafka_sink_query_is_wired(spark, workdir):
 
 
 def test_state_partitions_sizing(spark):
-    from tickwise.streaming.queries import state_partitions
-
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert state_partitions(spark, 10) == 1
     assert state_partitions(spark, 5_000_000, target_rows=1_000_000) == min(cap, 5)
