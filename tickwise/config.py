@@ -79,7 +79,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
-    "spark.hadoop.parquet.enable.summary-metadata": "false",
+    "spark.hadoop.parquet.summary.metadata.level": "NONE",
     # State of windowed aggregations lives in RocksDB (off-heap, scales past executor memory); changelog
     # checkpointing uploads only the changes of each micro-batch instead of a full snapshot.
     "spark.sql.streaming.stateStore.providerClass":
