@@ -70,8 +70,9 @@ class Settings:
         return replace(base, **overrides)
 
 
-# Session options every job relies on. Event time is interpreted in UTC; the two committer switches keep
-# a written table folder flat (no _SUCCESS marker), which the storage contract asks for.
+# Session options every job relies on. Event time is interpreted in UTC; the committer and Parquet
+# summary switches keep a written table folder to data files only (no _SUCCESS marker, no summary files),
+# which the storage contract asks for.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
