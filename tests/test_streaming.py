@@ -199,3 +199,22 @@ def test_clear_file_sink_folder_with_its_checkpoint(spark, workdir):
     # A restarted query begins a new log and reads the source from the start again.
     sq.drain(sq.raw_storage_query(stream, out, ck, trigger={"availableNow": True}))
     assert spark.read.parquet(out).count() == 4
+
+
+def test_streaming_stats_combine_before_the_state_store(spark, workdir, capsys):
+    stage = os.path.join(workdir, "stage")
+    os.makedirs(stage)
+    # One symbol carries most ticks.
+    rows = [("BTC", float(i), _at(seconds=i % 7)) for i in range(60)] + [("ETH", 1.0, _at())]
+    write(os.path.join(stage, "a.json"), "\n".join(_msg(*r) for r in rows) + "\n")
+    stream = parse_ticks(replay_stream(spark, stage, "text").withColumnRenamed("value", "json"))
+    stream = stream.withColumn("coin_name", F.lit("n")).withColumn("category", F.lit("c"))
+    q = sq.window_stats_query(stream, os.path.join(workdir, "ckpt"), "memory", name="tick_stats_plan",
+                              trigger={"availableNow": True})
+    sq.drain(q)
+    capsys.readouterr()
+    q.explain()  # the physical plan of the last micro-batch
+    plan = capsys.readouterr().out
+    assert "partial_avg" in plan and "StateStoreSave" in plan
+    assert plan.index("StateStoreSave") < plan.index("partial_avg")  # partial aggregate sits below the state
+    assert spark.table("tick_stats_plan").agg(F.sum("event_count")).first()[0] == 61
