@@ -1,9 +1,11 @@
 """Registered streaming queries: the original job's two streams, replayed from the shared tables.
 
-Each query stages ``events`` as JSON messages in five event-time slices (see ``replay``), runs the real
-Structured Streaming plan (file source -> strict parse -> stream-static enrichment -> watermarked
-2-second windows in update mode / raw append storage) slice by slice from its checkpoint, and returns a
-batch DataFrame over what the sink wrote. Scratch folders live under ``spark.checkpoint.dir``.
+Each query stages ``events`` as JSON messages in five event-time slices (see ``replay``) and runs the real
+Structured Streaming plan (file source -> strict parse -> stream-static enrichment -> watermarked 2-second
+windows in update or append mode / raw append storage). Slices in time order, and any order for the
+stateless storage queries, feed one running query that is restarted once at the end; the stateful
+out-of-order replay restarts from its checkpoint for every slice. Each query returns a batch DataFrame over
+what its sink wrote. Scratch folders live under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
