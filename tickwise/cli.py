@@ -23,8 +23,13 @@ from tickwise.plans.inspection import inspect, print_report
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tickwise")
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("stream", "inspect", "clear-check", "dashboard", "compact"):
-        s = sub.add_parser(name)
+    helps = {"stream": "run the storage and window-statistics queries (Kafka or a folder of JSON lines)",
+             "inspect": "report on the stored table (files, schema, counts, time range, rows per symbol)",
+             "clear-check": "delete the stored table's files, then count and sample it (destructive)",
+             "dashboard": "print the dashboard tables from the stored folder or the topic",
+             "compact": "rewrite the stored folder's small files into large time-ordered files elsewhere"}
+    for name, text in helps.items():
+        s = sub.add_parser(name, help=text, description=text)
         s.add_argument("--database")
         s.add_argument("--table")
         s.add_argument("--table-path")
