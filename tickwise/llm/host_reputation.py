@@ -3,8 +3,8 @@
 Labelled pages are good or bad outcomes of their host. Counts are pooled per host, registered domain and
 suffix; each level is a beta-binomial whose prior mean is its parent's posterior mean and whose prior strength
 comes from the spread seen at that level (method of moments). A host with few labels thus leans on its domain,
-one with none on the domain's posterior, and so on up. The host is blocked when even the lower bound of the
-posterior share of good pages lies below a floor.
+one with none on the domain's posterior, and so on up. A host is blocked when even the upper
+bound of its posterior share of good pages lies below a floor: hosts that are merely unknown stay.
 
 Everything is grouped counts and equi-joins in SQL functions. Cases: a null url or one without ``://`` has
 empty host and path and is judged as that host; labels with a null id or value count nowhere; contradicting
@@ -31,7 +31,7 @@ class Rule:
         return self.host + self.path
 
 
-#: Lower bound: so many standard deviations below the posterior mean, and the least good share it may have.
+#: Upper bound: so many standard deviations above the posterior mean, and the least good share it must reach.
 DEVIATIONS = 1.645
 FLOOR = 0.5
 #: Suffixes of two labels; others are the last label alone.
@@ -96,8 +96,8 @@ def reputations(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     return _level(base.join(domain, "domain"), "host", "domain_mean").withColumnRenamed("mean", "reputation")
 
 
-def lower_bound(a: Column, b: Column, deviations: float = DEVIATIONS) -> Column:
-    return a / (a + b) - deviations * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
+def upper_bound(a: Column, b: Column, deviations: float = DEVIATIONS) -> Column:
+    return a / (a + b) + deviations * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], floor: float = FLOOR) -> DataFrame:
@@ -110,7 +110,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], floor: float =
     outcomes = split.join(told, split["page_id"] == told["label_id"]).select("host", "good")
     domain, suffix = registered_domain(F.col("host"))
     hosts = split.select("host").distinct().select("host", domain.alias("domain"), suffix.alias("suffix"))
-    known = reputations(outcomes, hosts).withColumn("bound", lower_bound(F.col("a"), F.col("b"))).select(
+    known = reputations(outcomes, hosts).withColumn("bound", upper_bound(F.col("a"), F.col("b"))).select(
         "host", "reputation", "bound")
     rule, fixed = rule_columns(F.col("host"), F.col("path"), rules)
     return split.join(known, "host").select(
