@@ -9,13 +9,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tickwise
 from tickwise.config import scratch_path
 
 _DDL = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.string(): "string",
@@ -23,6 +27,23 @@ _DDL = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.stri
         pa.list_(pa.float64()): "array<double>"}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(tickwise.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="tickwise-code-")) / "tickwise.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in package.rglob("*.py"):
+            out.write(source, Path(package.name) / source.relative_to(package))
+    context.addPyFile(str(archive))
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], fields: list[tuple[str, pa.DataType]],
              rows_per_batch: int = 512) -> DataFrame:
     """``fn`` gets the rows of one partition as tuples, in order, and yields result tuples.
@@ -31,6 +52,7 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], fi
     so a task's memory is bounded by one Arrow batch and not by the partition.
     """
     schema = pa.schema(fields)
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -147,7 +169,10 @@ def word_hashes(text: str | None) -> np.ndarray:
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """uint64 hash per run of ``width`` words; a shorter text has its whole sequence as one; none without words."""
+    """63-bit hash (as uint64) per run of ``width`` words, so that signed and unsigned order agree.
+
+    A shorter text has its whole sequence as one run; a text without words has none.
+    """
     n = len(words)
     if not n:
         return words
@@ -155,11 +180,11 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
         acc = np.array([n], np.uint64)
         for j in range(n):
             acc = mix(acc * np.uint64(_R) + words[j:j + 1])
-        return acc
+        return acc >> np.uint64(1)
     acc = words[:n - width + 1]
     for j in range(1, width):
         acc = mix(acc * np.uint64(_R) + words[j:n - width + 1 + j])
-    return acc
+    return acc >> np.uint64(1)
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import map_rows, shingle_hashes, word_hashes
+from tickwise.llm.common import map_rows, shingle_hashes, ship, word_hashes
 
 WIDTH = 5
 SHARE = (4, 5)
@@ -153,6 +153,7 @@ def contained_items(docs: DataFrame, items: DataFrame, item_id: str = "item_id",
 def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE) -> DataFrame:
     """The documents that hold no test item, with their columns; texts are judged where they lie, without a join."""
     spark = docs.sparkSession
+    ship(spark)
     out = docs
     for ids, texts in _blocks(items, "item_id"):
         index = spark.sparkContext.broadcast(ItemIndex(ids, texts, width, share))

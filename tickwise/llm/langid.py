@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import fold, held_out, map_rows
+from tickwise.llm.common import fold, held_out, map_rows, ship
 
 #: Bound of the learning sample: expected bytes of text per language, rows chosen by a hash of their id.
 TRAIN_BYTES = 1_000_000
@@ -247,6 +247,7 @@ MOST_BITS = 8.0
 
 def explained(docs: DataFrame, model: Model | None, most_bits: float = MOST_BITS) -> DataFrame:
     """The documents some learned language explains, with their columns; judged where they lie, without a join."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import map_rows
+from tickwise.llm.common import map_rows, ship
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -240,6 +240,8 @@ def masked_text(text: str | None) -> str | None:
 
 def mask(docs: DataFrame, column: str = "text") -> DataFrame:
     """The same rows and columns with masked texts; ``n_chars`` follows where there is such a column."""
+    ship(docs.sparkSession)
+
     @F.pandas_udf("string")
     def run(texts):
         return texts.map(masked_text, na_action="ignore")

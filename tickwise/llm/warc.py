@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition,
                                     StringStartsWith, WriterCommitMessage)
 
+from tickwise.llm.common import ship
+
 SCHEMA = ("record_id string, record_type string, target_uri string, payload_digest string, refers_to string, "
           "payload_bytes bigint, payload binary")
 ROLL_BYTES = 128 << 20
@@ -335,6 +337,7 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
