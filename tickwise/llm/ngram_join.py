@@ -9,8 +9,10 @@ are the index keys. Order and classes steer the cost only; every choice gives th
 
 Candidates meet in three steps. First each bucket's members are verified against one pivot (a star, not all
 pairs) and the links contracted to components. Only buckets whose members still lie in different components
-are then paired, and only across components, under length and shareable-token bounds. All verification is
-exact intersection of the whole sets. Nothing is capped; links, components and sets never reach the driver.
+are then paired, and only across components, under length and shareable-token bounds. Every candidate pair is
+first bounded by what the two prefixes, a small part of the sets, show to be shared or not; what can still
+link is verified by exact intersection of the whole sets. Nothing is capped; links, components and sets never
+reach the driver.
 
 Cases: null, empty and wordless texts have 0 shingles and a component of their own; repeated rows and rows
 that share an id are one vertex; a null id gets no component; an empty table gives an empty result.
@@ -96,7 +98,9 @@ def _heavy(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(tokens: np.ndarray, heavy: np.ndarray, rank: np.ndarray, num: int, den: int):
-    """(single rare tokens, pairs of frequent tokens, whether the prefix holds all rare tokens) of one set.
+    """(single rare tokens, keys of pairs of frequent tokens, whether the prefix holds all rare tokens) of a set.
+
+    Pair keys are odd; a single token's key is twice the token.
 
     ``tokens``: the sorted set; two sets link if den * shared >= num * (size of their union).
     """
@@ -130,7 +134,7 @@ def signatures(tokens: np.ndarray, heavy: np.ndarray, rank: np.ndarray, num: int
             if len(group) > 1:
                 i, j = np.triu_indices(len(group), 1)
                 low, high = np.minimum(group[i], group[j]), np.maximum(group[i], group[j])
-                pairs.append(mix(mix(low + np.uint64(size + 1)) * np.uint64(3) + high))
+                pairs.append(mix(mix(low + np.uint64(size + 1)) * np.uint64(3) + high) | np.uint64(1))
     return rare, np.unique(np.concatenate(pairs)) if pairs else none, True
 
 
@@ -143,13 +147,31 @@ def _signature_table(docs: DataFrame, width: int, num: int, den: int, heavy, ran
             tokens = shingle_set(text, width)
             singles, pairs, full = signatures(tokens, known, order, num, den)
             if len(singles) or len(pairs):
-                yield doc_id, len(tokens), full, len(singles), longs(singles), longs(pairs)
+                yield doc_id, len(tokens), full, longs(singles), longs(pairs)
 
-    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("full", pa.bool_()), ("n_singles", pa.int64()),
-              ("singles", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64()))]
+    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("full", pa.bool_()), ("singles", pa.list_(pa.int64())),
+              ("pairs", pa.list_(pa.int64()))]
     return written(map_rows(docs.select("doc_id", "text"), run, fields), "ngram-signatures")
 
 
+def _possible(pairs: DataFrame, prefixes: DataFrame, num: int, den: int) -> DataFrame:
+    """The (a, b) whose prefixes leave a link possible.
+
+    Up to the smaller of the two prefixes' last tokens (all rare tokens, where a prefix holds them all) it is
+    known which tokens either set has; of the others the smaller number could be shared at most.
+    """
+    def side(c: str) -> DataFrame:
+        last = F.when(F.col("full"), F.lit((1 << 63) - 1)).otherwise(F.array_max("singles"))
+        return prefixes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("singles").alias(f"p{c}"),
+                               last.alias(f"l{c}"))
+
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    end = F.least("la", "lb")
+    seen = lambda c: F.size(F.filter(f"p{c}", lambda t: t <= end))
+    most = F.size(F.array_intersect("pa", "pb")) + F.least(F.col("na") - seen("a"), F.col("nb") - seen("b"))
+    return both.where(most * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b").distinct()
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole sets link. Sets are made only for documents that occur in a pair.
 
@@ -199,13 +221,13 @@ def similarity_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int
     classes = written(each.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
                       .groupBy("key").agg(F.min("doc_id").alias("class_id")), "ngram-classes")
     leaders = classes.select(F.col("class_id").alias("doc_id")).distinct()
-    own = stored.join(leaders, "doc_id", "left_semi")
-    postings = own.select(F.explode("singles").alias("sig"), F.lit(False).alias("combined"), F.col("doc_id").alias("id"),
-                          "n", "full", "n_singles").unionByName(
-        own.select(F.explode("pairs").alias("sig"), F.lit(True).alias("combined"), F.col("doc_id").alias("id"), "n",
-                   "full", "n_singles"))
-    met = postings.groupBy("sig", "combined").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    shared = written(postings.join(met, ["sig", "combined"]), "ngram-postings")
+    own = written(stored.join(leaders, "doc_id", "left_semi"), "ngram-leaders")
+    keys = F.concat(F.transform("singles", lambda t: F.shiftleft(t, 1)), "pairs")
+    postings = own.select(F.explode(keys).alias("sig"), F.col("doc_id").alias("id"))
+    met = postings.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+    about = own.select(F.col("doc_id").alias("id"), "n", "full", F.size("singles").alias("n_singles"))
+    shared = written(postings.join(met, "sig").join(about, "id").withColumn("combined", F.col("sig").bitwiseAND(1) == 1),
+                     "ngram-postings")
 
     # Tokens only this document has can't be shared: where a prefix holds all rare tokens, they are known.
     able = shared.groupBy("id").agg(F.max(F.when(F.col("full"), F.col("n_singles")).otherwise(0)).alias("own"),
@@ -217,27 +239,28 @@ def similarity_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int
 
     size_class = F.floor(F.log("n") / F.log(F.lit(den / num)))
     sized = members.withColumn("z", size_class)
-    pivots = sized.groupBy("sig", "combined", "z").agg(F.min(F.struct("id", "n", "s")).alias("p"))
-    star = written(sized.join(pivots, ["sig", "combined", "z"]).where(
+    pivots = sized.groupBy("sig", "z").agg(F.min(F.struct("id", "n", "s")).alias("p"))
+    star = written(sized.join(pivots, ["sig", "z"]).where(
         (F.col("id") != F.col("p.id"))
         & _may_link(F.col("n"), F.col("s"), F.col("p.n"), F.col("p.s"), F.col("combined"), num, den))
         .select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct(), "ngram-star")
-    links = written(_linked(star, docs, width, num, den), "ngram-links")
+    links = written(_linked(written(_possible(star, own, num, den), "ngram-possible"), docs, width, num, den),
+                    "ngram-links")
 
     joined = components(links)
     placed = members.join(joined, "id", "left").select(
         "sig", "combined", "id", "n", "s", F.coalesce("component", "id").alias("component"))
     placed = written(placed, "ngram-placed")
-    open_buckets = placed.groupBy("sig", "combined").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig", "combined")
-    rest = placed.join(open_buckets, ["sig", "combined"], "left_semi")
+    open_buckets = placed.groupBy("sig").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
+    rest = placed.join(open_buckets, "sig", "left_semi")
     left = rest.select("sig", "combined", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "s", "component")))
     right = rest.select("sig", "combined", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "s", "component")))
-    across = left.join(right, ["sig", "combined"]).where(
+    across = left.join(right.drop("combined"), "sig").where(
         (F.col("id1") < F.col("id2")) & (F.col("component1") != F.col("component2"))
         & _may_link(F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"), F.col("combined"), num, den)).select(
         F.col("id1").alias("a"), F.col("id2").alias("b")).distinct()
-    across = written(across.join(star, ["a", "b"], "left_anti"), "ngram-across")
+    across = written(_possible(across.join(star, ["a", "b"], "left_anti"), own, num, den), "ngram-across")
     links = links.unionByName(_linked(across, docs, width, num, den))
     # Rows that share an id are one vertex, whatever their texts: their classes are linked too.
     same = each.where(F.col("key").isNotNull()).join(classes, "key").where(F.col("doc_id") != F.col("class_id")).join(
