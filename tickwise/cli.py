@@ -15,9 +15,9 @@ from __future__ import annotations
 import argparse
 from dataclasses import replace
 
-from tickwise.config import Settings, build_session
+from tickwise.config import Settings, build_session, release_scratch
 from tickwise.plans import catalog, dashboard
-from tickwise.plans.inspection import inspect, print_report
+from tickwise.plans.inspection import inspect, print_report, print_rows
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--table-path")
         s.add_argument("--warehouse-dir")
         s.add_argument("--master")
+        s.add_argument("--catalog", choices=["in-memory", "hive"],
+                       help="where table definitions live; hive: the metastore the cluster is configured for")
         s.add_argument("--partition-by-day", action="store_true",
                        help="stored table uses day=YYYY-MM-DD partition folders")
         if name == "stream":
@@ -45,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--sample-size", type=int)
         if name == "dashboard":
             s.add_argument("--source", choices=["parquet", "kafka"], default="parquet")
+            s.add_argument("--output", help="write each result as a Parquet folder below this path instead of "
+                                            "printing its rows")
         if name == "compact":
             s.add_argument("--target", required=True)
             s.add_argument("--rows-per-file", type=int, default=5_000_000)
@@ -55,7 +59,7 @@ def settings_from(args: argparse.Namespace) -> Settings:
     s = Settings.from_env()
     overrides = {"database": args.database, "table": args.table, "output_path": args.table_path,
                  "warehouse_dir": args.warehouse_dir, "sample_size": getattr(args, "sample_size", None),
-                 "partition_by_day": args.partition_by_day or None}
+                 "partition_by_day": args.partition_by_day or None, "catalog": args.catalog}
     return replace(s, **{k: v for k, v in overrides.items() if v is not None})
 
 
@@ -68,27 +72,32 @@ def main(argv: list[str] | None = None) -> int:
             from tickwise.streaming.app import run_forever
             run_forever(spark, settings, source=args.source, path=args.path, exactly_once=args.exactly_once)
         elif args.command == "inspect":
-            print(f"\n=== Database ===\n{settings.database}")
+            print(f"--- database\n{settings.database}")
             print_report(inspect(spark, settings))
         elif args.command == "clear-check":
             name = catalog.register_table(spark, settings.database, settings.table, settings.output_path,
                                           replace=False, partition_by_day=settings.partition_by_day)
-            catalog.show_databases(spark).show(truncate=False)
-            catalog.show_tables(spark, settings.database).show(truncate=False)
+            print_rows("databases", catalog.show_databases(spark))
+            print_rows("tables", catalog.show_tables(spark, settings.database))
             deleted = catalog.clear_location(spark, settings.output_path, name)
             print(f"Deleted {deleted} entries under {settings.output_path}")
-            spark.sql(f"SELECT COUNT(*) AS record_count FROM {name}").show(truncate=False)
-            spark.sql(f"SELECT * FROM {name} LIMIT 10").show(10, truncate=False)
+            print_rows("stored ticks", spark.sql(f"SELECT COUNT(*) AS record_count FROM {name}"))
+            print_rows("ten of them", spark.sql(f"SELECT * FROM {name} LIMIT 10"))
         elif args.command == "dashboard":
             frames = (dashboard.from_parquet(spark, settings) if args.source == "parquet"
                       else dashboard.from_topic(spark, settings))
-            for title, df in (("Live Prices", frames.latest), ("Window Aggregations", frames.analytics),
-                              ("Price Trends", frames.trends)):
-                print(f"\n=== {title} ===")
-                df.show(20, truncate=False)
+            for name in ("latest", "analytics", "trends", "grid", "symbols"):
+                df = getattr(frames, name)
+                if args.output:
+                    df.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")
+                else:
+                    print_rows(name, df)
         elif args.command == "compact":
-            out = catalog.compact(spark, settings.output_path, args.target, args.rows_per_file)
+            out = catalog.compact(spark, settings.output_path, args.target, args.rows_per_file,
+                                  partition_by_day=settings.partition_by_day)
             print(f"compacted into {len(out.inputFiles())} files at {args.target}")
     finally:
+        if args.command != "stream":
+            release_scratch(spark)
         spark.stop()
     return 0

@@ -9,9 +9,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults of the original deployment (environment names and their fall-backs).
 DEFAULT_BOOTSTRAP_SERVERS = "kafka:29092"
@@ -49,9 +50,8 @@ class Settings:
     sample_size: int = 20
     # Stored table layout: flat folder (original) or day=YYYY-MM-DD partitions for time pruning.
     partition_by_day: bool = False
-    # State partitions of the windowed statistics query, fixed at its first start (None: the session's
-    # spark.sql.shuffle.partitions); see streaming.queries.state_partitions.
-    state_partitions: int | None = None
+    # Where table definitions live: in this session ("in-memory") or in a shared Hive metastore ("hive").
+    catalog: str = "in-memory"
     # Upper bound on the number of dimension rows shipped to every executor.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
@@ -91,22 +91,19 @@ SESSION_CONF = {
 
 
 def build_session(app_name: str = "tickwise", master: str | None = None,
-                  settings: Settings | None = None, extra: dict | None = None,
-                  raw_local_files: bool = False) -> SparkSession:
+                  settings: Settings | None = None, extra: dict | None = None) -> SparkSession:
     """Session with the options above.
 
-    ``raw_local_files`` makes ``file:`` paths skip Hadoop's hidden ``.crc`` side files, so a table folder
-    on a local or mounted disk holds only data files. It is off by default: the RocksDB state store
-    cannot commit its checkpoints through that file system. Cluster stores have no side files.
+    With ``settings.catalog == "hive"`` tables registered by one process are known to the next, through the
+    metastore that the cluster's Hive configuration names.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    if raw_local_files:
-        conf["spark.hadoop.fs.file.impl"] = "org.apache.hadoop.fs.RawLocalFileSystem"
     if settings is not None:
         conf["spark.sql.warehouse.dir"] = settings.warehouse_dir
+        conf["spark.sql.catalogImplementation"] = settings.catalog
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -124,8 +121,8 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system every executor can reach. Only when the session names none
-    (unit tests, a laptop) a local folder is created and registered as the checkpoint directory.
+    On a cluster this must be a shared file system every executor can reach; without one this fails. Only a
+    local session (unit tests, a laptop) gets a folder of its own, registered as its checkpoint directory.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -133,11 +130,60 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"no shared scratch folder: set spark.checkpoint.dir to one that all executors of "
+                           f"{master} can reach")
     local = tempfile.mkdtemp(prefix="tickwise-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own part of the shared scratch folder."""
+    return f"{shared_dir(spark)}/tickwise/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never reused folder below the shared scratch folder."""
-    return f"{shared_dir(spark)}/tickwise/{purpose}/{uuid.uuid4().hex}"
+    """A fresh, never reused folder below the application's scratch folder."""
+    return f"{scratch_root(spark)}/{purpose}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a Parquet table in the scratch folder: computed once, lineage cut, no executor holds them."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: What a session derived once from an input and keeps until it is released, by (application, purpose, input).
+_SHARED: dict[tuple[str, str, str], object] = {}
+
+
+def shared_once(spark: SparkSession, purpose: str, source: str, build: Callable[[], object]):
+    """The result of ``build``, made once per application, purpose and input folder."""
+    key = (spark.sparkContext.applicationId, purpose, source)
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete everything this application left in the scratch folder, with the tables registered over it.
+
+    Call it when no result of the application is needed any more: results read from there.
+    """
+    root = scratch_root(spark)
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _SHARED if k[0] == app]:
+        del _SHARED[key]
+    for db in [d.name for d in spark.catalog.listDatabases()]:
+        for t in spark.catalog.listTables(db):
+            if t.isTemporary:
+                continue
+            where = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{t.name}`").collect()
+                     if r["col_name"] == "Location"]
+            if where and f"/tickwise/{app}/" in where[0]:
+                spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{t.name}`")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

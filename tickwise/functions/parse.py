@@ -67,3 +67,20 @@ def normalize_prices(df: DataFrame, symbol: str = "symbol", price: str = "price"
     out = out.na.drop(subset=[symbol, price, timestamp])
     missing = {c: F.lit("") for c in defaults if c not in dtype}
     return out.withColumns(missing) if missing else out
+
+
+# A loosely typed message: every field as its own text.
+_LOOSE_MESSAGE = T.StructType([T.StructField(c, T.StringType(), True) for c in ("symbol", "price", "timestamp")])
+
+
+def loose_messages(df: DataFrame, json_col: str = "json", keep: Sequence[str] = ()) -> DataFrame:
+    """One JSON message per row as loose ``symbol, price, timestamp`` texts for :func:`normalize_prices`.
+
+    Numbers and quoted numbers both become text; epoch-second numbers become readable timestamps. What is
+    no JSON object becomes a row of nulls, which the normaliser drops.
+    """
+    parsed = df.select(*keep, F.inline(F.array(F.from_json(F.col(json_col), _LOOSE_MESSAGE))))
+    seconds = F.col("timestamp").try_cast("double")
+    stamp = F.when(seconds.isNotNull(), F.concat(F.timestamp_seconds(seconds).cast("timestamp_ntz").cast("string"),
+                                                 F.lit("Z"))).otherwise(F.col("timestamp"))
+    return parsed.withColumn("timestamp", stamp)

@@ -1,22 +1,25 @@
 """Price-API snapshots to ticks.
 
 A snapshot is one HTTP response: a status code, a JSON body mapping asset ids to ``{"usd": price}`` and the
-time it was fetched. Every configured asset present with a non-null USD quote yields one tick stamped with
-the snapshot's fetch time; absent assets, null quotes, quotes without ``usd`` and unknown ids are skipped.
-Responses outside 200-299 yield nothing and are rejected, as are successful responses without any
-configured price.
-
-The asset list is configuration (a handful of entries), so it is applied as a literal map lookup inside
-each row: no join, no shuffle, and the work is a pure per-row projection over the snapshot table.
+time it was fetched. Every configured asset present with a usable USD quote yields one tick per symbol
+configured for it, stamped with the snapshot's fetch time; absent assets, null quotes, quotes without ``usd``
+and unknown ids are skipped, and where a body repeats an id its last entry counts. Responses outside 200-299
+yield nothing and are rejected, as are successful responses without any configured price.
+
+A body is parsed once: its quotes are exploded behind a generator and joined to the asset table (broadcast only
+when that is checked to be small). Prices stay number texts of any size and precision up to the wire; only the
+analytics column is a double.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.operators.joins import lookup_join
 from tickwise.schemas import SNAPSHOT_BODY
 
 # Asset id -> ticker symbol of the default deployment, in configured order.
@@ -28,48 +31,71 @@ DEFAULT_ASSETS = (
     ("ripple", "XRP"),
 )
 
-# Upper bound on a configured asset list; it is embedded in the plan as a literal.
-MAX_ASSETS = 10_000
-
-
-def _asset_map(assets: Iterable[tuple[str, str]] | Mapping[str, str]) -> Column:
-    pairs = list(assets.items()) if isinstance(assets, Mapping) else list(assets)
-    if not pairs:
-        raise ValueError("at least one asset must be configured")
-    if len(pairs) > MAX_ASSETS:
-        raise ValueError(f"{len(pairs)} assets configured; the lookup is a literal of at most {MAX_ASSETS}")
-    flat = [F.lit(x) for pair in pairs for x in pair]
-    return F.create_map(*flat)
-
-
-def _quotes(body: str, assets) -> Column:
-    """Array of (symbol, usd) for the configured assets with a usable quote."""
-    lookup = _asset_map(assets)
-    entries = F.map_entries(F.from_json(F.col(body), SNAPSHOT_BODY))
-    tagged = F.transform(entries, lambda e: F.struct(
-        F.element_at(lookup, e["key"]).alias("symbol"), e["value"]["usd"].alias("usd")))
-    return F.filter(tagged, lambda q: q["symbol"].isNotNull() & q["usd"].isNotNull())
-
-
-def _ok(status: str) -> Column:
-    return F.col(status).between(200, 299)
+Assets = DataFrame | Iterable[tuple[str, str]] | Mapping[str, str]
+_USD_NUMBER = r'((?<!\\)"usd"\s*:\s*)(-?[0-9][0-9.eE+-]*)'
+_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+
+def asset_table(spark: SparkSession, assets: Assets) -> DataFrame:
+    """``asset_id, symbol`` rows; an id may have several symbols, equal rows count once."""
+    if isinstance(assets, DataFrame):
+        table = assets.select("asset_id", "symbol")
+    else:
+        pairs = list(assets.items()) if isinstance(assets, Mapping) else list(assets)
+        if not pairs:
+            raise ValueError("at least one asset must be configured")
+        table = spark.createDataFrame(pa.table({"asset_id": [a for a, _ in pairs], "symbol": [s for _, s in pairs]}))
+    return table.na.drop().distinct()
+
+
+def snapshot_quotes(snapshots: DataFrame, assets: Assets = DEFAULT_ASSETS, status: str = "status",
+                    body: str = "body", fetched_at: str = "fetched_at", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every snapshot with its configured quotes: ``keep``, status, timestamp, snapshot_row, symbol, price_text.
+
+    A snapshot without a usable configured quote has one row with null symbol, so nothing is lost before
+    ticks and rejects are told apart.
+    """
+    accepted = F.col(status).between(200, 299)
+    # Put in quotes, a number reaches the string field digit by digit; bare, it would pass through a double.
+    exact = F.regexp_replace(F.col(body), _USD_NUMBER, r'$1"$2"')
+    entries = F.map_entries(F.from_json(F.when(accepted, exact), SNAPSHOT_BODY))
+    rows = snapshots.select(*keep, F.col(status).alias("_status"), F.col(fetched_at).alias("timestamp"),
+                            F.monotonically_increasing_id().alias("snapshot_row"),
+                            F.inline_outer(F.array(F.struct(entries.alias("entries")))))
+    # The last entry of a repeated id counts: keep those whose id does not occur behind them.
+    ids = F.transform("entries", lambda e: e["key"])
+    last = F.filter("entries", lambda e, i: F.array_position(F.slice(ids, i + 2, F.size(ids) + 1), e["key"]) == 0)
+    quoted = rows.select(*keep, "_status", "timestamp", "snapshot_row", F.explode_outer(last).alias("e")).select(
+        *keep, "_status", "timestamp", "snapshot_row", F.col("e.key").alias("asset_id"),
+        F.when(F.col("e.value.usd").rlike(_NUMBER), F.col("e.value.usd")).alias("price_text"))
+    table = asset_table(snapshots.sparkSession, assets)
+    joined = lookup_join(quoted, table, "asset_id", "left")
+    usable = F.col("symbol").isNotNull() & F.col("price_text").isNotNull()
+    return joined.select(*keep, F.col("_status").alias(status), "timestamp", "snapshot_row",
+                         F.when(usable, F.col("symbol")).alias("symbol"),
+                         F.when(usable, F.col("price_text")).alias("price_text"))
+
+
+def ticks_of(quotes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``symbol, price, timestamp, price_text`` of every usable quote."""
+    return quotes.where(F.col("symbol").isNotNull()).select(
+        *keep, "symbol", F.col("price_text").cast("double").alias("price"), "timestamp", "price_text")
+
+
+def rejects_of(quotes: DataFrame, status: str = "status", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Snapshots that produce no tick, with the reason: ``http_status`` or ``no_prices``."""
+    ok = F.coalesce(F.col(status).between(200, 299), F.lit(False))
+    per = quotes.groupBy("snapshot_row", *keep, status).agg(F.count("symbol").alias("n")).where("n = 0")
+    return per.select(*keep, status, F.when(ok, "no_prices").otherwise("http_status").alias("reason"))
 
 
-def snapshot_ticks(snapshots: DataFrame, assets=DEFAULT_ASSETS, status: str = "status",
+def snapshot_ticks(snapshots: DataFrame, assets: Assets = DEFAULT_ASSETS, status: str = "status",
                    body: str = "body", fetched_at: str = "fetched_at",
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Ticks (``symbol, price, timestamp``) from accepted snapshots."""
-    quotes = F.when(_ok(status), _quotes(body, assets))
-    exploded = snapshots.select(*keep, F.col(fetched_at).alias("timestamp"),
-                                F.explode(quotes).alias("q"))
-    return exploded.select(*keep, F.col("q.symbol").alias("symbol"),
-                           F.col("q.usd").cast("double").alias("price"), "timestamp")
+    return ticks_of(snapshot_quotes(snapshots, assets, status, body, fetched_at, keep), keep).drop("price_text")
 
 
-def snapshot_rejects(snapshots: DataFrame, assets=DEFAULT_ASSETS, status: str = "status",
-                     body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Snapshots that produce no tick, with the reason: ``http_status`` or ``no_prices``."""
-    reason = (F.when(~_ok(status) | F.col(status).isNull(), F.lit("http_status"))
-              .when(F.coalesce(F.size(_quotes(body, assets)), F.lit(-1)) <= 0, F.lit("no_prices")))
-    return (snapshots.select(*keep, F.col(status), reason.alias("reason"))
-            .filter(F.col("reason").isNotNull()))
+def snapshot_rejects(snapshots: DataFrame, assets: Assets = DEFAULT_ASSETS, status: str = "status",
+                     body: str = "body", fetched_at: str = "fetched_at", keep: tuple[str, ...] = ()) -> DataFrame:
+    return rejects_of(snapshot_quotes(snapshots, assets, status, body, fetched_at, keep), status, keep)

@@ -10,14 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from tickwise.operators.joins import (DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, DEFAULT_SALT_BUCKETS,
-                                      assert_unique_keys, lookup_join)
+from tickwise.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, assert_unique_keys, lookup_join
 
 
 def enrich(ticks: DataFrame, dimension: DataFrame, key: str = "symbol",
            columns: Sequence[str] = ("coin_name", "category"), broadcast: bool | None = None,
            check_unique: bool = False, max_rows: int = DEFAULT_MAX_ROWS,
-           max_bytes: int = DEFAULT_MAX_BYTES, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+           max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     """Left join ``ticks`` to ``dimension`` on ``key`` and add ``columns``.
 
     Output order: key, descriptive columns, then the remaining tick columns. An empty dimension leaves the
@@ -30,6 +29,6 @@ def enrich(ticks: DataFrame, dimension: DataFrame, key: str = "symbol",
         assert_unique_keys(dim, key)
     base = ticks.drop(*[c for c in columns if c in ticks.columns])
     joined = lookup_join(base, dim, key, "left", broadcast=broadcast, max_rows=max_rows,
-                         max_bytes=max_bytes, salt_buckets=salt_buckets)
+                         max_bytes=max_bytes)
     rest = [c for c in base.columns if c != key]
     return joined.select(key, *columns, *rest)

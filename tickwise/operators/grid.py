@@ -4,26 +4,30 @@ For every key: the newest bucket ``B`` (bucket of the newest tick), then every b
 ``floor(B - history)`` to ``B + lookahead`` inclusive, each with the last price of that bucket or null.
 
 Only the ticks inside each key's chart frame are aggregated: a first pass finds each key's newest event
-time (a partial aggregation, one tiny row per key) and is checkpointed to the shared checkpoint folder,
-so it is computed once and reused by both branches below. The earliest frame start is then pushed into
-the second scan as a literal bound (Parquet row groups older than every frame are skipped), the frame
-table is joined back to the ticks (a broadcast when its size is proven small, a salted shuffle join
-otherwise) and filtered per key, so the last-in-bucket aggregation touches minutes of data per key
-instead of its whole history.
+time (a partial aggregation, one tiny row per key), written once and reused by both branches below. The frames
+of all keys are merged to a few disjoint time ranges that are pushed into the second scan, so a key that fell
+silent long ago adds its own minutes to that scan and not everything since. The frame table is then joined to
+the ticks and filtered per key. Batch only: a stream has no newest bucket yet, and is refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.config import shared_dir
+from tickwise.config import written
 from tickwise.functions.timefns import bucket_series, bucket_start, shift, time_label
 from tickwise.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, lookup_join, row_bytes
 from tickwise.operators.latest import last_in_bucket
 
+#: Time ranges pushed into the second scan; frames are joined over the smallest gaps down to this many.
+MOST_RANGES = 32
+#: Frame pieces from which those ranges are merged (one per distinct hour and not per key).
+_PIECE_SECONDS = 3600
+
 
 def chart_frames(ticks: DataFrame, key: str = "symbol", timestamp: str = "timestamp",
                  bucket_seconds: int = 40, history_minutes: int = 10,
@@ -40,6 +44,33 @@ def chart_frames(ticks: DataFrame, key: str = "symbol", timestamp: str = "timest
     )
 
 
+def frame_ranges(frames: DataFrame, most: int = MOST_RANGES, piece: int = _PIECE_SECONDS) -> list[tuple[int, int]]:
+    """At most ``most`` disjoint ranges, in epoch microseconds, that cover every frame.
+
+    Frames are first gathered per time piece they start in; where even those are many, the driver gets no more
+    than 10,000 of the widest pieces' bounds by using coarser pieces.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    own = frames.where(F.col("grid_start").isNotNull()).select(micros("grid_start").alias("s"), micros("grid_end").alias("e"))
+    while True:
+        pieces = own.groupBy(F.floor(F.col("s") / F.lit(piece * 1_000_000)).alias("p")).agg(
+            F.min("s").alias("s"), F.max("e").alias("e"))
+        if pieces.count() <= 10_000:
+            break
+        piece *= 16
+    ranges = []
+    for r in sorted((r["s"], r["e"]) for r in pieces.collect()):
+        if ranges and r[0] <= ranges[-1][1]:
+            ranges[-1] = (ranges[-1][0], max(ranges[-1][1], r[1]))
+        else:
+            ranges.append(r)
+    if len(ranges) > most:
+        gaps = sorted(range(1, len(ranges)), key=lambda k: ranges[k][0] - ranges[k - 1][1], reverse=True)
+        cuts = [0, *sorted(gaps[:most - 1]), len(ranges)]
+        ranges = [(ranges[a][0], ranges[b - 1][1]) for a, b in zip(cuts, cuts[1:])]
+    return ranges
+
+
 def dense_trend_grid(ticks: DataFrame, key: str = "symbol", timestamp: str = "timestamp",
                      price: str = "price", tie_breakers: Sequence[str] = (),
                      bucket_seconds: int = 40, history_minutes: int = 10,
@@ -49,24 +80,23 @@ def dense_trend_grid(ticks: DataFrame, key: str = "symbol", timestamp: str = "ti
 
     ``only_priced`` keeps just the grid points that have a price (the points a chart draws).
     """
+    if ticks.isStreaming:
+        raise ValueError("the trend grid is a batch result: store the stream and build the grid over the table")
     width = f"{bucket_seconds} seconds"
-    frames = chart_frames(ticks, key, timestamp, bucket_seconds, history_minutes, lookahead_seconds)
-    if not ticks.isStreaming:
-        shared_dir(ticks.sparkSession)  # make sure a checkpoint folder is configured
-        frames = frames.checkpoint(eager=True)
+    frames = written(chart_frames(ticks, key, timestamp, bucket_seconds, history_minutes, lookahead_seconds),
+                     "chart_frames")
     recent = ticks.select(key, timestamp, price, *tie_breakers)
     lookup = frames.select(key, "grid_start")
-    if not ticks.isStreaming:
-        # One job over the small checkpoint: the earliest frame start (rendered and parsed back by Spark in
-        # the session zone, so no driver-side time zone is involved) and the frame table's size.
-        stats = lookup.agg(F.date_format(F.min("grid_start"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("earliest"),
-                           F.count(F.lit(1)).alias("rows"),
+    ranges = frame_ranges(frames)
+    if ranges:
+        kind = dict(ticks.dtypes)[timestamp]
+        edge = lambda m: F.timestamp_micros(F.lit(m)).cast(kind)
+        recent = recent.filter(reduce(lambda a, b: a | b, [
+            (F.col(timestamp) >= edge(s)) & (F.col(timestamp) <= edge(e)) for s, e in ranges]))
+    if broadcast is None:
+        stats = lookup.agg(F.count(F.lit(1)).alias("rows"),
                            F.coalesce(F.sum(row_bytes(lookup)), F.lit(0)).alias("bytes")).first()
-        if stats["earliest"] is not None:
-            ts_type = dict(ticks.dtypes)[timestamp]
-            recent = recent.filter(F.col(timestamp) >= F.lit(stats["earliest"]).cast(ts_type))
-        if broadcast is None:
-            broadcast = stats["rows"] <= DEFAULT_MAX_ROWS and stats["bytes"] <= DEFAULT_MAX_BYTES
+        broadcast = stats["rows"] <= DEFAULT_MAX_ROWS and stats["bytes"] <= DEFAULT_MAX_BYTES
     in_frame = (lookup_join(recent, lookup, key, "inner", broadcast=broadcast)
                 .filter(F.col(timestamp) >= F.col("grid_start")))
     points = last_in_bucket(in_frame, width, key, price, timestamp, tie_breakers)

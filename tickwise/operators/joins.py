@@ -1,15 +1,17 @@
 """Joins of a large fact side against a lookup side of unknown size.
 
 The lookup side is broadcast only after Spark jobs have proven it small: a distributed row count, and only
-when that is within bounds a byte count over those few rows. Otherwise the join is a shuffle join whose
-fact side is salted, so that a key holding a large share of all facts is spread over ``salt_buckets``
-tasks instead of landing on one; the lookup rows are replicated once per salt value.
+when that is within bounds a byte count over those few rows. Otherwise the fact side is split by key. A
+counting pass over the key columns alone finds the keys that hold more than a given share of all facts; there
+can be at most ``1 / share`` of them, so their lookup rows are few by construction and are broadcast, while all
+other facts take a sort-merge join. No lookup row is replicated and no fact column is read that is not needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 1_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
-DEFAULT_SALT_BUCKETS = 32
+#: Share of all facts from which a key is joined apart: at most 1 / share keys are.
+HEAVY_SHARE = 0.005
 
 
 @dataclass(frozen=True)
@@ -68,14 +71,23 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str] | str) -> None:
         raise ValueError(f"lookup keys are not unique, e.g. {shown} occurs {dup[0]['count']} times")
 
 
+def heavy_keys(facts: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> list[tuple]:
+    """Keys that hold at least ``share`` of all facts: at most 1 / share of them, so they may reach the driver."""
+    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = facts.count()
+    rows = counts.where((F.col("_n") >= F.lit(max(2, total * share)))
+                        & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).select(*keys).collect()
+    return [tuple(r) for r in rows]
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str, how: str = "left",
                 broadcast: bool | None = None, max_rows: int = DEFAULT_MAX_ROWS,
-                max_bytes: int = DEFAULT_MAX_BYTES,
-                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                max_bytes: int = DEFAULT_MAX_BYTES, heavy_share: float = HEAVY_SHARE) -> DataFrame:
     """Equi-join ``facts`` (preserved for ``how="left"``) with ``lookup`` on ``keys``.
 
     ``broadcast=None`` decides by a bounded size probe; ``True`` forces a broadcast (caller vouches for
-    the bound), ``False`` forces the salted shuffle join.
+    the bound), ``False`` forces the shuffle join. Streaming facts cannot be counted beforehand: their shuffle
+    join is a plain sort-merge join of one micro-batch.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("left", "inner"):
@@ -85,10 +97,14 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str,
     if broadcast:
         return facts.join(F.broadcast(lookup), keys, how)
     # Size not proven: pin a sort-merge join so no estimate can turn the lookup into a broadcast.
-    if salt_buckets <= 1:
+    heavy = [] if facts.isStreaming else heavy_keys(facts, keys, heavy_share)
+    if not heavy:
+        return facts.join(lookup.hint("merge"), keys, how)
+    is_heavy = reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, key)]) for key in heavy])
+    few = lookup.where(is_heavy)
+    if not check_size(few, max_rows, max_bytes).bounded:  # a lookup that repeats a heavy key very often
         return facts.join(lookup.hint("merge"), keys, how)
-    # Deterministic salt from the row content, so a retried task routes every row the same way.
-    salted = facts.withColumn("_salt", F.pmod(row_hash(facts), F.lit(salt_buckets)))
-    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                 F.lit(salt_buckets - 1).cast("long"))))
-    return salted.join(replicated.hint("merge"), [*keys, "_salt"], how).drop("_salt")
+    apart = facts.where(is_heavy).join(F.broadcast(few), keys, how)
+    rest = facts.where(~is_heavy).join(lookup.where(~is_heavy).hint("merge"), keys, how)
+    return apart.unionByName(rest)

@@ -1,30 +1,51 @@
-"""Latest values by event time: newest tick per key and last price per time bucket.
+"""Latest values by event time: newest row per key and last price per time bucket.
 
-Both are aggregations with ``max_by`` over the event time (then explicit tie-breakers), not
-``row_number`` windows: ``max_by`` combines partially on the map side, so a key with a third of all ticks
-costs one row per task in the shuffle instead of sending its whole history to one task.
-
-With event time alone as the ordering and a fixed-width value, Spark runs the aggregation with hash
-buffers; tie-breakers make the ordering a struct, which Spark aggregates by sorting each partition
-(about 3-4 times slower on local measurements). Ties are broken exactly only when tie-breakers are given.
+Event time and tie-breaker are packed into one ``decimal(38,0)``, a fixed-width value, so the newest row is a
+plain hash aggregation that combines partially on the map side: no sort of the input, and a key with a third of
+all ticks costs one row per task. Columns of variable width (names) do not fit a hash buffer; rows that need
+them are fetched by a second scan joined to the few winners.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.functions.timefns import bucket_start
+from tickwise.operators.joins import lookup_join, row_hash
+
+_FIXED = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz")
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
 
+def fixed_width(df: DataFrame, column: str) -> bool:
+    kind = dict(df.dtypes)[column]
+    return kind in _FIXED or kind.startswith("decimal")
 
-def _order(order: Sequence[str]):
+
+def recency(df: DataFrame, order: Sequence[str]) -> Column:
+    """One number that orders rows by event time, then the tie-breaker: an integral column, or else a hash
+    of the tie-breakers and the row (any tie is then broken the same way in every run)."""
     if not order:
         raise ValueError("an ordering column (event time) is required")
-    if len(order) == 1:
-        return F.col(order[0])
-    return F.struct(*[F.col(c) for c in order])
+    kinds = dict(df.dtypes)
+    time, *ties = order
+    if kinds[time] in ("timestamp", "timestamp_ntz"):
+        first = F.unix_micros(F.col(time).cast("timestamp"))
+    elif kinds[time] in _INTEGRAL:
+        first = F.col(time).cast("bigint")
+    else:
+        raise ValueError(f"rows cannot be ordered by {time}, a {kinds[time]}")
+    if len(ties) == 1 and kinds[ties[0]] in _INTEGRAL:
+        tie = F.coalesce(F.col(ties[0]).cast("bigint"), F.lit(-(1 << 63)))
+    else:
+        tie = F.xxhash64(*[F.col(c) for c in ties], row_hash(df))
+    # Twenty digits hold any unsigned long: the tie-breaker never reaches the event time's digits.
+    shifted = (tie.cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("decimal(21,0)")
+    return (first.cast("decimal(18,0)") * F.lit("100000000000000000000").cast("decimal(21,0)") + shifted).cast(
+        "decimal(38,0)")
 
 
 def latest_per_key(ticks: DataFrame, key: str = "symbol",
@@ -33,23 +54,27 @@ def latest_per_key(ticks: DataFrame, key: str = "symbol",
     """The newest row per ``key`` by ``order`` (event time first, then tie-breakers).
 
     Returns ``key`` plus ``columns`` (default: every other input column) of that row. Rows with a null key
-    form one group, like the table grouping it replaces.
+    form one group; rows without an event time are not considered.
     """
     cols = [c for c in (columns if columns is not None else ticks.columns) if c != key]
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), _order(order)).alias("_row")
-    return ticks.groupBy(key).agg(best).select(key, *[F.col(f"_row.{c}").alias(c) for c in cols])
+    ranked = ticks.withColumn("_rank", recency(ticks, order))
+    if all(fixed_width(ticks, c) for c in cols):
+        return ranked.where(F.col("_rank").isNotNull()).groupBy(key).agg(
+            *[F.max_by(F.col(c), F.col("_rank")).alias(c) for c in cols])
+    best = ranked.groupBy(F.col(key).alias("_key")).agg(F.max("_rank").alias("_best"))
+    # One row per key; whether it is broadcast follows from its checked size.
+    found = lookup_join(ranked.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\u0000"))),
+                        best.select(F.coalesce(F.col("_key").cast("string"), F.lit("\u0000")).alias("_key"), "_best"),
+                        "_key", "inner")
+    # Equal rows may share the rank; they are one row.
+    return found.where(F.col("_rank") == F.col("_best")).select(key, *cols).distinct()
 
 
 def last_in_bucket(ticks: DataFrame, width: str = "40 seconds", key: str = "symbol",
                    value: str = "price", timestamp: str = "timestamp",
                    tie_breakers: Sequence[str] = (), bucket_col: str = "time_bucket") -> DataFrame:
-    """Last ``value`` per (key, epoch-aligned bucket of ``width``) by event time."""
-    order = _order([timestamp, *tie_breakers])
-    return (ticks.groupBy(F.col(key), bucket_start(timestamp, width).alias(bucket_col))
-            .agg(F.max_by(F.col(value), order).alias(value)))
-
-
-def latest_bucket(points: DataFrame, key: str = "symbol", bucket_col: str = "time_bucket",
-                  alias: str = "latest_bucket") -> DataFrame:
-    """Newest bucket per key."""
-    return points.groupBy(key).agg(F.max(bucket_col).alias(alias))
+    """Last ``value`` (of fixed width) per (key, epoch-aligned bucket of ``width``) by event time."""
+    narrow = ticks.select(key, timestamp, value, *tie_breakers)
+    return (narrow.withColumn("_rank", recency(narrow, [timestamp, *tie_breakers]))
+            .groupBy(F.col(key), bucket_start(timestamp, width).alias(bucket_col))
+            .agg(F.max_by(F.col(value), F.col("_rank")).alias(value)))

@@ -13,8 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.config import Settings, use_utc
-from tickwise.functions.parse import normalize_prices, parse_ticks
+from tickwise.config import Settings, use_utc, written
+from tickwise.functions.parse import loose_messages, normalize_prices
 from tickwise.operators.enrich import enrich
 from tickwise.operators.grid import dense_trend_grid
 from tickwise.operators.latest import last_in_bucket, latest_per_key
@@ -52,7 +52,9 @@ class DashboardFrames:
     @cached_property
     def grid(self) -> DataFrame:
         s = self.settings
-        return dense_trend_grid(self.prices, "symbol", tie_breakers=self.tie_breakers,
+        # The grid reads its ticks twice: the cleaned feed is written once, so nothing is parsed again.
+        prices = written(self.prices.select("symbol", "timestamp", "price", *self.tie_breakers), "dashboard_prices")
+        return dense_trend_grid(prices, "symbol", tie_breakers=self.tie_breakers,
                                 bucket_seconds=s.trend_bucket_seconds,
                                 history_minutes=s.trend_history_minutes,
                                 lookahead_seconds=s.trend_lookahead_seconds)
@@ -79,15 +81,21 @@ def build(prices: DataFrame, metadata: DataFrame | None = None, settings: Settin
     return DashboardFrames(clean, settings, tie_breakers)
 
 
-def from_parquet(spark: SparkSession, settings: Settings) -> DashboardFrames:
+def from_parquet(spark: SparkSession, settings: Settings, tie_breakers: tuple[str, ...] = ()) -> DashboardFrames:
     """Dashboard over the stored folder (missing folder -> empty results)."""
-    return build(read_parquet_folder(spark, settings.output_path))
+    return build(read_parquet_folder(spark, settings.output_path), settings=settings, tie_breakers=tie_breakers)
 
 
-def from_topic(spark: SparkSession, settings: Settings) -> DashboardFrames:
-    """Dashboard over the whole topic; undecodable messages are dropped, not fatal."""
-    ticks = parse_ticks(read_topic(spark, settings))
-    return build(ticks, read_metadata(spark, settings.metadata_path))
+def from_messages(messages: DataFrame, metadata: DataFrame | None = None, settings: Settings = Settings(),
+                  tie_breakers: tuple[str, ...] = ()) -> DashboardFrames:
+    """Dashboard over JSON messages (``json`` text, with any tie-breaker columns). Messages are read
+    leniently, numbers in quotes included; undecodable ones are dropped, not fatal."""
+    return build(loose_messages(messages, keep=tie_breakers), metadata, settings, tie_breakers)
+
+
+def from_topic(spark: SparkSession, settings: Settings, source: str = "kafka") -> DashboardFrames:
+    """Dashboard over the whole topic; a missing topic gives empty results."""
+    return from_messages(read_topic(spark, settings, source), read_metadata(spark, settings.metadata_path), settings)
 
 
 def symbol_grid(frames: DashboardFrames, symbol: str) -> DataFrame:

@@ -12,19 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.config import Settings, scratch_path, use_utc
+from tickwise.config import Settings, scratch_path, shared_once, use_utc
 from tickwise.functions import encode, parse, snapshot
 from tickwise.operators import enrich as enrich_op
 from tickwise.operators import grid, latest, summary, windows
 from tickwise.plans import catalog, dashboard, ingest, inspection
 from tickwise.schemas import ENRICHED_FIELDS
 from tickwise.sources import tables
+from tickwise.sources.files import read_metadata
+from tickwise.sources.fs import delete_path
 
 ROUND = 6
-EXCLUDED_SEGMENT = "BUILDING"
-# Asset list of the snapshot queries: three event types are quoted assets, "refund" never occurs,
-# the other event types and "tether" are not configured.
-SNAPSHOT_ASSETS = (("click", "CLK"), ("purchase", "PUR"), ("view", "VEW"), ("refund", "RFD"))
+# Asset list of the snapshot queries: three event types are quoted assets, one of them under two symbols,
+# "refund" never occurs, the other event types and "tether" are not configured.
+SNAPSHOT_ASSETS = (("click", "CLK"), ("click", "TAP"), ("purchase", "PUR"), ("view", "VEW"), ("refund", "RFD"))
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,9 +36,8 @@ def _ticks(spark, sf):
 
 
 def _enriched(spark, sf):
-    """Ticks left-joined to the dimension without one segment, so some ticks stay unmatched."""
-    dim = tables.dimension(spark, sf, exclude_segment=EXCLUDED_SEGMENT)
-    return enrich_op.enrich(_ticks(spark, sf), dim, key="user_id")
+    """Ticks left-joined to the dimension; every fifth tick's user is unknown and stays unmatched."""
+    return enrich_op.enrich(_ticks(spark, sf), tables.dimension(spark, sf), key="user_id")
 
 
 def _stats(width, keys=("symbol",), drop_unmatched=False, enriched=False):
@@ -49,15 +49,15 @@ def _stats(width, keys=("symbol",), drop_unmatched=False, enriched=False):
 
 
 def _hot_key_ticks(spark, sf):
-    """Ticks where every third event belongs to one user (key 0): a key holding a third of all rows."""
+    """Ticks where every third event belongs to one user (key 1): a key holding a third of all rows."""
     t = _ticks(spark, sf)
-    return t.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    return t.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
 
 
 def hot_key_enrich_stats(spark, sf):
-    """Enrichment forced through the salted sort-merge join (the path for a dimension too large to
-    broadcast), then hourly statistics per user: the hot key is spread over the salt buckets."""
-    dim = tables.dimension(spark, sf, exclude_segment=EXCLUDED_SEGMENT)
+    """Enrichment forced through the shuffle join (the path for a dimension too large to broadcast), then
+    hourly statistics per user: the hot key is found by counting and joined apart."""
+    dim = tables.dimension(spark, sf)
     enriched = enrich_op.enrich(_hot_key_ticks(spark, sf), dim, key="user_id", broadcast=False)
     return windows.window_stats(enriched, "1 hour", ("user_id", "coin_name", "category"),
                                 round_average=ROUND)
@@ -69,7 +69,7 @@ def window_stats_from_messages(spark: SparkSession, sf: str) -> DataFrame:
     msgs = tables.tick_messages(spark, sf)
     parsed = parse.parse_ticks(msgs, keep=("event_id", "user_id"))
     ticks = parsed.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-    dim = tables.dimension(spark, sf, exclude_segment=EXCLUDED_SEGMENT)
+    dim = tables.dimension(spark, sf)
     enriched = enrich_op.enrich(ticks, dim, key="user_id")
     return windows.window_stats(enriched, "2 seconds", ("symbol", "coin_name", "category"),
                                 round_average=ROUND)
@@ -78,7 +78,7 @@ def window_stats_from_messages(spark: SparkSession, sf: str) -> DataFrame:
 def _enrich_winners(spark, sf, winners: DataFrame) -> DataFrame:
     """Enrich a handful of selected ticks. The dimension key is unique, so picking rows first and joining
     afterwards gives the same rows as joining every tick first, with a join over the winners only."""
-    dim = tables.dimension(spark, sf, exclude_segment=EXCLUDED_SEGMENT)
+    dim = tables.dimension(spark, sf)
     return enrich_op.enrich(winners, dim, key="user_id")
 
 
@@ -145,6 +145,41 @@ def snapshot_rejects(spark, sf):
     return snapshot.snapshot_rejects(tables.snapshots(spark, sf), SNAPSHOT_ASSETS, keep=("snapshot_id",))
 
 
+def snapshot_payload(spark, sf):
+    """Kafka records of the snapshots' ticks, prices on the wire as they were quoted."""
+    use_utc(spark)
+    return ingest.shape(tables.snapshots(spark, sf), SNAPSHOT_ASSETS, keep=("snapshot_id",)).records
+
+
+def fetch_time_stamped(spark, sf):
+    """Ticks of snapshots without a recorded fetch time: how many carry the current one."""
+    use_utc(spark)
+    stamped = ingest.with_fetch_time(tables.snapshots(spark, sf).drop("fetched_at"))
+    ticks = snapshot.snapshot_ticks(stamped, SNAPSHOT_ASSETS)
+    fresh = F.col("timestamp") >= F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    return ticks.agg(F.count(F.when(fresh, 1)).alias("stamped_ticks"))
+
+
+def bytes_to_ticks(spark, sf):
+    """Messages as the bytes a topic holds -> text -> strict parse."""
+    use_utc(spark)
+    raw = tables.tick_messages(spark, sf).select(F.col("json").cast("binary").alias("value"))
+    parsed = parse.parse_ticks(parse.bytes_to_text(raw))
+    return parsed.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def enrich_missing_metadata(spark, sf):
+    """Enrichment with a metadata file that does not exist: every tick kept, names null."""
+    metadata = read_metadata(spark, f"{scratch_path(spark, 'metadata')}/missing.csv")
+    return enrich_op.enrich(_ticks(spark, sf), metadata, key="symbol")
+
+
+def enrich_replaces_columns(spark, sf):
+    """Enrichment of ticks that already carry descriptive columns: those are replaced."""
+    stale = _ticks(spark, sf).withColumns({"coin_name": F.lit("old"), "category": F.lit("old")})
+    return enrich_op.enrich(stale, tables.dimension(spark, sf), key="user_id")
+
+
 def rows_by_symbol(spark, sf):
     # A left join on a unique key neither adds nor removes ticks: count the ticks directly.
     return summary.rows_by_key(_ticks(spark, sf), ("symbol",))
@@ -176,7 +211,8 @@ def symbol_slice(spark, sf):
 
 
 def sample_10(spark, sf):
-    return summary.sample_rows(_ticks(spark, sf), 10)
+    """How many rows an unordered sample of ten has (which rows is undefined)."""
+    return summary.row_count(summary.sample_rows(_ticks(spark, sf), 10), "sample_rows")
 
 
 def key_profile(spark, sf):
@@ -186,7 +222,7 @@ def key_profile(spark, sf):
 def _dashboard(spark, sf) -> dashboard.DashboardFrames:
     """The dashboard plan over the loosely typed text feed (no metadata file: names stay empty)."""
     use_utc(spark)
-    return dashboard.build(tables.loose_feed(spark, sf).drop("event_id"))
+    return dashboard.build(tables.loose_feed(spark, sf), tie_breakers=("event_id",))
 
 
 def dashboard_latest(spark, sf):
@@ -201,34 +237,112 @@ def dashboard_grid(spark, sf):
     return _dashboard(spark, sf).grid
 
 
+def _topic(spark, sf) -> dashboard.DashboardFrames:
+    """The dashboard over JSON messages, some damaged, some with their price as text, wider buckets."""
+    use_utc(spark)
+    settings = Settings(window_width="10 seconds", trend_bucket_seconds=60)
+    return dashboard.from_messages(tables.damaged_messages(spark, sf), settings=settings, tie_breakers=("event_id",))
+
+
+def dashboard_topic_latest(spark, sf):
+    return _topic(spark, sf).latest
+
+
+def dashboard_topic_analytics(spark, sf):
+    return _topic(spark, sf).analytics.withColumn("average_price", F.round("average_price", ROUND))
+
+
+def dashboard_topic_trends(spark, sf):
+    return _topic(spark, sf).trends
+
+
+def _stored(spark, sf) -> str:
+    """The enriched ticks as a flat Parquet folder, stored once per input and shared by the queries below."""
+    def build() -> str:
+        path = scratch_path(spark, "stored_table")
+        rows = _enriched(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        rows.select(*ENRICHED_FIELDS).write.mode("append").parquet(path)
+        return path
+
+    use_utc(spark)
+    return shared_once(spark, "stored_table", sf, build)
+
+
 def _inspected(spark, sf) -> inspection.InspectionReport:
-    """Store the enriched ticks as a flat Parquet folder, then run the inspection report over it."""
-    root = scratch_path(spark, "stored_table")
-    stored = _enriched(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    stored.select(*ENRICHED_FIELDS).write.mode("append").parquet(root)
-    settings = Settings(database="tickwise_inspect", table="ticks_" + root.rsplit("/", 1)[-1][:12],
-                        output_path=root)
-    return inspection.inspect(spark, settings)
+    """The inspection report over the stored folder."""
+    def build() -> inspection.InspectionReport:
+        path = _stored(spark, sf)
+        settings = Settings(database="tickwise_inspect", table="ticks_" + path.rsplit("/", 1)[-1][:12], output_path=path)
+        return inspection.inspect(spark, settings)
+
+    return shared_once(spark, "inspection", sf, build)
+
+
+def folder_latest(spark, sf):
+    """The dashboard's latest ticks over the stored Parquet folder."""
+    latest_rows = dashboard.from_parquet(spark, Settings(output_path=_stored(spark, sf))).latest
+    return _ntz(latest_rows, "timestamp")
+
+
+def missing_folder(spark, sf):
+    """The dashboard over the stored folder and over one that does not exist: rows of each."""
+    here = dashboard.from_parquet(spark, Settings(output_path=_stored(spark, sf))).prices
+    none = dashboard.from_parquet(spark, Settings(output_path=scratch_path(spark, "nowhere"))).prices
+    return here.agg(F.count(F.lit(1)).alias("stored_rows")).crossJoin(none.agg(F.count(F.lit(1)).alias("missing_rows")))
 
 
 def compacted_table(spark, sf):
     """Enriched ticks appended as many small files (as micro-batches leave them), compacted into large
     time-ordered files in a new folder, read back."""
     root = scratch_path(spark, "compaction")
-    ticks = _enriched(spark, sf)
-    # Output files of at most 5 M rows (at least 16 files on small inputs); small files 1/20 of that,
-    # produced by every writing task splitting its own output (no shuffle).
-    rows_per_file = min(5_000_000, max(1000, ticks.count() // 16))
-    (ticks.write.option("maxRecordsPerFile", max(50, rows_per_file // 20)).mode("append")
-     .parquet(f"{root}/small"))
-    return catalog.compact(spark, f"{root}/small", f"{root}/compacted", rows_per_file=rows_per_file)
+    _enriched(spark, sf).write.option("maxRecordsPerFile", 20_000).mode("append").parquet(f"{root}/small")
+    out = catalog.compact(spark, f"{root}/small", f"{root}/compacted")
+    delete_path(spark, f"{root}/small")
+    return out
+
+
+def compacted_days(spark, sf):
+    """The same with one folder per event day."""
+    root = scratch_path(spark, "compaction")
+    _enriched(spark, sf).write.option("maxRecordsPerFile", 20_000).mode("append").parquet(f"{root}/small")
+    out = catalog.compact(spark, f"{root}/small", f"{root}/compacted", partition_by_day=True)
+    delete_path(spark, f"{root}/small")
+    return out
+
+
+def listed_tables(spark, sf):
+    """What SHOW DATABASES, SHOW TABLES and COUNT(*) say about the registered table."""
+    report = _inspected(spark, sf)
+    database, table = (x.strip("`") for x in report.table.split("."))
+    databases = catalog.show_databases(spark).where(F.col("namespace") == database)
+    listed = catalog.show_tables(spark, database).where(F.col("tableName") == table)
+    rows = spark.sql(f"SELECT COUNT(*) AS record_count FROM {report.table}")
+    return (databases.agg(F.count(F.lit(1)).alias("databases")).crossJoin(listed.agg(F.count(F.lit(1)).alias("listed")))
+            .crossJoin(rows))
+
+
+def cleared_table(spark, sf):
+    """A stored copy of the ticks, cleared through the catalog: rows before and after."""
+    use_utc(spark)
+    path = scratch_path(spark, "cleared")
+    _ticks(spark, sf).select("symbol", "price", "timestamp").write.parquet(path)
+    name = catalog.register_table(spark, "tickwise_clear", "ticks_" + path.rsplit("/", 1)[-1][:12], path,
+                                  columns_ddl="symbol STRING, price DOUBLE, timestamp TIMESTAMP_NTZ")
+    before = spark.table(name).count()
+    catalog.clear_location(spark, path, name)
+    after = spark.table(name).agg(F.count(F.lit(1)).alias("rows_after"))
+    return after.select(F.lit(before).cast("long").alias("rows_before"), "rows_after")
 
 
 def capped_events_half(spark, sf):
-    """The earliest half of all ticks by (time, symbol), through the distributed exact cap."""
+    """The earliest half of all ticks by (time, symbol)."""
     ticks = _ticks(spark, sf)
-    half = ticks.count() // 2
-    return ingest.cap_events(ticks, half, order=("timestamp", "symbol"), top_k_limit=0)
+    return ingest.cap_events(ticks, ticks.count() // 2, order=("timestamp", "symbol"))
+
+
+def capped_events_small(spark, sf):
+    """The earliest hundred ticks, through the same path."""
+    return ingest.cap_events(_ticks(spark, sf), 100, order=("timestamp", "symbol"))
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -272,6 +386,11 @@ QUERIES: dict[str, Query] = {
     "lenient_normalise": lenient_normalise,
     "snapshot_ticks": snapshot_ticks,
     "snapshot_rejects": snapshot_rejects,
+    "snapshot_payload": snapshot_payload,
+    "fetch_time_stamped": fetch_time_stamped,
+    "bytes_to_ticks": bytes_to_ticks,
+    "enrich_missing_metadata": enrich_missing_metadata,
+    "enrich_replaces_columns": enrich_replaces_columns,
     "rows_by_symbol": rows_by_symbol,
     "rows_by_symbol_name_category": rows_by_symbol_name_category,
     "time_range": time_range,
@@ -284,8 +403,17 @@ QUERIES: dict[str, Query] = {
     "dashboard_latest": dashboard_latest,
     "dashboard_trends": dashboard_trends,
     "dashboard_grid": dashboard_grid,
+    "dashboard_topic_latest": dashboard_topic_latest,
+    "dashboard_topic_analytics": dashboard_topic_analytics,
+    "dashboard_topic_trends": dashboard_topic_trends,
+    "folder_latest": folder_latest,
+    "missing_folder": missing_folder,
     "compacted_table": compacted_table,
+    "compacted_days": compacted_days,
+    "listed_tables": listed_tables,
+    "cleared_table": cleared_table,
     "capped_events_half": capped_events_half,
+    "capped_events_small": capped_events_small,
     "inspection_row_count": inspection_row_count,
     "inspection_time_range": inspection_time_range,
     "inspection_rows_by_symbol": inspection_rows_by_symbol,
@@ -295,9 +423,10 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------------------------------
 # DuckDB oracles. Views: the shared tables by name.
 
-_TICKS = "SELECT event_id, user_id, event_type AS symbol, value AS price, ts AS timestamp FROM events"
-_DIM = (f"SELECT c_custkey AS user_id, c_name AS coin_name, c_mktsegment AS category FROM customer "
-        f"WHERE c_mktsegment <> '{EXCLUDED_SEGMENT}'")
+_USER = "CASE WHEN event_id % 5 = 0 THEN -user_id ELSE user_id END"
+_TICKS = (f"SELECT event_id, {_USER} AS user_id, event_type AS symbol, value AS price, ts AS timestamp "
+          "FROM events")
+_DIM = "SELECT c_custkey AS user_id, c_name AS coin_name, c_mktsegment AS category FROM customer"
 _ENRICHED = (f"SELECT t.user_id, d.coin_name, d.category, t.event_id, t.symbol, t.price, t.timestamp "
              f"FROM ({_TICKS}) t LEFT JOIN ({_DIM}) d ON t.user_id = d.user_id")
 
@@ -310,7 +439,14 @@ def _stats_sql(interval: str, keys: str, src: str, where: str = "") -> str:
             f"FROM ({src}) s {where} GROUP BY ALL")
 
 
-_ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
+def _iso(ts: str) -> str:
+    """An instant's text with no, three or six fraction digits, as needed."""
+    return (f"CASE WHEN epoch_us({ts}) % 1000000 = 0 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%SZ') "
+            f"WHEN epoch_us({ts}) % 1000 = 0 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S.%gZ') "
+            f"ELSE strftime({ts}, '%Y-%m-%dT%H:%M:%S.%fZ') END")
+
+
+_ISO = _iso("ts")
 
 _TREND_POINTS = ("SELECT symbol, time_bucket(INTERVAL '40 seconds', timestamp) AS time_bucket, "
                  "arg_max(price, {'t': timestamp, 'i': event_id}) AS price "
@@ -366,22 +502,20 @@ _DAMAGED = (
     "ELSE json_object('symbol', event_type, 'price', value, 'timestamp', " + _ISO + ")::VARCHAR "
     "END AS json FROM events")
 
-_SNAPSHOTS = (
-    "SELECT event_id AS snapshot_id, CASE WHEN event_id % 17 = 0 THEN 503 ELSE 200 END AS status, "
-    "'{' || " + _q("event_type") + " || ':' || CASE WHEN event_id % 5 = 2 THEN '{\"usd\":null}' "
-    "WHEN event_id % 5 = 3 THEN '{\"eur\":' || value::VARCHAR || '}' "
-    "ELSE '{\"usd\":' || value::VARCHAR || '}' END || ',\"tether\":{\"usd\":1.0}}' AS body, "
-    "ts AS fetched_at FROM events")
-
 _ASSET_LIST = "[" + ", ".join(f"{{'asset_id': '{a}', 'symbol': '{s}'}}" for a, s in SNAPSHOT_ASSETS) + "]"
 
-# One candidate per (snapshot, configured asset): DuckDB reads the asset's usd quote from the body text.
+# The fixture's rule per event: status, fetch time and the text of the last quote of its own asset, if usable.
+_SNAPSHOTS = (
+    "SELECT event_id AS snapshot_id, event_type, CASE WHEN event_id % 17 = 0 THEN 503 ELSE 200 END AS status, "
+    "CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) ELSE ts END AS fetched_at, "
+    "CASE WHEN event_id % 5 IN (2, 3) THEN NULL WHEN event_id % 23 = 5 THEN '1E+25' "
+    "WHEN event_id % 4 = 1 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '.450000000000000000001' "
+    "ELSE value::VARCHAR END AS price_text FROM events")
 _SNAPSHOT_QUOTES = (
     "SELECT snapshot_id, status, fetched_at, a.symbol AS symbol, "
-    "CASE WHEN json_type(j, '$.\"' || a.asset_id || '\".usd') IN " + _NUMERIC
-    + " THEN json_extract(j, '$.\"' || a.asset_id || '\".usd')::DOUBLE END AS price "
-    "FROM (SELECT snapshot_id, status, fetched_at, unnest(" + _ASSET_LIST + ") AS a, "
-    f"CASE WHEN json_valid(body) THEN body::JSON END AS j FROM ({_SNAPSHOTS}) s) c")
+    "CASE WHEN a.asset_id = event_type AND status BETWEEN 200 AND 299 THEN price_text END AS price_text, "
+    "CAST(CASE WHEN a.asset_id = event_type AND status BETWEEN 200 AND 299 THEN price_text END AS DOUBLE) AS price "
+    f"FROM (SELECT *, unnest({_ASSET_LIST}) AS a FROM ({_SNAPSHOTS}) s) c")
 
 ORACLE_SQL: dict[str, str] = {
     "window_stats_from_messages": _stats_sql(
@@ -421,12 +555,22 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE symbol IS NOT NULL AND price IS NOT NULL AND NOT isnan(price) AND timestamp IS NOT NULL"),
     "snapshot_ticks": (
         "SELECT snapshot_id, symbol, price, fetched_at AS timestamp "
-        f"FROM ({_SNAPSHOT_QUOTES}) q WHERE status BETWEEN 200 AND 299 AND price IS NOT NULL"),
+        f"FROM ({_SNAPSHOT_QUOTES}) q WHERE price IS NOT NULL"),
+    "snapshot_payload": (
+        "SELECT snapshot_id, symbol AS key, '{\"symbol\":\"' || symbol || '\",\"price\":' || price_text || "
+        f"',\"timestamp\":\"' || {_iso('fetched_at')} || '\"}}' AS value "
+        f"FROM ({_SNAPSHOT_QUOTES}) q WHERE price IS NOT NULL"),
+    "fetch_time_stamped": f"SELECT count(*) AS stamped_ticks FROM ({_SNAPSHOT_QUOTES}) q WHERE price IS NOT NULL",
+    "enrich_missing_metadata": ("SELECT symbol, CAST(NULL AS VARCHAR) AS coin_name, CAST(NULL AS VARCHAR) AS category, "
+                                f"event_id, user_id, price, timestamp FROM ({_TICKS}) t"),
+    "enrich_replaces_columns": _ENRICHED,
+    "bytes_to_ticks": f"SELECT symbol, price, timestamp FROM ({_TICKS}) t",
+    "sample_10": "SELECT least(10, count(*)) AS sample_rows FROM events",
     "snapshot_rejects": (
         "SELECT snapshot_id, status, CASE WHEN status NOT BETWEEN 200 AND 299 THEN 'http_status' "
         "ELSE 'no_prices' END AS reason "
         f"FROM ({_SNAPSHOT_QUOTES}) q GROUP BY snapshot_id, status "
-        "HAVING status NOT BETWEEN 200 AND 299 OR count(price) = 0"),
+        "HAVING count(price) = 0"),
     "rows_by_symbol": (f"SELECT symbol, count(*) AS count FROM ({_ENRICHED}) s GROUP BY symbol "
                        "ORDER BY count DESC, symbol"),
     "rows_by_symbol_name_category": (
@@ -455,22 +599,51 @@ ORACLE_SQL.update({
 # Dashboard over the loose feed: the lenient oracle's rows, then the dashboard's queries.
 _LENIENT = ORACLE_SQL["lenient_normalise"]
 _LOOSE_POINTS = ("SELECT symbol, time_bucket(INTERVAL '40 seconds', timestamp) AS time_bucket, "
-                 f"arg_max(price, timestamp) AS price FROM ({_LENIENT}) n GROUP BY ALL")
+                 f"arg_max(price, {{'t': timestamp, 'i': event_id}}) AS price FROM ({_LENIENT}) n GROUP BY ALL")
 ORACLE_SQL.update({
     "dashboard_latest": (f"SELECT symbol, coin_name, category, price, timestamp FROM ({_LENIENT}) n "
-                         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC) = 1"),
+                         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, event_id DESC) = 1"),
     "dashboard_trends": _LOOSE_POINTS,
     "dashboard_grid": _GRID.replace(_TREND_POINTS, _LOOSE_POINTS),
 })
 
-_HOT_TICKS = ("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, "
+# The same over damaged messages, read leniently: a price in quotes counts.
+_TOPIC = ("SELECT * FROM (SELECT event_id, json_extract_string(j, '$.symbol') AS symbol, "
+          "TRY_CAST(json_extract_string(j, '$.price') AS DOUBLE) AS price, '' AS coin_name, '' AS category, "
+          "timezone('UTC', TRY_CAST(json_extract_string(j, '$.timestamp') AS TIMESTAMPTZ)) AS timestamp "
+          f"FROM (SELECT event_id, CASE WHEN json_valid(json) THEN json::JSON END AS j FROM ({_DAMAGED}) m) p) x "
+          "WHERE symbol IS NOT NULL AND price IS NOT NULL AND NOT isnan(price) AND timestamp IS NOT NULL")
+_STORED_LATEST = (f"SELECT symbol, coin_name, category, price, timestamp FROM ({_ENRICHED}) s "
+                  "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC) = 1")
+ORACLE_SQL.update({
+    "dashboard_topic_latest": (
+        f"SELECT symbol, coin_name, category, price, timestamp FROM ({_TOPIC}) n "
+        "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, event_id DESC) = 1"),
+    "dashboard_topic_analytics": (
+        "SELECT time_bucket(INTERVAL '10 seconds', timestamp) AS time_bucket, symbol, coin_name, category, "
+        f"round(avg(price), {ROUND}) AS average_price, max(price) AS max_price, min(price) AS min_price, "
+        f"count(price) AS event_count FROM ({_TOPIC}) n GROUP BY ALL"),
+    "dashboard_topic_trends": (
+        "SELECT symbol, time_bucket(INTERVAL '60 seconds', timestamp) AS time_bucket, "
+        f"arg_max(price, {{'t': timestamp, 'i': event_id}}) AS price FROM ({_TOPIC}) n GROUP BY ALL"),
+    # Event times are unique in the shared table.
+    "folder_latest": _STORED_LATEST,
+    "missing_folder": "SELECT count(*) AS stored_rows, CAST(0 AS BIGINT) AS missing_rows FROM events "
+                      "WHERE value IS NOT NULL AND NOT isnan(value) AND event_type IS NOT NULL AND ts IS NOT NULL",
+    "listed_tables": "SELECT CAST(1 AS BIGINT) AS databases, CAST(1 AS BIGINT) AS listed, count(*) AS record_count "
+                     "FROM events",
+    "cleared_table": "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM events",
+    "compacted_table": _ENRICHED,
+    "compacted_days": f"SELECT *, CAST(timestamp AS DATE) AS day FROM ({_ENRICHED}) e",
+    "capped_events_half": (f"SELECT * FROM ({_TICKS}) t QUALIFY row_number() OVER (ORDER BY timestamp, symbol) "
+                           "<= (SELECT count(*) // 2 FROM events)"),
+    "capped_events_small": (f"SELECT * FROM ({_TICKS}) t "
+                            "QUALIFY row_number() OVER (ORDER BY timestamp, symbol) <= 100"),
+})
+
+_HOT_TICKS = (f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE {_USER} END AS user_id, "
               "event_type AS symbol, value AS price, ts AS timestamp FROM events")
 ORACLE_SQL["hot_key_enrich_stats"] = _stats_sql(
     "1 hour", "user_id, coin_name, category",
     f"SELECT t.user_id, d.coin_name, d.category, t.price, t.timestamp FROM ({_HOT_TICKS}) t "
     f"LEFT JOIN ({_DIM}) d ON t.user_id = d.user_id")
-
-ORACLE_SQL["compacted_table"] = _ENRICHED
-ORACLE_SQL["capped_events_half"] = (
-    f"SELECT * FROM ({_TICKS}) t QUALIFY row_number() OVER (ORDER BY timestamp, symbol) "
-    "<= (SELECT count(*) // 2 FROM events)")

@@ -32,7 +32,8 @@ ENRICHED_FIELDS = [f.name for f in ENRICHED.fields]
 
 ENRICHED_DDL = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in ENRICHED.fields)
 
-# Price-API response: an open set of asset ids, each with a USD quote kept exact until the final cast.
+# Price-API response: an open set of asset ids, each with a USD quote kept as the number's own text, so that
+# no size or precision is lost before it is put on the wire or cast.
 SNAPSHOT_BODY = T.MapType(T.StringType(), T.StructType([
-    T.StructField("usd", T.DecimalType(38, 18), True),
+    T.StructField("usd", T.StringType(), True),
 ]))

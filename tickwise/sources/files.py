@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.operators.joins import assert_unique_keys, check_size
 from tickwise.schemas import ENRICHED, METADATA, METADATA_FIELDS
 from tickwise.sources.fs import path_exists
 
@@ -13,8 +15,26 @@ def read_metadata(spark: SparkSession, path: str, missing_ok: bool = True) -> Da
     """Header CSV of ``symbol, coin_name, category``, all text. A missing file gives an empty frame."""
     if missing_ok and not path_exists(spark, path):
         return spark.createDataFrame([], METADATA)
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .csv(path).select(*METADATA_FIELDS))
+    header = spark.read.option("header", True).csv(path)  # column order is the file's own
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header.columns])
+    return spark.read.option("header", True).schema(schema).csv(path).select(*METADATA_FIELDS)
+
+
+def pin_metadata(spark: SparkSession, path: str, target: str, max_rows: int, max_bytes: int) -> tuple[DataFrame, bool]:
+    """A checked, unchanging version of the metadata file for a stream: (rows, whether they may be broadcast).
+
+    A stream's static side is read again in every micro-batch, so a file changed meanwhile would enter unchecked.
+    The file is therefore copied to ``target`` as a version named by its content, after its keys are proven
+    unique and its size is measured; a restarted stream takes up, and checks, the file as it is then.
+    """
+    rows = read_metadata(spark, path)
+    mark = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*METADATA_FIELDS).cast("decimal(38,0)")).alias("h")).first()
+    folder = f"{target.rstrip('/')}/version={mark['n']}-{mark['h'] or 0}"
+    if not path_exists(spark, folder):
+        rows.write.parquet(folder)
+    pinned = spark.read.schema(METADATA).parquet(folder)
+    assert_unique_keys(pinned, "symbol")
+    return pinned, check_size(pinned, max_rows, max_bytes).bounded
 
 
 def read_parquet_folder(spark: SparkSession, path: str,

@@ -34,17 +34,19 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath)) and bool(fs.delete(hpath, True))
 
 
-def clear_folder(spark: SparkSession, path: str) -> int:
-    """Delete every child of ``path`` (creating the folder if missing); returns the number deleted.
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of everything directly in a folder, hidden entries included."""
+    fs, folder = _fs_and_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
-    Destructive: only ever called explicitly, never from a read or a check.
+
+def delete_children(spark: SparkSession, path: str, hidden_only: bool = False) -> int:
+    """Empty a folder, keeping (or making) the folder itself; returns how many entries went.
+
+    ``hidden_only`` removes just side files whose names begin with a dot. Destructive, explicit calls only.
     """
-    fs, hpath = _fs_and_path(spark, path)
-    if not fs.exists(hpath):
-        fs.mkdirs(hpath)
-        return 0
-    deleted = 0
-    for status in fs.listStatus(hpath):
-        if fs.delete(status.getPath(), True):
-            deleted += 1
-    return deleted
+    fs, folder = _fs_and_path(spark, path)
+    fs.mkdirs(folder)
+    names = [s.getPath() for s in fs.listStatus(folder)]
+    doomed = [p for p in names if not hidden_only or p.getName().startswith(".")]
+    return sum(bool(fs.delete(p, True)) for p in doomed)

@@ -8,7 +8,7 @@ the category. Every derived feed below is a per-row projection of ``events``, so
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions.encode import iso_instant, tick_json
@@ -18,28 +18,36 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _user() -> Column:
+    """The event's user; for ``event_id % 5 = 0`` negated, an id no customer has, so those ticks stay unmatched."""
+    return F.when(F.col("event_id") % 5 == 0, -F.col("user_id")).otherwise(F.col("user_id"))
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, user_id, symbol, price, timestamp`` (event time as TIMESTAMP_NTZ)."""
     return load(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.col("event_type").alias("symbol"),
+        "event_id", _user().alias("user_id"), F.col("event_type").alias("symbol"),
         F.col("value").alias("price"), F.col("ts").alias("timestamp"))
 
 
-def dimension(spark: SparkSession, sf_dir: str, exclude_segment: str | None = None) -> DataFrame:
-    """``user_id, coin_name, category`` from ``customer``; optionally without one segment so that some
-    ticks find no dimension row."""
-    dim = load(spark, sf_dir, "customer").select(
+def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_id, coin_name, category`` from ``customer``."""
+    return load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("coin_name"),
         F.col("c_mktsegment").alias("category"))
-    if exclude_segment is not None:
-        dim = dim.filter(F.col("category") != F.lit(exclude_segment))
-    return dim
 
 
 def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as the JSON message a producer would publish: ``event_id, user_id, json``."""
     return load(spark, sf_dir, "events").select(
-        "event_id", "user_id", tick_json("event_type", "value", "ts").alias("json"))
+        "event_id", _user().alias("user_id"), tick_json("event_type", "value", "ts").alias("json"))
+
+
+def id_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ts, json``: every event as a message that also carries its user and its id."""
+    body = F.to_json(F.struct(F.col("event_type").alias("symbol"), F.col("value").alias("price"),
+                              iso_instant("ts").alias("timestamp"), _user().alias("user_id"), "event_id"))
+    return load(spark, sf_dir, "events").select("ts", body.alias("json"))
 
 
 # Fixed fixture rule: which events are published damaged, and how (residues of event_id).
@@ -90,17 +98,23 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One price-API response per event: ``snapshot_id, status, body, fetched_at``.
 
     The body quotes the event's own asset (``event_type``) plus ``tether`` at 1.0. Fixture rule:
-    ``event_id % 17 = 0`` answered 503; ``% 5 = 2`` own quote is null; ``% 5 = 3`` own quote lacks ``usd``.
+    ``event_id % 17 = 0`` answered 503; ``% 5 = 2`` own quote is null; ``% 5 = 3`` own quote lacks ``usd``;
+    ``% 4 = 1`` the quote has more digits than a double holds; ``% 23 = 5`` it is 1E+25; ``% 7 = 1`` the own
+    asset is quoted twice, at 1 first; ``% 3 = 0`` it was fetched at a whole second.
     """
     e = load(spark, sf_dir, "events")
     eid = F.col("event_id")
     quote = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
-    price = F.col("value").cast("string")
+    price = (F.when(eid % 23 == 5, F.lit("1E+25"))
+             .when(eid % 4 == 1, F.concat(F.floor("value").cast("string"), F.lit(".450000000000000000001")))
+             .otherwise(F.col("value").cast("string")))
     own = (F.when(eid % 5 == 2, F.lit('{"usd":null}'))
            .when(eid % 5 == 3, F.concat(F.lit('{"eur":'), price, F.lit("}")))
            .otherwise(F.concat(F.lit('{"usd":'), price, F.lit("}"))))
-    body = F.concat(F.lit("{"), quote(F.col("event_type")), F.lit(":"), own,
+    twice = F.when(eid % 7 == 1, F.concat(quote(F.col("event_type")), F.lit(':{"usd":1},'))).otherwise("")
+    body = F.concat(F.lit("{"), twice, quote(F.col("event_type")), F.lit(":"), own,
                     F.lit(',"tether":{"usd":1.0}}'))
     status = F.when(eid % 17 == 0, F.lit(503)).otherwise(F.lit(200))
+    fetched = F.when(eid % 3 == 0, F.date_trunc("second", "ts").cast("timestamp_ntz")).otherwise(F.col("ts"))
     return e.select(eid.alias("snapshot_id"), status.alias("status"), body.alias("body"),
-                    F.col("ts").alias("fetched_at"))
+                    fetched.alias("fetched_at"))

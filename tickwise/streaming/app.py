@@ -23,7 +23,7 @@ from tickwise.operators.enrich import enrich
 from tickwise.plans import catalog
 from tickwise.schemas import ENRICHED_FIELDS
 from tickwise.sources import kafka
-from tickwise.sources.files import read_metadata, replay_stream
+from tickwise.sources.files import pin_metadata, replay_stream
 from tickwise.streaming import queries as sq
 from tickwise.streaming.sinks import BatchWriter
 
@@ -52,10 +52,9 @@ def enriched_ticks(spark: SparkSession, settings: Settings, source: str = "kafka
     else:
         raise ValueError(f"unknown source {source!r}")
     ticks = parse_ticks(messages)
-    metadata = read_metadata(spark, settings.metadata_path)
-    return enrich(ticks, metadata, key="symbol", check_unique=True,
-                  max_rows=settings.broadcast_max_rows,
-                  max_bytes=settings.broadcast_max_bytes).select(*ENRICHED_FIELDS)
+    metadata, small = pin_metadata(spark, settings.metadata_path, f"{settings.checkpoint_path}/metadata",
+                                   settings.broadcast_max_rows, settings.broadcast_max_bytes)
+    return enrich(ticks, metadata, key="symbol", broadcast=small).select(*ENRICHED_FIELDS)
 
 
 def start(spark: SparkSession, settings: Settings, source: str = "kafka", path: str | None = None,
@@ -75,8 +74,7 @@ def start(spark: SparkSession, settings: Settings, source: str = "kafka", path:
                                    partition_by_day=settings.partition_by_day)
     analytics = sq.window_stats_query(stream, f"{settings.checkpoint_path}/window_stats", analytics_sink,
                                       settings.window_width, settings.watermark_delay,
-                                      name="tick_window_stats", trigger=trigger,
-                                      partitions=settings.state_partitions)
+                                      name="tick_window_stats", trigger=trigger)
     return RunningApp(storage, analytics)
 
 

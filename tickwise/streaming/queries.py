@@ -20,30 +20,6 @@ def _apply_trigger(writer, trigger: dict | None):
     return writer.trigger(**trigger) if trigger else writer
 
 
-def state_partitions(spark: SparkSession, rows_per_trigger: int,
-                     target_rows: int = 2_000_000) -> int:
-    """State-store partitions for a stateful query: enough that one partition handles about
-    ``target_rows`` input rows per trigger, never more than the session's shuffle partitions."""
-    setting = str(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cap = int(setting) if setting.isdigit() else 200  # non-numeric settings: Spark's default
-    need = -(-max(rows_per_trigger, 1) // target_rows)
-    return max(1, min(cap, need))
-
-
-def _start(writer, spark: SparkSession, partitions: int | None) -> StreamingQuery:
-    """Start a query; ``partitions`` sets its shuffle (state) partitions. A stream captures the session
-    configuration when it starts and keeps the partition count in its checkpoint afterwards."""
-    if not partitions:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, before)
-
-
 def raw_storage_query(enriched: DataFrame, output_path: str, checkpoint: str,
                       name: str = "tick_storage", exactly_once: bool = True,
                       trigger: dict | None = None, partition_by_day: bool = False,
@@ -80,15 +56,14 @@ def window_stats_query(enriched: DataFrame, checkpoint: str, sink: str | BatchWr
                        width: str = "2 seconds", delay: str = "2 seconds",
                        keys: Sequence[str] = DEFAULT_KEYS, output_mode: str = "update",
                        name: str = "tick_window_stats", trigger: dict | None = None,
-                       sink_options: dict | None = None,
-                       partitions: int | None = None) -> StreamingQuery:
+                       sink_options: dict | None = None) -> StreamingQuery:
     """Start the windowed statistics query.
 
     ``update`` emits, per trigger, only the groups that changed; ``append`` emits each window once, after
     the watermark has passed its end. ``sink`` is a format name (``console``, ``memory``, ...) or a
     ``foreachBatch`` function such as :func:`~tickwise.streaming.sinks.versioned_writer`.
-    ``partitions`` fixes the number of state partitions on the query's first start (see
-    :func:`state_partitions`); later restarts keep the number stored in the checkpoint.
+    State is spread over the session's ``spark.sql.shuffle.partitions``, kept in the checkpoint from the first
+    start on: set it for the stream's full load, not for its first batch.
     """
     stats = window_stats_stream(enriched, width, delay, keys)
     w = (stats.writeStream.queryName(name).outputMode(output_mode)
@@ -101,7 +76,7 @@ def window_stats_query(enriched: DataFrame, checkpoint: str, sink: str | BatchWr
             w = w.option("truncate", "false").option("numRows", "20")
     if sink_options:
         w = w.options(**sink_options)
-    return _start(_apply_trigger(w, trigger), enriched.sparkSession, partitions)
+    return _apply_trigger(w, trigger).start()
 
 
 def kafka_sink_query(records: DataFrame, options: dict[str, str], checkpoint: str,

@@ -18,14 +18,15 @@ from tickwise.config import Settings, scratch_path, use_utc
 from tickwise.functions.parse import parse_ticks
 from tickwise.operators.enrich import enrich
 from tickwise.plans import catalog
-from tickwise.plans.registered import EXCLUDED_SEGMENT, ORACLE_SQL as BATCH_SQL, ROUND
+from tickwise.plans.registered import ORACLE_SQL as BATCH_SQL, ROUND
 from tickwise.plans.registered import _ENRICHED, _stats_sql
 from tickwise.sources import tables
 from tickwise.sources.files import read_table, replay_stream
+from tickwise.sources.fs import delete_path, list_names
 from tickwise.streaming import app
 from tickwise.streaming import queries as sq
 from tickwise.streaming.replay import SliceReplay
-from tickwise.streaming.sinks import latest_updates, versioned_writer
+from tickwise.streaming.sinks import append_writer, latest_updates, versioned_writer
 
 # Parsed message: the tick plus the two ids the shared table carries (dimension key and tie-breaker).
 MESSAGE = T.StructType([
@@ -40,23 +41,15 @@ SLICES = 5
 LATE_ORDER = (0, 1, 2, 4, 3)   # slice 3 arrives after slice 4: all of it is behind the watermark
 
 
-def _messages(spark: SparkSession, sf: str) -> DataFrame:
-    e = tables.load(spark, sf, "events")
-    body = F.to_json(F.struct(F.col("event_type").alias("symbol"), F.col("value").alias("price"),
-                              F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
-                              "user_id", "event_id"))
-    return e.select("ts", body.alias("json"))
-
-
 def _enriched_stream(spark: SparkSession, sf: str, stage: str) -> DataFrame:
     raw = replay_stream(spark, stage, "text").withColumnRenamed("value", "json")
     ticks = parse_ticks(raw, schema=MESSAGE, required=("symbol", "price", "timestamp"))
-    dim = tables.dimension(spark, sf, exclude_segment=EXCLUDED_SEGMENT)
+    dim = tables.dimension(spark, sf)
     return enrich(ticks, dim, key="user_id")
 
 
 def _replay(spark: SparkSession, sf: str, root: str) -> SliceReplay:
-    return SliceReplay(_messages(spark, sf), "ts", f"{root}/stage", ["json"], "text", SLICES)
+    return SliceReplay(tables.id_messages(spark, sf), "ts", f"{root}/stage", ["json"], "text", SLICES)
 
 
 def _stats_run(spark: SparkSession, sf: str, order=None, output_mode: str = "update") -> DataFrame:
@@ -65,25 +58,35 @@ def _stats_run(spark: SparkSession, sf: str, order=None, output_mode: str = "upd
     out = f"{root}/out"
     replay = _replay(spark, sf, root)
     stream = _enriched_stream(spark, sf, replay.stage_path)
-    parts = sq.state_partitions(spark, replay.rows_per_slice())
 
     def start(trigger):
         return sq.window_stats_query(stream, f"{root}/checkpoint", versioned_writer(out), "2 seconds",
-                                     "2 seconds", STAT_KEYS, output_mode=output_mode, trigger=trigger,
-                                     partitions=parts)
+                                     "2 seconds", STAT_KEYS, output_mode=output_mode, trigger=trigger)
 
     if order is None:
         # In time order: one running query; update-mode results do not depend on eviction timing.
-        replay.run_live(start, skip_idle_batches=output_mode == "update")
+        replay.run_live(start)
     else:
         replay.run(lambda: start({"availableNow": True}), order)   # out of order: batch per slice
-    final = latest_updates(spark, out, ["window_start", "window_end", *STAT_KEYS])
+    _forget(spark, root)
+    if output_mode == "append":
+        return _statistics(spark.read.parquet(out))  # every window must have been emitted exactly once
+    return _statistics(latest_updates(spark, out, ["window_start", "window_end", *STAT_KEYS]))
+
+
+def _statistics(final: DataFrame) -> DataFrame:
     return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *STAT_KEYS,
                         F.round("average_price", ROUND).alias("average_price"),
                         "max_price", "min_price", "event_count")
 
 
+def _forget(spark: SparkSession, root: str) -> None:
+    """Drop what only the finished run needed: its staged messages and checkpoints."""
+    for part in ("stage", "checkpoint", "checkpoints", "metadata"):
+        delete_path(spark, f"{root}/{part}")
+
+
 def stream_window_stats(spark: SparkSession, sf: str) -> DataFrame:
     """2-second windows, 2-second watermark, update mode; last update per window and key."""
     return _stats_run(spark, sf)
@@ -117,6 +120,7 @@ def _store_run(spark: SparkSession, sf: str, exactly_once: bool) -> tuple[str, s
     replay.run_live(lambda trigger: sq.raw_storage_query(stream, out, f"{root}/checkpoint",
                                                          exactly_once=exactly_once, trigger=trigger),
                     order=LATE_ORDER)
+    _forget(spark, root)
     return root, out
 
 
@@ -138,9 +142,34 @@ def stream_flat_store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_file_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Data files behind the flat stored table (count depends on partitioning: rows-only check)."""
+    """Data files of the stored ticks, rewritten as one file per event day."""
+    root, out = _store_run(spark, sf, exactly_once=False)
+    stored = spark.read.parquet(out).withColumn("day", F.to_date("timestamp"))
+    stored.repartition("day").write.partitionBy("day").parquet(f"{root}/days")
+    delete_path(spark, out)
+    return catalog.count_data_files(spark, f"{root}/days", recursive=True)
+
+
+def stream_empty_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The flat writer given an empty micro-batch, then all ticks: files and rows after each."""
+    use_utc(spark)
+    root = scratch_path(spark, "stream_empty_batches")
+    write = append_writer(f"{root}/table")
+    ticks = tables.ticks(spark, sf)
+    write(ticks.where(F.lit(False)), 0)
+    files = catalog.count_data_files(spark, f"{root}/table").first()["file_count"]
+    write(ticks, 1)
+    return spark.read.parquet(f"{root}/table").agg(F.count(F.lit(1)).alias("stored_rows")).select(
+        F.lit(files).cast("long").alias("files_after_empty"), "stored_rows")
+
+
+def stream_flat_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries of the flat stored folder that are no data file, hidden ones counted: none."""
     _, out = _store_run(spark, sf, exactly_once=False)
-    return catalog.count_data_files(spark, out)
+    names = list_names(spark, out)
+    rows = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("stored_rows"))
+    return rows.select(F.lit(sum(not n.endswith(".parquet") for n in names)).cast("long").alias("other_entries"),
+                       "stored_rows")
 
 
 def _app_run(spark: SparkSession, sf: str) -> tuple[Settings, str]:
@@ -159,8 +188,8 @@ def _app_run(spark: SparkSession, sf: str) -> tuple[Settings, str]:
     replay = _replay(spark, sf, root)
     settings = Settings(metadata_path=f"{root}/metadata", output_path=f"{root}/table",
                         checkpoint_path=f"{root}/checkpoints", database="tickwise_app",
-                        table="ticks_" + root.rsplit("/", 1)[-1][:12],
-                        state_partitions=sq.state_partitions(spark, replay.rows_per_slice()))
+                        table="ticks_" + root.rsplit("/", 1)[-1][:12])
+
     def start(trigger):
         return app.start(spark, settings, source="files", path=replay.stage_path,
                          analytics_sink=versioned_writer(f"{root}/stats"), trigger=trigger)
@@ -176,13 +205,14 @@ def _app_run(spark: SparkSession, sf: str) -> tuple[Settings, str]:
         running.stop()
     for q in start({"availableNow": True}).queries():
         sq.drain(q)
+    _forget(spark, root)
     return settings, root
 
 
 def stream_app_storage(spark: SparkSession, sf: str) -> DataFrame:
     """What the application's storage query wrote, read through its catalog table."""
     settings, _ = _app_run(spark, sf)
-    stored = read_table(spark, catalog.full_table_name(settings.database, settings.table))
+    stored = read_table(spark, catalog.TableRef(settings.database, settings.table).sql)
     return stored.select("symbol", "coin_name", "category", "price",
                          F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
@@ -190,11 +220,7 @@ def stream_app_storage(spark: SparkSession, sf: str) -> DataFrame:
 def stream_app_window_stats(spark: SparkSession, sf: str) -> DataFrame:
     """The application's windowed statistics (update mode): last update per window and key."""
     _, root = _app_run(spark, sf)
-    final = latest_updates(spark, f"{root}/stats", ["window_start", "window_end", *STAT_KEYS])
-    return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                        F.col("window_end").cast("timestamp_ntz").alias("window_end"), *STAT_KEYS,
-                        F.round("average_price", ROUND).alias("average_price"),
-                        "max_price", "min_price", "event_count")
+    return _statistics(latest_updates(spark, f"{root}/stats", ["window_start", "window_end", *STAT_KEYS]))
 
 
 _APP_TICKS = ("SELECT event_type AS symbol, upper(event_type) AS coin_name, "
@@ -226,6 +252,8 @@ QUERIES = {
     "stream_raw_store": stream_raw_store,
     "stream_flat_store": stream_flat_store,
     "stream_file_count": stream_file_count,
+    "stream_empty_batches": stream_empty_batches,
+    "stream_flat_files": stream_flat_files,
     "stream_app_storage": stream_app_storage,
     "stream_app_window_stats": stream_app_window_stats,
 }
@@ -236,6 +264,9 @@ ORACLE_SQL = {
     "stream_late_rows": _late_sql(),
     "stream_raw_store": _ENRICHED,
     "stream_flat_store": _ENRICHED,
+    "stream_file_count": "SELECT count(DISTINCT CAST(ts AS DATE)) AS file_count FROM events",
+    "stream_empty_batches": "SELECT CAST(0 AS BIGINT) AS files_after_empty, count(*) AS stored_rows FROM events",
+    "stream_flat_files": "SELECT CAST(0 AS BIGINT) AS other_entries, count(*) AS stored_rows FROM events",
     "stream_app_storage": _APP_TICKS,
     "stream_app_window_stats": _stats_sql("2 seconds", "symbol, coin_name, category", _APP_TICKS),
 }

@@ -71,7 +71,7 @@ class SliceReplay:
         part.write.mode("append").format(self.fmt).save(self.stage_path)
 
     def run_live(self, start_query: Callable[[dict | None], StreamingQuery],
-                 skip_idle_batches: bool = False, order: Sequence[int] | None = None) -> None:
+                 order: Sequence[int] | None = None) -> None:
         """Stage the slices in time order into one running query, then restart it once to drain.
 
         Slices in time order can never be late (every row of a later slice is newer than any earlier
@@ -82,20 +82,8 @@ class SliceReplay:
 
         ``order`` other than time order is only meaningful for a stateless query (no watermark, no state),
         whose output cannot depend on batch boundaries; stateful queries fed out of order use :meth:`run`.
-
-        ``skip_idle_batches`` turns off the no-data micro-batches that only move the watermark. That is
-        safe for update-mode output, whose final values do not depend on when state is evicted; Spark keeps
-        the setting with the checkpoint, so append mode (which emits on eviction) must leave it on.
         """
-        spark = self.source.sparkSession
-        key = "spark.sql.streaming.noDataMicroBatches.enabled"
-        before = spark.conf.get(key, "true")
-        if skip_idle_batches:
-            spark.conf.set(key, "false")  # captured when the stream starts; restored right after
-        try:
-            query = start_query(None)
-        finally:
-            spark.conf.set(key, before)
+        query = start_query(None)
         try:
             for k in (order if order is not None else range(len(self.bounds()))):
                 self.stage(k)

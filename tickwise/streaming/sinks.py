@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tickwise.sources.fs import delete_children
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -32,6 +34,9 @@ def append_writer(path: str, fmt: str = "parquet", partition_by: Sequence[str] =
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.save(path)
+            if not partition_by:
+                # Local and mounted disks get checksum side files; the flat folder holds data files only.
+                delete_children(batch.sparkSession, path, hidden_only=True)
         finally:
             cached.unpersist()
 
@@ -55,11 +60,11 @@ def versioned_writer(path: str, fmt: str = "parquet") -> BatchWriter:
 def latest_updates(spark: SparkSession, path: str, keys: Sequence[str], schema=None,
                    fmt: str = "parquet") -> DataFrame:
     """Collapse an update-mode log written by :func:`versioned_writer`: per key, the row of the highest
-    micro-batch. A partial aggregation (``max_by``), so a frequently updated key costs one row per task."""
+    micro-batch (a batch holds a key once). A partial hash aggregation over values of fixed width, so a
+    frequently updated key costs one row per task and the log is not sorted."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     log = reader.load(path)
     values = [c for c in log.columns if c not in keys and c != "batch_id"]
-    best = F.max_by(F.struct(*values), F.col("batch_id")).alias("_row")
-    return log.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+    return log.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in values])
