@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickwise.config import Settings
@@ -58,7 +59,7 @@ def test_latest_per_key_with_tie_breaker(spark):
 def test_latest_is_partial_aggregate(spark):
     df = _feed(spark)
     plan = latest.latest_per_key(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_max_by" in plan
+    assert "Window" not in plan and "partial_max_by" in plan and "SortAggregate" not in plan
 
 
 def test_last_in_bucket(spark):
@@ -109,12 +110,14 @@ def test_dashboard_build(spark):
     assert [r["price"] for r in symbol_grid(frames, "BTC").orderBy("time_bucket").collect()] == [120.0, 150.0]
 
 
-def test_single_column_ordering_uses_hash_aggregation(spark):
+def test_newest_values_use_hash_aggregation(spark):
     df = _feed(spark)
     fast = latest.last_in_bucket(df, "40 seconds")._jdf.queryExecution().executedPlan().toString()
     exact = latest.last_in_bucket(df.withColumn("id", F.lit(1)), "40 seconds", tie_breakers=("id",))
+    named = latest.latest_per_key(df.withColumn("name", F.lit("n")))
     assert "HashAggregate" in fast and "SortAggregate" not in fast
-    assert "SortAggregate" in exact._jdf.queryExecution().executedPlan().toString()
+    for other in (exact, named):
+        assert "SortAggregate" not in other._jdf.queryExecution().executedPlan().toString()
 
 
 def test_dashboard_from_parquet_folder(spark, workdir):
@@ -126,3 +129,17 @@ def test_dashboard_from_parquet_folder(spark, workdir):
         "timestamp").write.parquet(path)
     frames = from_parquet(spark, Settings(output_path=path))
     assert [(r["symbol"], r["price"]) for r in frames.latest.collect()] == [("BTC", 150.0), ("ETH", 50.0)]
+
+
+def test_latest_row_with_text_columns_nulls_and_equal_rows(spark):
+    rows = [("BTC", "a", NOW, 1), ("BTC", "b", NOW, 2), ("BTC", "b", NOW, 2), (None, "c", OLD, -5), (None, "d", OLD, -6),
+            ("ETH", "e", None, 9)]
+    df = spark.createDataFrame(rows, "symbol string, name string, timestamp timestamp_ntz, id bigint")
+    out = sorted((r["symbol"] or "", r["name"]) for r in latest.latest_per_key(df, order=("timestamp", "id")).collect())
+    assert out == [("", "c"), ("BTC", "b")]
+
+
+def test_grid_refuses_a_stream(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("'A' as symbol", "timestamp", "1.0D as price")
+    with pytest.raises(ValueError, match="batch result"):
+        grid.dense_trend_grid(stream)

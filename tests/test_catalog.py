@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from tickwise.config import Settings
@@ -21,11 +20,7 @@ def _write(spark, path, rows=ROWS):
 
 
 def test_identifiers():
-    assert catalog.quote_identifier("a`b") == "`a``b`"
-    assert catalog.full_table_name("db", "t") == "`db`.`t`"
-    assert catalog.checked_identifier("crypto_info") == "crypto_info"
-    with pytest.raises(ValueError):
-        catalog.checked_identifier("x; DROP TABLE y")
+    assert catalog.TableRef("d`b", "t").sql == "`d``b`.`t`"
     assert catalog.sql_string("it's") == "'it\\'s'"
 
 
@@ -92,3 +87,11 @@ def test_inspection_of_day_partitioned_table(spark, workdir):
     assert report.file_count >= 1
     assert report.frames["row_count"].first()["record_count"] == 3
     assert catalog.count_data_files(spark, path).first()["file_count"] == 0  # nothing at the top level
+
+
+def test_compaction_keeps_day_folders(spark, workdir):
+    src, dst = os.path.join(workdir, "src"), os.path.join(workdir, "dst")
+    spark.range(0, 300).selectExpr("cast(id as double) as price", "timestamp_seconds(id * 1000) as timestamp",
+                                   "date(timestamp_seconds(id * 1000)) as day").write.partitionBy("day").parquet(src)
+    out = catalog.compact(spark, src, dst, partition_by_day=True)
+    assert out.count() == 300 and [d for d in os.listdir(dst) if d.startswith("day=")]

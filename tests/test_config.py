@@ -3,13 +3,15 @@
 import os
 
 import pytest
+from pyspark.sql.datasource import DataSource
 
 from tickwise.functions.encode import kafka_records
 from tickwise.functions.parse import parse_ticks
 from tickwise.sources.files import replay_stream
-from tickwise.streaming.queries import kafka_sink_query, state_partitions
+from tickwise.streaming.queries import kafka_sink_query
 
 from tickwise.config import Settings, scratch_path, shared_dir
+from tickwise.plans import dashboard
 from tickwise.sources import kafka
 
 
@@ -47,8 +49,44 @@ def test_kafka_sink_query_is_wired(spark, workdir):
                          trigger={"availableNow": True}).awaitTermination()
 
 
-def test_state_partitions_sizing(spark):
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert state_partitions(spark, 10) == 1
-    assert state_partitions(spark, 5_000_000, target_rows=1_000_000) == min(cap, 5)
-    assert state_partitions(spark, 10**12) == cap
+def test_no_scratch_on_a_cluster_without_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_missing_topic_is_empty_and_settings_reach_the_dashboard(spark, workdir):
+    class Missing(DataSource):
+        @classmethod
+        def name(cls):
+            return "absent_topic"
+
+        def schema(self):
+            return "value binary"
+
+        def reader(self, schema):
+            raise RuntimeError("UnknownTopicOrPartitionException: no such topic")
+
+    spark.dataSource.register(Missing)
+    settings = Settings(metadata_path=os.path.join(workdir, "none.csv"), window_width="1 hour", trend_bucket_seconds=10)
+    frames = dashboard.from_topic(spark, settings, source="absent_topic")
+    assert frames.latest.count() == 0
+    messages = spark.createDataFrame(
+        [('{"symbol":"BTC","price":"1.5","timestamp":"2026-05-07T12:00:00Z"}',),
+         ('{"symbol":"BTC","price":2,"timestamp":"2026-05-07T12:30:00Z"}',), ("garbage",)], "json string")
+    frames = dashboard.from_messages(messages, settings=settings)
+    assert [(r["average_price"], r["event_count"]) for r in frames.analytics.collect()] == [(1.75, 2)]
+    assert frames.trends.count() == 2
+    assert frames.grid.agg({"time_bucket": "count"}).first()[0] == 60 + 7

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwise.operators.enrich import enrich
-from tickwise.operators.joins import assert_unique_keys, check_size, lookup_join
+from tickwise.operators.joins import assert_unique_keys, check_size, heavy_keys, lookup_join
 from tickwise.plans.dashboard import enrich_with_metadata
 from tickwise.sources.files import read_metadata
 
@@ -65,41 +65,33 @@ def test_size_check_is_bounded(spark):
     assert not check_size(big, max_rows=10_000, max_bytes=1000).bounded
 
 
-def test_salted_join_matches_broadcast(spark):
-    # One hot key holds most of the facts.
-    facts = spark.range(0, 20000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(7)
-                                          .alias("k"), F.col("id").alias("v"))
+def test_split_join_matches_broadcast(spark):
+    # One hot key holds most of the facts, another has no lookup row, some are null.
+    facts = spark.range(0, 20000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50).when(F.col("id") % 3 == 1, 7).when(F.col("id") % 6 == 2, 99)
+        .alias("k"), F.col("id").alias("v"))
     dim = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    expected = sorted(map(tuple, facts.join(dim, "k", "left").collect()))
-    salted = lookup_join(facts, dim, "k", "left", broadcast=False, salt_buckets=16)
-    assert sorted(map(tuple, salted.select("k", "v", "w").collect())) == expected
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan
+    key = lambda r: tuple((x is None, x) for x in r)
+    expected = sorted(map(tuple, facts.join(dim, "k", "left").collect()), key=key)
+    split = lookup_join(facts, dim, "k", "left", broadcast=False)
+    assert sorted(map(tuple, split.select("k", "v", "w").collect()), key=key) == expected
+    assert set(heavy_keys(facts, ["k"], 0.1)) == {(7,), (99,)}
     bcast = lookup_join(facts, dim, "k", "left")
-    assert sorted(map(tuple, bcast.select("k", "v", "w").collect())) == expected
-    inner = lookup_join(facts, dim.filter("k < 10"), "k", "inner", broadcast=False, salt_buckets=4)
+    assert sorted(map(tuple, bcast.select("k", "v", "w").collect()), key=key) == expected
+    inner = lookup_join(facts, dim.filter("k < 10"), "k", "inner", broadcast=False)
     assert inner.count() == facts.filter("k < 10").count()
 
 
-def test_salting_spreads_a_hot_key_over_tasks(spark):
-    """A key holding most facts is joined by several tasks, not one."""
-    facts = spark.range(0, 30000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(1)
-                                          .alias("k"), F.col("id").alias("v"))
-    dim = spark.range(0, 7).select(F.col("id").alias("k"), F.lit("x").alias("w"))
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(key, "false")  # keep tiny shuffle partitions apart so task placement is visible
-    try:
-        joined = lookup_join(facts, dim, "k", "left", broadcast=False, salt_buckets=8)
-        tasks = joined.filter("k = 1").select(F.spark_partition_id().alias("p")).distinct().count()
-        plain = (facts.join(dim.hint("merge"), "k", "left").filter("k = 1")
-                 .select(F.spark_partition_id().alias("p")).distinct().count())
-    finally:
-        spark.conf.set(key, "true")
-    assert plain == 1 and tasks > 1
-
-
-def test_salting_with_a_map_column(spark):
+def test_hot_key_never_reaches_the_shuffle(spark):
+    facts = spark.range(0, 30000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(1).alias("k"),
+                                         F.col("id").alias("v"))
+    dim = spark.range(0, 30000).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    plan = lookup_join(facts, dim, "k", "left", broadcast=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "strategy=broadcast" in plan and "strategy=merge" in plan
+
+
+def test_split_join_with_a_map_column(spark):
     facts = spark.range(0, 100).select((F.col("id") % 3).alias("k"),
                                        F.create_map(F.lit("a"), F.col("id")).alias("m"))
     dim = spark.range(0, 3).select(F.col("id").alias("k"), F.lit("x").alias("w"))
-    assert lookup_join(facts, dim, "k", "left", broadcast=False, salt_buckets=4).count() == 100
+    assert lookup_join(facts, dim, "k", "left", broadcast=False).count() == 100

@@ -5,9 +5,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tickwise.operators import grid
 from tickwise.plans import registered as reg
-from tickwise.streaming.registered import _messages
+from tickwise.sources import tables
 from tickwise.streaming.replay import SliceReplay
+from tickwise.streaming.sinks import latest_updates
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables not present")
@@ -38,9 +40,38 @@ def test_grid_pushes_time_bound_into_scan(spark):
     assert any("GreaterThanOrEqual(ts," in line for line in pushed)
 
 
-def test_snapshot_shaping_has_no_shuffle_or_join(spark):
-    plan = _plan(reg.snapshot_ticks(spark, SF))
-    assert "Exchange" not in plan and "Join" not in plan
+def test_snapshots_are_parsed_once_and_not_shuffled(spark):
+    text = _formatted(reg.snapshot_ticks(spark, SF))
+    assert text.count("from_json(") == 1 and "BroadcastHashJoin LeftOuter" in text
+    assert "hashpartitioning(snapshot" not in text
+    assert _formatted(reg.snapshot_rejects(spark, SF)).count("from_json(") == 1
+
+
+@pytest.mark.parametrize("name", ["latest_per_symbol", "dashboard_latest", "last_price_40s", "dense_trend_grid",
+                                  "trend_points_non_null", "dashboard_trends", "dashboard_grid"])
+def test_newest_values_are_hash_aggregated(spark, name):
+    assert "SortAggregate" not in _plan(reg.QUERIES[name](spark, SF))
+
+
+def test_update_log_is_collapsed_by_hash_aggregation(spark, workdir):
+    path = os.path.join(workdir, "log")
+    spark.range(10).selectExpr("cast(id % 3 as string) as k", "id as v", "id as batch_id").write.partitionBy(
+        "batch_id").parquet(path)
+    out = latest_updates(spark, path, ["k"])
+    assert "SortAggregate" not in _plan(out)
+    assert sorted(map(tuple, out.collect())) == [("0", 9), ("1", 7), ("2", 8)]
+
+
+def test_dormant_symbol_does_not_widen_the_grid_scan(spark, workdir):
+    path = os.path.join(workdir, "ticks")
+    (spark.range(0, 50_000).selectExpr("'A' as symbol", "cast(id as double) as price",
+                                       "cast(timestamp_seconds(1700000000 + id * 60) as timestamp_ntz) as timestamp")
+     .unionAll(spark.sql("select 'Z', 1.0D, timestamp_ntz'2001-01-01 00:00:00'")).write.parquet(path))
+    ticks = spark.read.parquet(path)
+    ranges = grid.frame_ranges(grid.chart_frames(ticks))
+    assert len(ranges) == 2 and sum(e - s for s, e in ranges) < 2 * 3600 * 1_000_000
+    pushed = [x for x in _formatted(grid.dense_trend_grid(ticks)).splitlines() if x.startswith("PushedFilters")]
+    assert any("Or(" in x for x in pushed)
 
 
 def test_newest_takes_top_k_before_enrichment(spark):
@@ -50,13 +81,15 @@ def test_newest_takes_top_k_before_enrichment(spark):
     assert "TakeOrderedAndProject" in tree[join_at:]  # a top-k below the join, on the tick side
 
 
-def test_hot_key_join_is_salted(spark):
-    plan = _plan(reg.hot_key_enrich_stats(spark, SF))
-    assert "_salt" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+def test_hot_key_is_joined_apart_and_only_needed_columns_are_read(spark):
+    text = _formatted(reg.hot_key_enrich_stats(spark, SF))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" in text
+    scans = [x for x in text.splitlines() if x.startswith("ReadSchema") and "event_id" in x]
+    assert scans and all("props" not in x and "event_type" not in x for x in scans)
 
 
 def test_replay_slices_prune_by_time(spark, workdir):
-    replay = SliceReplay(_messages(spark, SF), "ts", os.path.join(workdir, "stage"), ["json"])
+    replay = SliceReplay(tables.id_messages(spark, SF), "ts", os.path.join(workdir, "stage"), ["json"])
     lo, hi = replay.bounds()[1]
     t = F.col("ts")
     part = replay.source.filter((t >= replay._edge(lo)) & (t < replay._edge(hi)))

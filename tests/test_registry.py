@@ -7,10 +7,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tickwise.config import release_scratch, scratch_root
+from tickwise.plans import registered
+from tickwise.streaming import registered as streaming
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["customer", "events"]
-ROWS_ONLY = {"sample_10", "stream_file_count"}
+QUERIES = {**registered.QUERIES, **streaming.QUERIES}
+ORACLES = {**registered.ORACLE_SQL, **streaming.ORACLE_SQL}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables not present")
 
@@ -36,9 +40,9 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == ROWS_ONLY
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -48,12 +52,20 @@ def test_entry_runs(spark):
                           "average_price", "max_price", "min_price", "event_count"]
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(ORACLES[name])
     cols = [d[0] for d in cur.description]
     exp = cur.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert _rows(got, df.columns) == _rows(exp, cols)
+
+
+def test_scratch_is_empty_once_released(spark):
+    for name in ("inspection_row_count", "compacted_table", "dense_trend_grid", "stream_raw_store"):
+        QUERIES[name](spark, SF).count()
+    release_scratch(spark)
+    assert not os.path.exists(scratch_root(spark).removeprefix("file:"))
+    assert QUERIES["inspection_row_count"](spark, SF).first()["record_count"] > 0

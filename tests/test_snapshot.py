@@ -1,11 +1,7 @@
 """Price-API snapshots to ticks, and rejected responses."""
 
 import datetime as dt
-from decimal import Decimal
-
-from pyspark.sql import functions as F
-
-from tickwise.functions.snapshot import DEFAULT_ASSETS, snapshot_rejects, snapshot_ticks
+from tickwise.functions.snapshot import DEFAULT_ASSETS, snapshot_quotes, snapshot_rejects, snapshot_ticks
 
 FETCHED = dt.datetime(2026, 5, 8, 20, 42, 33)
 
@@ -34,13 +30,26 @@ def test_null_quote_no_usd_unknown_asset_skipped(spark):
     assert _ticks(spark, [(200, body)]) == [(0, "SOL", 150.0, FETCHED)]
 
 
-def test_exact_decimal_until_cast(spark):
-    body = '{"bitcoin":{"usd":65231.450000000000000001}}'
-    df = _snapshots(spark, [(200, body)])
-    quotes = df.select(F.from_json("body", "map<string, struct<usd: decimal(38,18)>>")["bitcoin"]["usd"]
-                       .alias("usd")).first()["usd"]
-    assert quotes == Decimal("65231.450000000000000001")
-    assert _ticks(spark, [(200, body)])[0][2] == 65231.45
+def test_exact_price_text_until_cast(spark):
+    body = '{"bitcoin":{"usd":65231.450000000000000001},"ethereum":{"usd":1e25}}'
+    quotes = {r["symbol"]: r["price_text"] for r in snapshot_quotes(_snapshots(spark, [(200, body)])).collect()}
+    assert quotes == {"BTC": "65231.450000000000000001", "ETH": "1e25"}
+    assert _ticks(spark, [(200, body)]) == [(0, "BTC", 65231.45, FETCHED), (0, "ETH", 1e25, FETCHED)]
+
+
+def test_last_entry_of_a_repeated_id_counts(spark):
+    body = '{"bitcoin":{"usd":1},"ethereum":{"usd":5},"bitcoin":{"usd":2},"ethereum":{"usd":null}}'
+    assert _ticks(spark, [(200, body)]) == [(0, "BTC", 2.0, FETCHED)]
+
+
+def test_several_symbols_for_one_id(spark):
+    assets = (("bitcoin", "BTC"), ("bitcoin", "XBT"))
+    assert [t[1] for t in _ticks(spark, [(200, '{"bitcoin":{"usd":1}}')], assets)] == ["BTC", "XBT"]
+
+
+def test_many_assets_from_a_table(spark):
+    assets = spark.range(20_000).selectExpr("concat('a', id) as asset_id", "concat('S', id) as symbol")
+    assert [t[1] for t in _ticks(spark, [(200, '{"a19999":{"usd":1}}')], assets)] == ["S19999"]
 
 
 def test_rejects(spark):
@@ -53,9 +62,3 @@ def test_rejects(spark):
     rej = snapshot_rejects(_snapshots(spark, rows), keep=("id",))
     assert sorted((r["id"], r["reason"]) for r in rej.collect()) == [
         (1, "http_status"), (2, "no_prices"), (3, "no_prices"), (4, "http_status")]
-
-
-def test_plan_has_no_shuffle(spark):
-    df = snapshot_ticks(_snapshots(spark, [(200, '{"bitcoin":{"usd":1.0}}')]))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Join" not in plan

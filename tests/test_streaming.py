@@ -105,8 +105,7 @@ def test_flat_folder_contract(spark, workdir):
                              trigger={"availableNow": True})
     sq.drain(q)
     entries = os.listdir(table)
-    visible = [e for e in entries if not e.startswith(".")]  # hidden .crc files: local-disk checksums
-    assert visible and all(e.endswith(".parquet") for e in visible)
+    assert entries and all(e.endswith(".parquet") and not e.startswith(".") for e in entries)
     assert not any(os.path.isdir(os.path.join(table, e)) for e in entries)
     assert "_SUCCESS" not in entries
     assert spark.read.parquet(table).count() == 4

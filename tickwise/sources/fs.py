@@ -12,6 +12,12 @@ def _fs_and_path(spark: SparkSession, path: str):
     return fs, hpath
 
 
+def _raw(spark: SparkSession, fs):
+    """The file system below Hadoop's checksum layer, which hides its own side files."""
+    layer = spark.sparkContext._jvm.java.lang.Class.forName("org.apache.hadoop.fs.ChecksumFileSystem")
+    return fs.getRawFileSystem() if layer.isInstance(fs) else fs
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = _fs_and_path(spark, path)
     return bool(fs.exists(hpath))
@@ -37,7 +43,7 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of everything directly in a folder, hidden entries included."""
     fs, folder = _fs_and_path(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return [s.getPath().getName() for s in _raw(spark, fs).listStatus(folder)] if fs.exists(folder) else []
 
 
 def delete_children(spark: SparkSession, path: str, hidden_only: bool = False) -> int:
@@ -47,6 +53,8 @@ def delete_children(spark: SparkSession, path: str, hidden_only: bool = False) -
     """
     fs, folder = _fs_and_path(spark, path)
     fs.mkdirs(folder)
-    names = [s.getPath() for s in fs.listStatus(folder)]
-    doomed = [p for p in names if not hidden_only or p.getName().startswith(".")]
-    return sum(bool(fs.delete(p, True)) for p in doomed)
+    if hidden_only:
+        raw = _raw(spark, fs)
+        return sum(bool(raw.delete(s.getPath(), False)) for s in raw.listStatus(folder)
+                   if s.getPath().getName().startswith(".") and s.isFile())
+    return sum(bool(fs.delete(s.getPath(), True)) for s in fs.listStatus(folder))
