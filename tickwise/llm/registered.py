@@ -97,7 +97,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
+_TWO = ", ".join(f"'{x}'" for x in host_reputation.TWO_LABEL_SUFFIXES)
+
+
+def _fits(rule: host_reputation.Rule) -> str:
+    return (f"((host = '{rule.host}' OR ends_with(host, '.{rule.host}')) AND starts_with(path, '{rule.path}'))")
+
+
+_RULES = sorted(URL_RULES, key=lambda r: -len(r.text))
+_RULE_TEXT = "CASE " + " ".join(f"WHEN {_fits(r)} THEN '{r.text}'" for r in _RULES) + " END"
+_RULE_VERDICT = "CASE " + " ".join(f"WHEN {_fits(r)} THEN '{r.verdict}'" for r in _RULES) + " END"
+
+
+def _strength(source: str, mu: str) -> str:
+    """Prior strength of one level from the spread of its groups' counts around their parents' means."""
+    rho = (f"CASE WHEN sum(n * (n - 1) * {mu} * (1 - {mu})) > 0 THEN (sum((k - n * {mu}) * (k - n * {mu})) "
+           f"- sum(n * {mu} * (1 - {mu}))) / sum(n * (n - 1) * {mu} * (1 - {mu})) ELSE 0.05 END")
+    return f"(SELECT 1 / least(greatest(coalesce({rho}, 0.05), 0.002), 0.5) - 1 FROM {source})"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_host_reputation": f"""
+        WITH s AS (
+          SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+          FROM (SELECT page_id, CASE WHEN coalesce(strpos(url, '://'), 0) > 0 THEN substr(url, strpos(url, '://') + 3)
+                                     ELSE '' END AS rest FROM pages)
+        ), o AS (
+          SELECT host, count(*) AS n, sum(CASE WHEN coalesce(quality, 0) = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS k
+          FROM s JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY host
+        ), h AS (
+          SELECT host, CASE WHEN two IN ({_TWO}) THEN array_to_string(l[-3:], '.') ELSE two END AS domain,
+                 CASE WHEN two IN ({_TWO}) THEN two ELSE l[-1] END AS suffix,
+                 CAST(coalesce(n, 0) AS DOUBLE) AS n, CAST(coalesce(k, 0) AS DOUBLE) AS k
+          FROM (SELECT host, string_split(host, '.') AS l, array_to_string(string_split(host, '.')[-2:], '.') AS two
+                FROM (SELECT DISTINCT host FROM s)) LEFT JOIN o USING (host)
+        ), t AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS top FROM h),
+        b1 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(top) AS mu FROM h, t GROUP BY suffix),
+        r1 AS (SELECT suffix, (a * mu + k) / (a + n) AS mean FROM b1, (SELECT {_strength("b1", "mu")} AS a)),
+        b2 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k, any_value(mean) AS mu FROM h JOIN r1 USING (suffix)
+               GROUP BY domain, suffix),
+        r2 AS (SELECT domain, (a * mu + k) / (a + n) AS mean FROM b2, (SELECT {_strength("b2", "mu")} AS a)),
+        b3 AS (SELECT host, n, k, mean AS mu FROM h JOIN r2 USING (domain)),
+        r3 AS (SELECT host, st * mu + k AS a, st * (1 - mu) + n - k AS b FROM b3, (SELECT {_strength("b3", "mu")} AS st))
+        SELECT page_id, host, path, {_RULE_TEXT} AS rule,
+               coalesce({_RULE_VERDICT}, CASE WHEN a / (a + b) + {host_reputation.DEVIATIONS}
+                 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) >= {host_reputation.FLOOR} THEN 'allow' ELSE 'block' END)
+               AS verdict
+        FROM s JOIN r3 USING (host)
+    """,
     "op5_warc": """
         WITH p AS (
           SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
