@@ -103,7 +103,7 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     base = docs.select("doc_id", "text")
     n = ranges or max(1, base.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     steps = [k / n for k in range(1, n)]
-    cuts = base.agg(F.percentile_approx("doc_id", steps, 10 * n).alias("c")).first()["c"] if steps else None
+    cuts = base.agg(F.percentile_approx("doc_id", steps, max(10_000, 2 * n)).alias("c")).first()["c"] if steps else None
     bounds = sorted(set(cuts or []))
     bound_list = F.lit(bounds) if bounds else F.array().cast("array<bigint>")
     # Null ids sort behind every other one and go to a range of their own.
