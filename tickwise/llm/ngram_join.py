@@ -28,14 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import longs, map_rows, mix, shingle_set, written
+from tickwise.llm.common import _M, _R, longs, map_rows, mix, shingle_set, written
 from tickwise.llm.graph import components
 
 #: Most tokens that are called frequent, a bound of what is sent to the tasks (12 bytes each).
 HEAVY_TOKENS = 1 << 17
 HEAVY_LEAST = 6
 _COUNT_EVERY = 4_000_000
-_SLOTS = 1 << 23
+#: Bits of the fixed-size filters that thin rows out before a shuffle; what passes by chance drops out in the join.
+_SLOTS = 1 << 24
 
 
 def _sets_table(docs: DataFrame, width: int) -> DataFrame:
@@ -172,19 +173,23 @@ def _possible(pairs: DataFrame, prefixes: DataFrame, num: int, den: int) -> Data
     return both.where(most * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b").distinct()
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole sets link. Sets are made only for documents that occur in a pair.
+def _slot(c: str | Column) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(_SLOTS))
 
-    Which documents those are goes to the tasks as a bit map of fixed size; what it lets through by chance
-    drops out in the join.
-    """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(_SLOTS))
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    marks = ids.select(slot("id").alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(
+
+def _bit_map(slots: DataFrame) -> np.ndarray:
+    """The column ``s`` of slots as a bit map of _SLOTS bits; its size does not depend on the rows."""
+    marks = slots.groupBy(F.shiftright("s", 6).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("m")).toArrow()
     words = np.zeros(_SLOTS // 64, np.int64)
     words[marks.column("w").to_numpy()] = marks.column("m").to_numpy()
-    bits = docs.sparkSession.sparkContext.broadcast(words)
+    return words
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose whole sets link. Sets are made only for documents that occur in a pair."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    bits = docs.sparkSession.sparkContext.broadcast(_bit_map(ids.select(_slot("id").alias("s"))))
 
     def run(rows):
         marked = bits.value
@@ -192,7 +197,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -
             if (int(marked[s >> 6]) >> (s & 63)) & 1:
                 yield doc_id, longs(shingle_set(text, width))
 
-    sets = written(map_rows(docs.where(F.col("doc_id").isNotNull()).select("doc_id", slot("doc_id").alias("s"), "text"),
+    sets = written(map_rows(docs.where(F.col("doc_id").isNotNull()).select("doc_id", _slot("doc_id").alias("s"), "text"),
                             run, [("id", pa.int64()), ("tokens", pa.list_(pa.int64()))], 128), "ngram-verify")
     first = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
@@ -202,10 +207,46 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -
         F.col("i") * (den + num) >= F.col("t") * num).select("a", "b").distinct()
 
 
-def _may_link(n1: Column, s1: Column, n2: Column, s2: Column, combined: Column, num: int, den: int) -> Column:
+def _members(own: DataFrame, num: int, den: int) -> DataFrame:
+    """Per document the keys it shares with another one: (id, n, s, sigs); documents without any are left out.
+
+    ``s`` bounds what the document can share where it meets another in a pair key: tokens only it has cannot be
+    shared, and a prefix with all rare tokens tells which those are.
+    """
+    keys = F.concat(F.transform("singles", lambda t: F.shiftleft(t, 1)), "pairs")
+    met = written(own.select(F.explode(keys).alias("sig")).groupBy("sig").agg(F.count("*").alias("c"))
+                  .where("c > 1").select("sig"), "ngram-met")
+    spread = lambda c: (c * np.uint64(_R)) >> np.uint64(64 - _SLOTS.bit_length() + 1)
+    slots = map_rows(met, lambda rows: ((int(spread(np.uint64(sig & _M))),) for sig, in rows), [("s", pa.int64())], 8192)
+    bits = own.sparkSession.sparkContext.broadcast(_bit_map(slots))
+
+    def thin(rows):
+        marked = bits.value
+        for doc_id, n, full, n_singles, sigs in rows:
+            own_keys = np.unique(np.array(sigs, np.int64))
+            s = spread(own_keys.view(np.uint64)).astype(np.int64)
+            kept = own_keys[(marked[s >> 6] >> (s & 63)) & 1 == 1]
+            if len(kept):
+                yield doc_id, n, full, n_singles, kept.tolist()
+
+    fields = [("id", pa.int64()), ("n", pa.int64()), ("full", pa.bool_()), ("n_singles", pa.int64()),
+              ("sigs", pa.list_(pa.int64()))]
+    thinned = map_rows(own.select("doc_id", "n", "full", F.size("singles").cast("bigint").alias("n_singles"),
+                                  keys.alias("sigs")), thin, fields)
+    found = thinned.select(F.explode("sigs").alias("sig"), "id", "n", "full", "n_singles").join(met, "sig")
+    # A document's keys come together again; they are as many as its prefix has.
+    each = found.groupBy("id", "n", "full", "n_singles").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
+    shared = F.size(F.filter("sigs", lambda t: t.bitwiseAND(1) == 0))
+    able = F.when(F.col("full"), F.col("n") - F.col("n_singles") + shared).otherwise(F.col("n"))
+    linkable = F.when(F.col("s") * den >= F.col("n") * num, F.col("sigs")).otherwise(
+        F.filter("sigs", lambda t: t.bitwiseAND(1) == 0))
+    return each.withColumn("s", able).select("id", "n", "s", linkable.alias("sigs")).where(F.size("sigs") > 0)
+
+
+def _may_link(n1: Column, s1: Column, n2: Column, s2: Column, sig: Column, num: int, den: int) -> Column:
     """Length bound, and for pair keys the bound on shareable tokens: shared >= num/(num+den) of both sizes."""
     return (F.least(n1, n2) * den >= F.greatest(n1, n2) * num) & (
-        ~combined | (F.least(s1, s2) * (num + den) >= (n1 + n2) * num))
+        (sig.bitwiseAND(1) == 0) | (F.least(s1, s2) * (num + den) >= (n1 + n2) * num))
 
 
 def similarity_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
@@ -222,43 +263,35 @@ def similarity_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int
                       .groupBy("key").agg(F.min("doc_id").alias("class_id")), "ngram-classes")
     leaders = classes.select(F.col("class_id").alias("doc_id")).distinct()
     own = written(stored.join(leaders, "doc_id", "left_semi"), "ngram-leaders")
-    keys = F.concat(F.transform("singles", lambda t: F.shiftleft(t, 1)), "pairs")
-    postings = own.select(F.explode(keys).alias("sig"), F.col("doc_id").alias("id"))
-    met = postings.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    about = own.select(F.col("doc_id").alias("id"), "n", "full", F.size("singles").alias("n_singles"))
-    shared = written(postings.join(met, "sig").join(about, "id").withColumn("combined", F.col("sig").bitwiseAND(1) == 1),
-                     "ngram-postings")
-
-    # Tokens only this document has can't be shared: where a prefix holds all rare tokens, they are known.
-    able = shared.groupBy("id").agg(F.max(F.when(F.col("full"), F.col("n_singles")).otherwise(0)).alias("own"),
-                                    F.sum(F.when(F.col("full") & ~F.col("combined"), 1).otherwise(0)).alias("met"))
-    members = shared.join(able, "id").select(
-        "sig", "combined", "id", "n", (F.col("n") - F.greatest(F.col("own") - F.col("met"), F.lit(0))).alias("s")).where(
-        ~F.col("combined") | (F.col("s") * den >= F.col("n") * num))
-    members = written(members.distinct(), "ngram-members")
+    members = written(_members(own, num, den), "ngram-members")
+    exploded = members.select(F.explode("sigs").alias("sig"), "id", "n", "s")
 
     size_class = F.floor(F.log("n") / F.log(F.lit(den / num)))
-    sized = members.withColumn("z", size_class)
+    sized = exploded.withColumn("z", size_class)
     pivots = sized.groupBy("sig", "z").agg(F.min(F.struct("id", "n", "s")).alias("p"))
     star = written(sized.join(pivots, ["sig", "z"]).where(
         (F.col("id") != F.col("p.id"))
-        & _may_link(F.col("n"), F.col("s"), F.col("p.n"), F.col("p.s"), F.col("combined"), num, den))
+        & _may_link(F.col("n"), F.col("s"), F.col("p.n"), F.col("p.s"), F.col("sig"), num, den))
         .select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct(), "ngram-star")
     links = written(_linked(written(_possible(star, own, num, den), "ngram-possible"), docs, width, num, den),
                     "ngram-links")
 
     joined = components(links)
-    placed = members.join(joined, "id", "left").select(
-        "sig", "combined", "id", "n", "s", F.coalesce("component", "id").alias("component"))
-    placed = written(placed, "ngram-placed")
-    open_buckets = placed.groupBy("sig").agg(
+    placed = written(members.join(joined, "id", "left").select(
+        "sigs", "id", "n", "s", F.coalesce("component", "id").alias("component")), "ngram-placed")
+    inside = placed.select(F.explode("sigs").alias("sig"), "id", "n", "s", "component",
+                           F.filter("sigs", lambda t: t.bitwiseAND(1) == 1).alias("keys"))
+    open_buckets = inside.groupBy("sig").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
-    rest = placed.join(open_buckets, "sig", "left_semi")
-    left = rest.select("sig", "combined", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "s", "component")))
-    right = rest.select("sig", "combined", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "s", "component")))
-    across = left.join(right.drop("combined"), "sig").where(
+    # A pair of near copies shares many pair keys: it counts in the smallest one only.
+    keys = F.when(F.col("sig").bitwiseAND(1) == 1, F.col("keys"))
+    rest = inside.withColumn("keys", keys).join(open_buckets, "sig", "left_semi")
+    left = rest.select("sig", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "s", "component", "keys")))
+    right = rest.select("sig", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "s", "component", "keys")))
+    first = F.col("keys1").isNull() | (F.array_min(F.array_intersect("keys1", "keys2")) == F.col("sig"))
+    across = left.join(right, "sig").where(
         (F.col("id1") < F.col("id2")) & (F.col("component1") != F.col("component2"))
-        & _may_link(F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"), F.col("combined"), num, den)).select(
+        & _may_link(F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"), F.col("sig"), num, den) & first).select(
         F.col("id1").alias("a"), F.col("id2").alias("b")).distinct()
     across = written(_possible(across.join(star, ["a", "b"], "left_anti"), own, num, den), "ngram-across")
     links = links.unionByName(_linked(across, docs, width, num, den))
