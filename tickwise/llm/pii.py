@@ -95,11 +95,15 @@ DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "fo
 _ODD = re.compile("[^\u0000-\u00ac\u00ae-\u02ff]")
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _WORD = "|".join(DIGIT_WORDS)
+# Endings that tell a spoken address ("john at example dot com") from prose.
+ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "ai", "dev", "uk", "us", "de", "fr", "es", "it", "nl",
+           "eu", "ch", "at", "be", "pl", "se", "ru", "in", "jp", "cn", "br", "ca", "au", "mx")
+_TAIL = rf"(?:[a-z0-9-]{{1,63}}\s{{1,3}}dot\s{{1,3}}){{0,3}}(?:{'|'.join(ENDINGS)})\b"
 _AT_DOT = re.compile(
     rf"(?P<at>\s{{0,3}}{_OPEN}\s{{0,3}}(?:at|@)\s{{0,3}}{_CLOSE}\s{{0,3}})"
     rf"|(?P<dot>\s{{0,3}}{_OPEN}\s{{0,3}}(?:dot|\.)\s{{0,3}}{_CLOSE}\s{{0,3}})"
-    r"|(?P<spoken>(?<=[a-z0-9])\s{1,3}at\s{1,3}(?=[a-z0-9-]{1,63}\s{1,3}dot\s{1,3}[a-z]))"
-    r"|(?P<point>(?<=[a-z0-9])\s{1,3}dot\s{1,3}(?=[a-z0-9]))",
+    rf"|(?P<spoken>(?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]{{1,63}}\s{{1,3}}dot\s{{1,3}}{_TAIL}))"
+    rf"|(?P<point>(?<=[a-z0-9])\s{{1,3}}dot\s{{1,3}}(?={_TAIL}))",
     re.IGNORECASE)
 _TRIGGERS = ("dot", "at)", "at]", "at}", "at>", "@)", "@]", "@}", "@>", "at )", "at ]", "@ )", "@ ]", ".]", ".)", ".}")
 _TWO_DIGITS = re.compile(rf"\b(?:{_WORD})[\s.-]{{1,3}}(?:{_WORD})\b")
