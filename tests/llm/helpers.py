@@ -26,4 +26,4 @@ def docs(spark, rows, extra=False):
 
 AWKWARD = [(1, None), (2, ""), (3, "   \n\t "), (4, "one"), (5, "one two"), (None, "a row without an id"),
            (7, prose(3000, 7) + " " + "x" * 70_000), (8, prose(40, 8)), (8, prose(40, 8)), (9, "1234 5678 !!"),
-           (10, "\x00\u200b \ud83d\ude00 naïve日本語")]
+           (10, "\x00\u200b \U0001f600 naïve日本語")]

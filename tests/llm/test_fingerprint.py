@@ -42,7 +42,7 @@ def test_likeness():
 
 @pytest.mark.parametrize("parts,ranges", [(1, 1), (4, 3), (6, 40)])
 def test_matches_brute_force(spark, parts, ranges):
-    rows = [r for r in AWKWARD if r[1] is None or "\ud83d" not in r[1]] + [(100 + i * 3, prose(i, i)) for i in range(60)]
+    rows = AWKWARD + [(100 + i * 3, prose(i, i)) for i in range(60)]
     rows += [(8, prose(41, 8)), (None, "another without id"), (-5, "first of all \U0001f600é")]
     got = op.compare_with_next(docs(spark, rows, extra=True).repartition(parts), ranges).collect()
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, r[1] is not None, (r[1] or "").encode()))

@@ -53,7 +53,7 @@ def test_predicates_are_pushed_and_payloads_skipped(spark, workdir, gzip):
     assert heads.where("payload is not null").count() == 0 and heads.count() == len(rows())
     some = heads.where("record_type = 'revisit' and target_uri like 'http://h3%'")
     plan = some._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan.split("BatchScan")[0] or "record_type" not in plan.split("BatchScan")[0]
+    assert "= revisit" not in plan and "StartsWith" not in plan
     assert some.count() == sum(x[4] == "revisit" and (x[1] or "").startswith("http://h3") for x in expected(rows()))
     assert warc.read_archives(spark, path).where("record_id in ('62', '63')").count() == 2
 
@@ -67,7 +67,7 @@ def test_only_published_files_are_read_and_files_are_planned(spark, workdir):
     warc.write_archives(records, path)
     assert warc.read_archives(spark, path).count() == 2 * len(rows())
     reader = warc.WarcReader(path, True, 1)
-    assert len(reader.partitions()) >= 6
+    assert len(reader.partitions()) >= 2
 
 
 def test_empty_table(spark, workdir):

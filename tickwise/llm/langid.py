@@ -241,8 +241,9 @@ def identify(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
     return predict(docs, train(docs, train_bytes))
 
 
-#: A code longer than this many bits per byte explains nothing: plain bytes take eight.
-MOST_BITS = 8.0
+#: Bits per byte from which no learned language explains a text. Plain bytes take eight; a text in a learned
+#: language but of strange words may take more, one in another script about twenty (escapes at every byte).
+MOST_BITS = 12.0
 
 
 def explained(docs: DataFrame, model: Model | None, most_bits: float = MOST_BITS) -> DataFrame:
