@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from tickwise.llm.common import _M, _R, longs, map_rows, mix, shingle_set, written
 from tickwise.llm.graph import components
 
-#: Most tokens that are called frequent, a bound of what is sent to the tasks (12 bytes each).
-HEAVY_TOKENS = 1 << 17
-HEAVY_LEAST = 6
+#: Most tokens that are called frequent, a bound of what is sent to the tasks (16 bytes each).
+HEAVY_TOKENS = 1 << 20
+HEAVY_LEAST = 4
+#: Pair keys of a document that tell in which bucket a pair of near copies is counted.
+_TOLD_KEYS = 16
 _COUNT_EVERY = 4_000_000
 #: Bits of the fixed-size filters that thin rows out before a shuffle; what passes by chance drops out in the join.
 _SLOTS = 1 << 24
@@ -279,16 +281,18 @@ def similarity_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int
     joined = components(links)
     placed = written(members.join(joined, "id", "left").select(
         "sigs", "id", "n", "s", F.coalesce("component", "id").alias("component")), "ngram-placed")
-    inside = placed.select(F.explode("sigs").alias("sig"), "id", "n", "s", "component",
-                           F.filter("sigs", lambda t: t.bitwiseAND(1) == 1).alias("keys"))
+    inside = placed.select(
+        F.explode("sigs").alias("sig"), "id", "n", "s", "component",
+        F.slice(F.filter("sigs", lambda t: t.bitwiseAND(1) == 1), 1, _TOLD_KEYS).alias("told")).select(
+        "sig", "id", "n", "s", "component", F.when(F.col("sig").bitwiseAND(1) == 1, F.col("told")).alias("told"))
     open_buckets = inside.groupBy("sig").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
-    # A pair of near copies shares many pair keys: it counts in the smallest one only.
-    keys = F.when(F.col("sig").bitwiseAND(1) == 1, F.col("keys"))
-    rest = inside.withColumn("keys", keys).join(open_buckets, "sig", "left_semi")
-    left = rest.select("sig", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "s", "component", "keys")))
-    right = rest.select("sig", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "s", "component", "keys")))
-    first = F.col("keys1").isNull() | (F.array_min(F.array_intersect("keys1", "keys2")) == F.col("sig"))
+    rest = inside.join(open_buckets, "sig", "left_semi")
+    left = rest.select("sig", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "s", "component", "told")))
+    right = rest.select("sig", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "s", "component", "told")))
+    # Near copies share many pair keys: a pair whose smallest keys have one in common counts in that one only.
+    common = F.array_min(F.array_intersect("told1", "told2"))
+    first = common.isNull() | (common == F.col("sig"))
     across = left.join(right, "sig").where(
         (F.col("id1") < F.col("id2")) & (F.col("component1") != F.col("component2"))
         & _may_link(F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"), F.col("sig"), num, den) & first).select(
