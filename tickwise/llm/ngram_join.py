@@ -32,8 +32,8 @@ from tickwise.llm.common import _M, _R, longs, map_rows, mix, shingle_set, writt
 from tickwise.llm.graph import components
 
 #: Most tokens that are called frequent, a bound of what is sent to the tasks (16 bytes each).
-HEAVY_TOKENS = 1 << 20
-HEAVY_LEAST = 4
+HEAVY_TOKENS = 1 << 17
+HEAVY_LEAST = 6
 #: Pair keys of a document that tell in which bucket a pair of near copies is counted.
 _TOLD_KEYS = 16
 _COUNT_EVERY = 4_000_000
