@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.llm.common import written
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -87,7 +89,8 @@ def reputations(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     """Posterior per host. outcomes: (host, good 0/1); hosts: distinct (host, domain, suffix) to be judged."""
     counts = outcomes.groupBy("host").agg(F.count("good").cast("double").alias("n"),
                                           F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"))
-    base = hosts.join(counts, "host", "left").fillna(0.0, ["n", "k"])
+    # One row per host, written once: every level reads it and not the pages.
+    base = written(hosts.join(counts, "host", "left").fillna(0.0, ["n", "k"]), "hosts")
     total = base.agg(((F.coalesce(F.sum("k"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)).alias("top"))
     by_suffix = base.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).join(F.broadcast(total))
     suffix = _level(by_suffix, "suffix", "top").select("suffix", F.col("mean").alias("suffix_mean"))
