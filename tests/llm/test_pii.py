@@ -69,6 +69,20 @@ def test_clean_texts_gain_nothing(text):
     assert op.added_spans(text, op.base_spans(text)) == []
 
 
+@pytest.mark.parametrize("kind,found,plain", [
+    ("email", "j\u043ehn@example.com", "hn@example.com"), ("email", "john@example.c\u043em", "john@example.c"),
+    ("email", "jo\u200bhn@example.com", "hn@example.com"), ("email", "john[dot]smith@example.com", "smith@example.com"),
+    ("email", "john@mail.example[dot]com", "john@mail.example"), ("phone", "+1 555 123 45\u0666\u0667", "+1 555 123 45"),
+    ("ip", "10.0.0.2\u0665\u0665", "10.0.0.2"), ("ip", "1\u200b92.168.1.10", "92.168.1.10"),
+])
+def test_partly_disguised_spans_are_whole(kind, found, plain):
+    text = f"see {found} now"
+    base = op.base_spans(text)
+    assert (kind, plain) in [(k, text[s:e]) for k, s, e in base]
+    assert [(k, text[s:e]) for k, s, e in op.added_spans(text, base)] == [(kind, found)]
+    assert op.masked_text(text) == f"see [{kind.upper()}] now"
+
+
 def test_normalised_offsets_point_at_their_source():
     r = random.Random(8)
     for _ in range(2000):

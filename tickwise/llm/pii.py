@@ -3,7 +3,8 @@
 A transducer rewrites a text's disguises (look-alike letters, full-width and foreign digits, invisible
 characters, spelled digits, ``at``/``dot`` in words or brackets) and keeps an edit list of (normalised range,
 source range). Identifiers found in the normalised text are mapped back through that list to code points of
-the source. Spans of the plain detectors always stay; a mapped span is added if it touches no span of its kind.
+the source. Spans of the plain detectors always stay; a mapped span is added beside them unless it lies inside
+one of its kind: one that only holds or overlaps a plain span is the whole identifier or its rest.
 
 Cases: null and empty texts have no spans; detectors are linear in the text, however long; repeated rows and
 null ids are kept row by row; an empty table gives an empty result.
@@ -181,7 +182,7 @@ def _disguises(text: str) -> list[tuple[int, int, str]]:
 
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
-    """Spans seen only after normalisation, in source code points; none that touches a base span of its kind."""
+    """Spans seen only after normalisation, in source code points; none that lies inside a base span of its kind."""
     first = _characters(text)
     one = Normalised(text, first) if first else None
     plain = one.text if one else text
@@ -197,8 +198,8 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
             start, end = two.start(start), two.end(end)
         if one:
             start, end = one.start(start), one.end(end)
-        k = bisect_right(starts[kind], end - 1)
-        if not (k and taken[kind][k - 1][1] > start):
+        k = bisect_right(starts[kind], start)
+        if not (k and taken[kind][k - 1][1] >= end):
             added.append((kind, start, end))
     return added
 
@@ -227,7 +228,7 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def masked_text(text: str | None) -> str | None:
-    """The text with every span replaced by its kind's mark; overlapping spans merge under the first kind."""
+    """The text with every span replaced by its kind's mark; the union of overlapping spans has the first one's."""
     if not text:
         return text
     base = base_spans(text)
