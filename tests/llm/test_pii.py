@@ -83,6 +83,30 @@ def test_partly_disguised_spans_are_whole(kind, found, plain):
     assert op.masked_text(text) == f"see [{kind.upper()}] now"
 
 
+@pytest.mark.parametrize("kind,found", [
+    ("email", "john { at } example.com"), ("email", "john < at > example.com"), ("email", "x [at ] host.com"),
+    ("email", "x@example[ . ]com"), ("email", "x@example<.>com"),
+    *(("email", f"john at example dot {e}") for e in ("biz", "dk", "kr", "tr", "no", "me", "nz", "za", "museum")),
+    ("email", "john at mail dot example dot dk"), ("email", "john at example [dot] com"),
+    ("email", "john [at] example dot dk"), ("email", "JOHN AT EXAMPLE DOT DK"), ("email", "john@example dot dk"),
+    ("ip", "192 dot 168 dot 1 dot 10"), ("ip", "one nine two.one six eight.one.one zero"), ("ip", "one.two.three.four"),
+    ("ip", "one nine two dot one six eight dot one dot one zero"), ("ip", "192.168.one.one zero"),
+    ("phone", "+1 555 one two three 4567"), ("phone", "plus 1 555 one two three 4567"),
+    ("card", "4111 1111 one one one one 1111"), ("card", "four one one one one one one one 1111 1111"),
+    ("card", "four.one.one.one.one.one.one.one.one.one.one.one.one.one.one.one"),
+])
+def test_no_disguise_needs_another_one(kind, found):
+    text = f"{found}; now"
+    assert (kind, found) in [(k, text[s:e]) for k, s, e in op.added_spans(text, op.base_spans(text))]
+    assert op.masked_text(text).endswith("]; now")
+
+
+def test_spelled_digits_do_not_widen_addresses():
+    for text in ("I sent one two@example.com", "plus one two@example.com", "call one john@example.com",
+                 "one \u017fix \u017feven"):
+        assert op.added_spans(text, op.base_spans(text)) == []
+
+
 def test_normalised_offsets_point_at_their_source():
     r = random.Random(8)
     for _ in range(2000):

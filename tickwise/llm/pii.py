@@ -96,20 +96,35 @@ DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "fo
 _ODD = re.compile("[^\u0000-\u00ac\u00ae-\u02ff]")
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _WORD = "|".join(DIGIT_WORDS)
-# Endings that tell a spoken address ("john at example dot com") from prose.
+# Endings that tell a spoken point ("example dot com") from prose where no "at" does.
 ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "ai", "dev", "uk", "us", "de", "fr", "es", "it", "nl",
            "eu", "ch", "at", "be", "pl", "se", "ru", "in", "jp", "cn", "br", "ca", "au", "mx")
-_TAIL = rf"(?:[a-z0-9-]{{1,63}}\s{{1,3}}dot\s{{1,3}}){{0,3}}(?:{'|'.join(ENDINGS)})\b"
+_LABEL = r"[a-z0-9-]{1,63}"
+_POINT = rf"(?:\s{{1,3}}dot\s{{1,3}}|\s{{0,3}}{_OPEN}\s{{0,3}}(?:dot|\.)\s{{0,3}}{_CLOSE}\s{{0,3}})"
+_TAIL = rf"(?:{_LABEL}{_POINT}){{0,3}}(?:{'|'.join(ENDINGS)})\b"
+_BRACKET_AT = rf"\s{{0,3}}{_OPEN}\s{{0,3}}(?:at|@)\s{{0,3}}{_CLOSE}\s{{0,3}}"
+# An address with a disguised dot may have any ending ("john at example dot dk"). Before a noun ("at the dot of
+# noon") "dot" is no separator; there a listed ending is needed.
+_ADDRESS = (rf"(?:@|{_BRACKET_AT}|(?<=[a-z0-9._%+-])\s{{1,3}}at\s{{1,3}})(?!(?:the|an?|this|that|each|every)\b)"
+            rf"{_LABEL}(?:(?:{_POINT}|\.){_LABEL}){{0,8}}{_POINT}[a-z]{{2,63}}(?![a-z0-9-])")
 _AT_DOT = re.compile(
-    rf"(?P<at>\s{{0,3}}{_OPEN}\s{{0,3}}(?:at|@)\s{{0,3}}{_CLOSE}\s{{0,3}})"
+    rf"(?P<address>{_ADDRESS})|(?P<at>{_BRACKET_AT})"
     rf"|(?P<dot>\s{{0,3}}{_OPEN}\s{{0,3}}(?:dot|\.)\s{{0,3}}{_CLOSE}\s{{0,3}})"
-    rf"|(?P<spoken>(?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]{{1,63}}\s{{1,3}}dot\s{{1,3}}{_TAIL}))"
+    rf"|(?P<spoken>(?<=[a-z0-9._%+-])\s{{1,3}}at\s{{1,3}}(?={_LABEL}{_POINT}{_TAIL}))"
     rf"|(?P<point>(?<=[a-z0-9])\s{{1,3}}dot\s{{1,3}}(?={_TAIL}))",
     re.IGNORECASE)
-_TRIGGERS = ("dot", "at)", "at]", "at}", "at>", "@)", "@]", "@}", "@>", "at )", "at ]", "@ )", "@ ]", ".]", ".)", ".}")
-_TWO_DIGITS = re.compile(rf"\b(?:{_WORD})[\s.-]{{1,3}}(?:{_WORD})\b")
-_DIGITS = re.compile(rf"\b(?:plus[\s-]{{0,3}})?(?:(?:{_WORD})\b[\s.-]{{0,3}}){{6,}}(?:{_WORD})\b", re.IGNORECASE)
-_DIGIT_WORD = re.compile(rf"plus|{_WORD}", re.IGNORECASE)
+_ADDRESS_AT = re.compile(rf"{_BRACKET_AT}|\s{{1,3}}at\s{{1,3}}|@", re.IGNORECASE)
+_ADDRESS_DOT = re.compile(_POINT, re.IGNORECASE)
+# Each match of _AT_DOT holds "dot", or a bracket with "at", "@" or "." behind it.
+_BRACKETED = re.compile(rf"{_OPEN}\s{{0,3}}(?:at|@|\.)", re.IGNORECASE)
+_DIGIT_WORD = re.compile(rf"\b(?:{_WORD})\b", re.IGNORECASE)
+_GAP = re.compile(r"[\s.-]{0,3}")
+_DIGIT_POINT, _POINT_DIGIT = re.compile(r"[0-9]\."), re.compile(r"\.[0-9]")
+_SPOKEN_DOT = re.compile(r"\s{1,3}dot\s{1,3}", re.IGNORECASE)
+#: Plus, before as many digits as a phone number has at least.
+_PLUS = re.compile(rf"\bplus[\s-]{{0,3}}(?=(?:(?:{_WORD}|[0-9])[\s().-]{{0,3}}){{9}})", re.IGNORECASE)
+#: From so many digit words on, a run is one number whatever stands between them.
+_LONG_RUN = 7
 
 
 def _plain(c: str) -> str:
@@ -166,42 +181,94 @@ def _characters(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-def _disguises(text: str) -> list[tuple[int, int, str]]:
-    low = text.lower()
+def _at_dot(text: str) -> list[tuple[int, int, str]]:
     edits = []
-    if any(w in low for w in _TRIGGERS):
-        for m in _AT_DOT.finditer(text):
+    for m in _AT_DOT.finditer(text):
+        if not m["address"]:
             edits.append((m.start(), m.end(), "@" if m["at"] or m["spoken"] else "."))
-    # Seven digit words are needed; counting them is far cheaper than matching.
-    if sum(low.count(w) for w in DIGIT_WORDS) >= 7 and _TWO_DIGITS.search(low):
-        for m in _DIGITS.finditer(text):
-            edits.append((m.start(), m.end(), "".join("+" if w[0].lower() == "plus" else DIGIT_WORDS[w[0].lower()]
-                                                      for w in _DIGIT_WORD.finditer(m[0]))))
-    edits.sort()
+            continue
+        at = _ADDRESS_AT.match(text, m.start(), m.end())
+        if at[0] != "@":
+            edits.append((at.start(), at.end(), "@"))
+        edits += [(d.start(), d.end(), ".") for d in _ADDRESS_DOT.finditer(text, at.end(), m.end())]
     return edits
 
 
+def _spelled(text: str, low: str, points: bool) -> list[tuple[int, int, str]]:
+    """Edits of digit words and of what stands between them; ``points``: a '.' inside a long run stays."""
+    words = [m.span() for m in _DIGIT_WORD.finditer(text) if m[0].lower() in DIGIT_WORDS] \
+        if any(w in low for w in DIGIT_WORDS) else []
+    starts, ends = {s for s, _ in words}, {e for _, e in words}
+    edits = [(s, e, DIGIT_WORDS[text[s:e].lower()]) for s, e in words]
+    dots = []
+    if "dot" in low:
+        for m in _SPOKEN_DOT.finditer(text):
+            if (m.start() in ends or "0" <= text[m.start() - 1:m.start()] <= "9") and (
+                    m.end() in starts or "0" <= text[m.end():m.end() + 1] <= "9"):
+                dots.append((m.start(), m.end(), "."))
+    if words and "plus" in low:
+        edits += [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
+    edges = {x for s, e, _ in dots for x in (s, e)}
+    run: list[tuple[int, int]] = []
+
+    def close():
+        gaps = [(a, b) for (_, a), (b, _) in zip(run, run[1:])]
+        start, end = run[0][0], run[-1][1]
+        dotted = (start in edges or end in edges or any(text[a:b] == "." for a, b in gaps)
+                  or _DIGIT_POINT.match(text, max(0, start - 2), start) or _POINT_DIGIT.match(text, end))
+        if len(run) < _LONG_RUN and not dotted:
+            return
+        for a, b in gaps:
+            if text[a:b] != "." or len(run) >= _LONG_RUN and not points:
+                edits.append((a, b, ""))
+
+    for s, e in words:
+        if run and not _GAP.fullmatch(text, run[-1][1], s):
+            close()
+            run = []
+        run.append((s, e))
+    if run:
+        close()
+    return edits + dots
+
+
+def _disguises(text: str) -> list[list[tuple[int, int, str]]]:
+    """Edit lists of the disguises, each in order and apart; a second one where points may part spelled digits."""
+    low = text.lower()
+    fixed = _at_dot(text) if "dot" in low or _BRACKETED.search(text) else []
+    found = []
+    for points in (False, True):
+        edits, done = [], 0
+        for start, end, put in sorted(fixed + _spelled(text, low, points)):
+            if start >= done and end > start:
+                edits.append((start, end, put))
+                done = end
+        if edits not in found:
+            found.append(edits)
+    return found
+
+
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans seen only after normalisation, in source code points; none that lies inside a base span of its kind."""
     first = _characters(text)
     one = Normalised(text, first) if first else None
     plain = one.text if one else text
-    second = _disguises(plain)
-    two = Normalised(plain, second) if second else None
-    if not (one or two):
-        return []
     taken = {k: [(s, e) for kind, s, e in base if kind == k] for k in KINDS}
     starts = {k: [s for s, _ in taken[k]] for k in KINDS}
     added = []
-    for kind, start, end in base_spans(two.text if two else plain):
-        if two:
-            start, end = two.start(start), two.end(end)
-        if one:
-            start, end = one.start(start), one.end(end)
-        k = bisect_right(starts[kind], start)
-        if not (k and taken[kind][k - 1][1] >= end):
-            added.append((kind, start, end))
-    return added
+    for second in _disguises(plain):
+        two = Normalised(plain, second) if second else None
+        if not (one or two):
+            continue
+        for kind, start, end in base_spans(two.text if two else plain):
+            if two:
+                start, end = two.start(start), two.end(end)
+            if one:
+                start, end = one.start(start), one.end(end)
+            k = bisect_right(starts[kind], start)
+            if not (k and taken[kind][k - 1][1] >= end):
+                added.append((kind, start, end))
+    return list(dict.fromkeys(added))
 
 
 def _key(span: Span) -> tuple[int, int, int]:
