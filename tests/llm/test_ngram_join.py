@@ -77,6 +77,30 @@ def test_matches_brute_force(spark, monkeypatch, seed, width, num, den, heavy):
     assert all(x.n_shingles == len(shingles(texts[x.doc_id], width)) for x in got)
 
 
+@pytest.mark.parametrize("seed,width,num,den,slice_size", [(1, 3, 90, 100, 256), (2, 5, 80, 100, 3)])
+def test_join_has_every_link(spark, monkeypatch, seed, width, num, den, slice_size):
+    monkeypatch.setattr(op, "HEAVY_LEAST", 3)
+    monkeypatch.setattr(op, "_SLICE", slice_size)
+    rows = corpus(seed) + [(0, "a second text under the id"), (5000, "a second text under the id"), (5001, ""),
+                           (None, "a second text under the id"), (1, corpus(seed)[0][1]), (1, corpus(seed)[1][1])]
+    got = op.similarity_join(docs(spark, rows).repartition(3), width, num, den, heavy_tokens=200).collect()
+    truth = brute(rows, width, num, den)
+    sets = {(d, shingles(t, width)) for d, t in rows if d is not None}
+
+    def linked(x, y):
+        return bool(x) and bool(y) and den * len(x & y) >= num * len(x | y)
+
+    want = [(d, truth[d], sum(e != d and linked(shingles(t, width), y) for e, y in sets)) if d is not None
+            else (None, None, None) for d, t in rows]
+    assert sorted(((x.doc_id, x.component_id, x.n_links) for x in got), key=str) == sorted(want, key=str)
+    links, rows_of = op.similarity_links(docs(spark, rows), width, num, den)
+    vertex = {(x.doc_id, x.n_shingles, x.class_id): x.vertex for x in rows_of.collect() if x.vertex is not None}
+    classes = {y for _, y in sets if y}
+    assert len(set(vertex.values())) == len(classes)
+    found = [(x.a, x.b) for x in links.collect()]
+    assert len(found) == len(set(found)) == sum(linked(x, y) for x in classes for y in classes if x != y) // 2
+
+
 def test_awkward_rows(spark):
     rows = AWKWARD + [(20, "ONE two"), (21, "one  two\n"), (8, "another text under a used id"), (30, prose(40, 8)),
                       (31, "another text under a used id")]

@@ -7,7 +7,8 @@ hold only a few tokens the other lacks, so its prefix is extended until the othe
 either a rare token or a pair of frequent tokens of one class: single rare tokens and pairs of frequent ones
 are the index keys. Order and classes steer the cost only; every choice gives the same links.
 
-Candidates meet in three steps. First each bucket's members are verified against one pivot (a star, not all
+``similarity_join`` pairs all members of every bucket, big buckets in salted slices, and so has every link between
+two classes. ``similarity_classes`` gives the components only, for which candidates meet in three steps. First each bucket's members are verified against one pivot (a star, not all
 pairs) and the links contracted to components. Only buckets whose members still lie in different components
 are then paired, and only across components, under length and shareable-token bounds. Every candidate pair is
 first bounded by what the two prefixes, a small part of the sets, show to be shared or not; what can still
@@ -36,11 +37,17 @@ HEAVY_TOKENS = 1 << 17
 HEAVY_LEAST = 6
 #: Pair keys of a document that tell in which bucket a pair of near copies is counted.
 _TOLD_KEYS = 16
+#: Members of a bucket that one task pairs with a slice of the bucket.
+_SLICE = 256
 _COUNT_EVERY = 4_000_000
 #: Bits of the fixed-size filters that thin rows out before a shuffle; what passes by chance drops out in the join.
 _SLOTS = 1 << 24
 
 
+def _set_key(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
 def _sets_table(docs: DataFrame, width: int) -> DataFrame:
     """Rows of two kinds, written once: per document (doc_id, n, key of its set); per task, tokens met often.
 
@@ -59,7 +66,7 @@ def _sets_table(docs: DataFrame, width: int) -> DataFrame:
 
         for doc_id, text in rows:
             tokens = shingle_set(text, width)
-            key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+            key = _set_key(tokens) if len(tokens) else None
             yield 0, doc_id, len(tokens), key, None, None
             if key is None or key in seen:
                 continue
@@ -150,10 +157,10 @@ def _signature_table(docs: DataFrame, width: int, num: int, den: int, heavy, ran
             tokens = shingle_set(text, width)
             singles, pairs, full = signatures(tokens, known, order, num, den)
             if len(singles) or len(pairs):
-                yield doc_id, len(tokens), full, longs(singles), longs(pairs)
+                yield doc_id, _set_key(tokens), len(tokens), full, longs(singles), longs(pairs)
 
-    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("full", pa.bool_()), ("singles", pa.list_(pa.int64())),
-              ("pairs", pa.list_(pa.int64()))]
+    fields = [("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("full", pa.bool_()),
+              ("singles", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64()))]
     return written(map_rows(docs.select("doc_id", "text"), run, fields), "ngram-signatures")
 
 
@@ -188,25 +195,36 @@ def _bit_map(slots: DataFrame) -> np.ndarray:
     return words
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole sets link. Sets are made only for documents that occur in a pair."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+def _marked_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(id, key, tokens) of the documents whose id occurs in ``ids``, and of a few that a shared slot lets through."""
     bits = docs.sparkSession.sparkContext.broadcast(_bit_map(ids.select(_slot("id").alias("s"))))
 
     def run(rows):
         marked = bits.value
         for doc_id, s, text in rows:
             if (int(marked[s >> 6]) >> (s & 63)) & 1:
-                yield doc_id, longs(shingle_set(text, width))
+                tokens = shingle_set(text, width)
+                yield doc_id, _set_key(tokens), longs(tokens)
+
+    return written(map_rows(docs.where(F.col("doc_id").isNotNull()).select("doc_id", _slot("doc_id").alias("s"), "text"),
+                            run, [("id", pa.int64()), ("key", pa.binary()), ("tokens", pa.list_(pa.int64()))], 128),
+                   "ngram-verify")
+
+
+def _verified(both: DataFrame, num: int, den: int) -> DataFrame:
+    """The (a, b) whose whole sets ta, tb link."""
+    return both.select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("i"),
+                       (F.size("ta") + F.size("tb")).alias("t")).where(
+        F.col("i") * (den + num) >= F.col("t") * num).select("a", "b").distinct()
 
-    sets = written(map_rows(docs.where(F.col("doc_id").isNotNull()).select("doc_id", _slot("doc_id").alias("s"), "text"),
-                            run, [("id", pa.int64()), ("tokens", pa.list_(pa.int64()))], 128), "ngram-verify")
+
+def _linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose whole sets link. Sets are made only for documents that occur in a pair."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    sets = _marked_sets(ids, docs, width)
     first = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
-    shared = F.size(F.array_intersect("ta", "tb"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").select(
-        "a", "b", shared.alias("i"), (F.size("ta") + F.size("tb")).alias("t")).where(
-        F.col("i") * (den + num) >= F.col("t") * num).select("a", "b").distinct()
+    return _verified(pairs.select("a", "b").join(first, "a").join(second, "b"), num, den)
 
 
 def _members(own: DataFrame, num: int, den: int) -> DataFrame:
@@ -312,6 +330,99 @@ def similarity_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int
         F.coalesce("component", "vertex").alias("component_id"))
 
 
+def _bucket_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b), a < b, of the members that share a key; none is left out.
+
+    Big buckets are salted: each member lies in one slice and meets every slice, so no task holds all its pairs.
+    """
+    told = F.slice(F.filter("sigs", lambda t: t.bitwiseAND(1) == 1), 1, _TOLD_KEYS)
+    each = members.select(F.explode("sigs").alias("sig"), "id", "n", "s", told.alias("told")).withColumn(
+        "told", F.when(F.col("sig").bitwiseAND(1) == 1, F.col("told")))
+    slices = F.ceil(F.col("c") / _SLICE).cast("int")
+    sizes = each.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig", slices.alias("slices"))
+    each = each.join(sizes, "sig")
+    left = each.select("sig", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"),
+                       *(F.col(c).alias(f"{c}1") for c in ("id", "n", "s", "told")))
+    right = each.select("sig", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
+                        *(F.col(c).alias(f"{c}2") for c in ("id", "n", "s", "told")))
+    # Near copies share many pair keys: a pair whose smallest keys have one in common counts in that one only.
+    common = F.array_min(F.array_intersect("told1", "told2"))
+    first = common.isNull() | (common == F.col("sig"))
+    return left.join(right, ["sig", "slice"]).where(
+        (F.col("id1") < F.col("id2"))
+        & _may_link(F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"), F.col("sig"), num, den) & first).select(
+        F.col("id1").alias("a"), F.col("id2").alias("b")).distinct()
+
+
+def similarity_links(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
+                     heavy_tokens: int = HEAVY_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """The whole join: (links, membership).
+
+    links: (a, b), a < b, every two classes of equal sets that link, each once. membership: doc_id, n_shingles,
+    class_id and vertex (the class as links name it) per row of ``docs``; a vertex is the class_id, or a hash of
+    the set where texts under one id are the smallest of several classes. Null id or no shingle: vertex null.
+    """
+    table = _sets_table(docs, width)
+    each = table.where("kind = 0").select("doc_id", "n", "key")
+    heavy, rank = _heavy(table, heavy_tokens)
+    stored = _signature_table(docs, width, num, den, heavy, rank)
+    classes = written(each.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
+                      .groupBy("key").agg(F.min("doc_id").alias("class_id")), "ngram-classes")
+    shared = classes.groupBy("class_id").agg(F.count("*").alias("c")).where("c > 1").select("class_id", F.lit(True).alias("several"))
+    classes = written(classes.join(shared, "class_id", "left").select(
+        "key", "class_id", F.when(F.col("several"), F.xxhash64("key")).otherwise(F.col("class_id")).alias("vertex")),
+        "ngram-classes")
+    own = written(stored.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "key"]).select(
+        F.col("vertex").alias("doc_id"), "n", "full", "singles", "pairs"), "ngram-leaders")
+    members = written(_members(own, num, den), "ngram-members")
+    pairs = written(_possible(_bucket_pairs(members, num, den), own, num, den), "ngram-pairs")
+
+    ends = pairs.select(F.col("a").alias("vertex")).unionByName(pairs.select(F.col("b").alias("vertex"))).distinct()
+    ends = written(ends.join(classes, "vertex"), "ngram-ends")
+    sets = _marked_sets(ends.select(F.col("class_id").alias("id")), docs, width).join(
+        ends.withColumnRenamed("class_id", "id"), ["id", "key"]).select("vertex", "tokens")
+    sets = written(sets, "ngram-whole")
+    links = written(_verified(
+        pairs.join(sets.select(F.col("vertex").alias("a"), F.col("tokens").alias("ta")), "a").join(
+            sets.select(F.col("vertex").alias("b"), F.col("tokens").alias("tb")), "b"), num, den), "ngram-links")
+    membership = each.join(classes, "key", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), F.col("vertex")).alias("vertex"))
+    return links, written(membership, "ngram-membership")
+
+
+def similarity_join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
+                    heavy_tokens: int = HEAVY_TOKENS) -> DataFrame:
+    """doc_id, n_shingles, class_id, component_id, n_links per row of ``docs``.
+
+    ``n_links``: texts of other documents that link with the row's, equal sets included; a document counts once per
+    different set it has. Null for a null id.
+    """
+    links, rows = similarity_links(docs, width, num, den, heavy_tokens)
+    held = rows.where(F.col("vertex").isNotNull())
+    sizes = held.groupBy("vertex").agg(F.countDistinct("doc_id").alias("size"), F.min("class_id").alias("first_id"))
+    # Documents with several different texts: one vertex for the components, no link of their own.
+    several = written(held.join(held.groupBy("doc_id").agg(F.countDistinct("vertex").alias("k"), F.min("vertex").alias("b"))
+                                .where("k > 1"), "doc_id").select("doc_id", F.col("vertex").alias("a"), "b").distinct(),
+                      "ngram-several")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sizes, both["b"] == sizes["vertex"]).groupBy("a").agg(F.sum("size").alias("others"))
+    itself = both.join(several.select("doc_id", "a"), "a").join(
+        several.select("doc_id", F.col("a").alias("b")), ["doc_id", "b"]).groupBy("doc_id", "a").agg(
+        F.count("*").alias("itself")).withColumnRenamed("a", "vertex")
+    grouped = components(links.unionByName(several.select("a", "b").where("a <> b")))
+    placed = grouped.join(sizes, grouped["id"] == sizes["vertex"])
+    least = placed.groupBy("component").agg(F.min("first_id").alias("least"))
+    known = sizes.join(others, sizes["vertex"] == others["a"], "left").join(
+        grouped.join(least, "component").select("id", "least"), F.col("vertex") == F.col("id"), "left").select(
+        "vertex", F.coalesce("least", "first_id").alias("component_id"),
+        (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    return rows.join(known, "vertex", "left").join(itself, ["doc_id", "vertex"], "left").select(
+        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0)) - F.coalesce("itself", F.lit(0))).alias("n_links"))
+
+
 def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One document of each group of linked ones, that with the smallest id; columns as they are.
 

@@ -35,8 +35,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similarity_classes(documents(spark, sf_dir), width=3, num=90, den=100).select(
-        "doc_id", "n_shingles", "component_id")
+    return ngram_join.similarity_join(documents(spark, sf_dir), width=3, num=90, den=100).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
