@@ -31,6 +31,16 @@ def test_word_memory_gives_the_tokenizers_ids(monkeypatch):
             assert np.frombuffer(encode(t), "<u2").tolist() == reference(t), t
 
 
+def test_added_tokens_have_their_ids():
+    from tokenizers import Tokenizer
+
+    untouched = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = op.byte_bpe()()
+    assert np.frombuffer(encode("a <|endoftext|> b"), "<u2").tolist() == [64, 220, 50256, 275]
+    for t in [*TEXTS, "<|endoftext|>", "x<|endoftext|>y  z", "тест <|endoftext|>\n\n", "<|endoftext|><|endoftext|> <|end"]:
+        assert np.frombuffer(encode(t), "<u2").tolist() == untouched.encode(t, add_special_tokens=False).ids, t
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_round_trip(spark, parts):
     rows = [r for r in AWKWARD] + [(100 + i, t) for i, t in enumerate(TEXTS)] + [(300, prose(6000, 3))]

@@ -85,7 +85,8 @@ def byte_bpe(path: str | None = None) -> Callable[[], Callable[[str], bytes]]:
 
     ``path``: the tokenizer file; by default the public 50k byte-level vocabulary, whose ids fit 16 bits. A
     word's ids depend on the word and the single space before it alone, so each distinct word is tokenized
-    once and then looked up. Texts in which white space meets white space are tokenized whole.
+    once and then looked up. Texts in which white space meets white space are tokenized whole, and so are those
+    that hold the content of one of the file's added tokens.
     """
 
     def build():
@@ -94,7 +95,8 @@ def byte_bpe(path: str | None = None) -> Callable[[], Callable[[str], bytes]]:
         if path is None:
             import public_tokenizers
         bpe = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-        bpe.encode_special_tokens = True
+        # An added token is one id wherever its content stands, so texts that hold one go to the tokenizer whole.
+        added = [t.content for t in bpe.get_added_tokens_decoder().values()]
         parts = _Parts(bpe)
         words = _Words(bpe, parts)
 
@@ -104,6 +106,8 @@ def byte_bpe(path: str | None = None) -> Callable[[], Callable[[str], bytes]]:
             return b"".join(map(parts.__getitem__, _SPLIT.findall(text)))
 
         def run(text: str) -> bytes:
+            if any(content in text for content in added):
+                return array("H", bpe.encode(text, add_special_tokens=False).ids).tobytes()
             if _GAPS.search(text):
                 return whole(text)
             first, *rest = text.split(" ")
