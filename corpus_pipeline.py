@@ -17,7 +17,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents no learned language explains: null and letterless texts, texts in an unknown script."""
+    """Drops documents no learned language explains: null and letterless texts, texts in an unknown
+    language or script."""
     return langid.explained(docs, langid.train(docs))
 
 

@@ -103,6 +103,25 @@ def test_awkward_rows(spark):
     assert {1, 2, 3, 9}.isdisjoint({x.doc_id for x in kept.collect()}) and kept.columns[0] == "doc_id"
 
 
+ITALIAN = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita; "
+           "quanto a dir qual era cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura")
+FINNISH = ("Kaikki ihmiset syntyvat vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan; heille on annettu jarki ja "
+           "omatunto, ja heidan on toimittava toisiaan kohtaan veljeyden hengessa")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables not present")
+def test_only_learned_languages_are_explained(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet").where("text is not null")
+    model = op.train(table)
+    assert (op.limits(table, model) <= 8).all()
+    strange = [(10**9 + i, t, None) for i, t in enumerate([ITALIAN, FINNISH, "deadbeef0123a9" * 20])]
+    kept = op.explained(table.select("doc_id", "text", "lang").unionByName(
+        docs(spark, strange).select("doc_id", "text", "lang")), model).select("doc_id").collect()
+    clean = [x.doc_id for x in table.select("doc_id").collect()]
+    assert sorted(x.doc_id for x in kept) == sorted(clean)
+    assert any(zlib.crc32(str(d).encode()) % 4 == 2 for d in clean)
+
+
 def test_nothing_to_learn(spark):
     assert op.identify(docs(spark, [])).collect() == []
     only = op.identify(docs(spark, [(1, "text", None), (2, None)])).collect()

@@ -241,23 +241,57 @@ def identify(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
     return predict(docs, train(docs, train_bytes))
 
 
-#: Bits per byte from which no learned language explains a text. Plain bytes take eight; a text in a learned
-#: language but of strange words may take more, one in another script about twenty (escapes at every byte).
-MOST_BITS = 12.0
+#: A language explains a text of at most the bits per byte that all but a few of its labelled texts outside the
+#: sample need, and MARGIN more; never more than a plain byte has. A text may take SHORT_BITS besides, whatever
+#: its length: a few strange words tell nothing in a short text and little in a long one.
+QUANTILE, MARGIN, MOST_BITS, SHORT_BITS = 0.999, 0.5, 8.0, 128.0
 
 
-def explained(docs: DataFrame, model: Model | None, most_bits: float = MOST_BITS) -> DataFrame:
+def limits(docs: DataFrame, model: Model | None) -> np.ndarray | None:
+    """Bits per byte up to which each language of the model explains a text, from the labelled held-out rows."""
+    if model is None:
+        return None
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def score(rows):
+        known = {k: i for i, k in enumerate(shared.value.languages)}
+        held: list[tuple[str, bytes]] = []
+        size = 0
+
+        def out():
+            for (lang, raw), bits in zip(held, shared.value.text_bits([raw for _, raw in held])):
+                yield lang, float(bits[known[lang]] / len(raw))
+
+        for lang, text in rows:
+            if lang in known and _LETTER.search(text):
+                held.append((lang, _encode(text)))
+                size += len(held[-1][1])
+            if size >= 1 << 20 or len(held) >= 1024:
+                yield from out()
+                held, size = [], 0
+        if held:
+            yield from out()
+
+    told = docs.where((fold(F.col("doc_id")) == 2) & F.col("lang").isNotNull() & (F.length("text") > 0))
+    costs = map_rows(told.select("lang", "text"), score, [("lang", pa.string()), ("bits", pa.float64())])
+    found = {r["lang"]: r["q"] for r in costs.groupBy("lang").agg(F.percentile_approx("bits", QUANTILE).alias("q")).collect()}
+    return np.array([min(MOST_BITS, found[k] + MARGIN) if k in found else MOST_BITS for k in model.languages])
+
+
+def explained(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents some learned language explains, with their columns; judged where they lie, without a join."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model, limits(docs, model)))
 
     @F.pandas_udf("boolean")
     def keep(texts):
+        known, most = shared.value
+
         def one(text) -> bool:
-            if shared.value is None or not text or not _LETTER.search(text):
+            if known is None or not text or not _LETTER.search(text):
                 return False
             raw = _encode(text)
-            return bool(shared.value.text_bits([raw]).min() <= most_bits * len(raw))
+            return bool((known.text_bits([raw])[0] <= most * len(raw) + SHORT_BITS).any())
 
         return texts.map(one)
 
