@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.config import scratch_path
-from tickwise.llm import (decontaminate, fingerprint, host_reputation, langid, ngram_join, packing, pii, quality,
-                          secrets, warc)
+from tickwise.llm import (bpe, conversations, decontaminate, fingerprint, host_reputation, langid, ngram_join, packing,
+                          pii, quality, secrets, warc, whitening)
 from tickwise.llm.common import documents
 
 # The rules of the URL filter's contract.
@@ -77,6 +77,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damage(_table(spark, sf_dir, "conversations")))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprint": op9_fingerprint,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_bpe_codec": op13_bpe_codec,
     "pipeline": pipeline,
 }
 
