@@ -10,11 +10,12 @@ import __spark_entry__ as entry
 from tickwise.config import release_scratch, scratch_root
 from tickwise.plans import registered
 from tickwise.streaming import registered as streaming
+from tickwise.streaming import registered_durable as durable
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["customer", "events"]
-QUERIES = {**registered.QUERIES, **streaming.QUERIES}
-ORACLES = {**registered.ORACLE_SQL, **streaming.ORACLE_SQL}
+QUERIES = {**registered.QUERIES, **streaming.QUERIES, **durable.QUERIES}
+ORACLES = {**registered.ORACLE_SQL, **streaming.ORACLE_SQL, **durable.ORACLE_SQL}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables not present")
 

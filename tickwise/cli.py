@@ -43,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--source", choices=["kafka", "files"], default="kafka")
             s.add_argument("--path", help="folder of JSON-lines files for --source files")
             s.add_argument("--exactly-once", action="store_true")
+            s.add_argument("--live-metadata", action="store_true",
+                           help="let edits of the metadata file take effect while the stream runs")
         if name == "inspect":
             s.add_argument("--sample-size", type=int)
         if name == "dashboard":
@@ -70,7 +72,8 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.command == "stream":
             from tickwise.streaming.app import run_forever
-            run_forever(spark, settings, source=args.source, path=args.path, exactly_once=args.exactly_once)
+            run_forever(spark, settings, source=args.source, path=args.path, exactly_once=args.exactly_once,
+                        live_metadata=args.live_metadata)
         elif args.command == "inspect":
             print(f"--- database\n{settings.database}")
             print_report(inspect(spark, settings))

@@ -9,7 +9,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -156,18 +155,6 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: What a session derived once from an input and keeps until it is released, by (application, purpose, input).
-_SHARED: dict[tuple[str, str, str], object] = {}
-
-
-def shared_once(spark: SparkSession, purpose: str, source: str, build: Callable[[], object]):
-    """The result of ``build``, made once per application, purpose and input folder."""
-    key = (spark.sparkContext.applicationId, purpose, source)
-    if key not in _SHARED:
-        _SHARED[key] = build()
-    return _SHARED[key]
-
-
 def release_scratch(spark: SparkSession) -> None:
     """Delete everything this application left in the scratch folder, with the tables registered over it.
 
@@ -175,8 +162,6 @@ def release_scratch(spark: SparkSession) -> None:
     """
     root = scratch_root(spark)
     app = spark.sparkContext.applicationId
-    for key in [k for k in _SHARED if k[0] == app]:
-        del _SHARED[key]
     for db in [d.name for d in spark.catalog.listDatabases()]:
         for t in spark.catalog.listTables(db):
             if t.isTemporary:

@@ -6,6 +6,7 @@ Both are column expressions over any DataFrame, batch or streaming, and stay ins
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,51 @@ def parse_ticks(df: DataFrame, json_col: str = "json", schema: T.StructType = TI
     return parsed.na.drop(subset=list(required or fields))
 
 
+#: What a rejected message lacks, in the order in which it is looked for.
+NO_TEXT, NOT_JSON = "empty", "not_json"
+
+
+def split_messages(df: DataFrame, json_col: str = "json", schema: T.StructType = TICK, keep: Sequence[str] = (),
+                   required: Sequence[str] | None = None) -> DataFrame:
+    """One parse for both outcomes: ``keep``, the message text, the tick's fields and ``reject_reason``.
+
+    The reason is null exactly for the rows :func:`parse_ticks` keeps. Others tell why: ``empty`` (null or blank
+    text), ``not_json`` (no JSON object), or ``no_<field>`` for the first required field without a usable value
+    (absent, null, of the wrong kind, or NaN). Every message comes out once, whichever it is.
+    """
+    fields = [f.name for f in schema.fields]
+    text = F.col(json_col)
+    parsed = df.select(*keep, text.alias("message"), F.inline(F.array(F.from_json(text, schema))))
+    nan = {f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    unusable = {c: F.col(c).isNull() | F.isnan(c) if c in nan else F.col(c).isNull() for c in required or fields}
+    reason = F.when(F.coalesce(F.trim("message") == "", F.lit(True)), NO_TEXT)
+    nothing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in fields])
+    # Without any field it is told apart from an object that lacks them; only such rows are looked at again.
+    like = F.trim("message").startswith("{") & F.get_json_object("message", "$").isNotNull()
+    reason = reason.when(nothing & ~F.coalesce(like, F.lit(False)), NOT_JSON)
+    for column, missing in unusable.items():
+        reason = reason.when(missing, f"no_{column}")
+    return parsed.withColumn("reject_reason", reason)
+
+
+def accepted(split: DataFrame) -> DataFrame:
+    """The ticks of a split: the columns kept and the parsed fields."""
+    return split.where(F.col("reject_reason").isNull()).drop("reject_reason", "message")
+
+
+def rejected(split: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The rejected messages of a split: ``keep``, message, reject_reason."""
+    return split.where(F.col("reject_reason").isNotNull()).select(*keep, "message", "reject_reason")
+
+
+def counted(split: DataFrame, name: str = "messages") -> DataFrame:
+    """The split, observed: messages, accepted and rejected arrive with the query's progress (``observedMetrics``)
+    on a stream and through :class:`pyspark.sql.Observation` in a batch, without a pass of their own."""
+    bad = F.col("reject_reason").isNotNull()
+    return split.observe(name, F.count(F.lit(1)).alias("messages"), F.count_if(~bad).alias("accepted"),
+                         F.count_if(bad).alias("rejected"))
+
+
 def _text(col: str) -> Column:
     return F.col(col).cast("string")
 

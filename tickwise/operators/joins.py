@@ -5,6 +5,9 @@ when that is within bounds a byte count over those few rows. Otherwise the fact
 counting pass over the key columns alone finds the keys that hold more than a given share of all facts; there
 can be at most ``1 / share`` of them, so their lookup rows are few by construction and are broadcast, while all
 other facts take a sort-merge join. No lookup row is replicated and no fact column is read that is not needed.
+
+Where the hot keys are known beforehand, as on a stream that carries a sketch of them, the facts are joined in one
+pass: the facts of those keys are salted over many tasks and only their few lookup rows are repeated.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.config import written
+
 DEFAULT_MAX_ROWS = 1_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 #: Share of all facts from which a key is joined apart: at most 1 / share keys are.
@@ -72,22 +77,44 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str] | str) -> None:
 
 
 def heavy_keys(facts: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> list[tuple]:
-    """Keys that hold at least ``share`` of all facts: at most 1 / share of them, so they may reach the driver."""
-    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.count()
+    """Keys that hold at least ``share`` of all facts: at most 1 / share of them, so they may reach the driver.
+
+    The facts are evaluated once: the total is the sum of the written counts per key.
+    """
+    counts = written(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
     rows = counts.where((F.col("_n") >= F.lit(max(2, total * share)))
                         & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).select(*keys).collect()
     return [tuple(r) for r in rows]
 
 
+def salted_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, heavy: Sequence[tuple],
+                salts: int | None = None) -> DataFrame:
+    """Sort-merge join in which the facts of the ``heavy`` keys are dealt over ``salts`` tasks each.
+
+    Facts with a null key match nothing and are spread too. Only the lookup rows of those keys are repeated. ``salts`` defaults to the session's shuffle partitions.
+    """
+    keys, spark = list(keys), facts.sparkSession
+    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*keys)
+    hot = key.isin([F.struct(*[F.lit(v).cast(facts.schema[k].dataType) for k, v in zip(keys, row)]) for row in heavy]) \
+        if heavy else F.lit(False)
+    unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    salt = F.when(unmatched | F.coalesce(hot, F.lit(False)), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0)
+    copies = F.when(F.coalesce(hot, F.lit(False)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return (facts.withColumn("_salt", salt.cast("int"))
+            .join(lookup.withColumn("_salt", F.explode(copies)).hint("merge"), [*keys, "_salt"], how).drop("_salt"))
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str, how: str = "left",
                 broadcast: bool | None = None, max_rows: int = DEFAULT_MAX_ROWS,
-                max_bytes: int = DEFAULT_MAX_BYTES, heavy_share: float = HEAVY_SHARE) -> DataFrame:
+                max_bytes: int = DEFAULT_MAX_BYTES, heavy_share: float = HEAVY_SHARE,
+                heavy: Sequence[tuple] | None = None) -> DataFrame:
     """Equi-join ``facts`` (preserved for ``how="left"``) with ``lookup`` on ``keys``.
 
     ``broadcast=None`` decides by a bounded size probe; ``True`` forces a broadcast (caller vouches for
-    the bound), ``False`` forces the shuffle join. Streaming facts cannot be counted beforehand: their shuffle
-    join is a plain sort-merge join of one micro-batch.
+    the bound), ``False`` forces the shuffle join. ``heavy`` names the hot keys if they are known already, as on a
+    stream, whose facts cannot be counted beforehand (see ``streaming.heavy``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("left", "inner"):
@@ -97,6 +124,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str,
     if broadcast:
         return facts.join(F.broadcast(lookup), keys, how)
     # Size not proven: pin a sort-merge join so no estimate can turn the lookup into a broadcast.
+    if heavy is not None:
+        return salted_join(facts, lookup, keys, how, heavy)
     heavy = [] if facts.isStreaming else heavy_keys(facts, keys, heavy_share)
     if not heavy:
         return facts.join(lookup.hint("merge"), keys, how)

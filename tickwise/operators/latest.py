@@ -53,21 +53,24 @@ def latest_per_key(ticks: DataFrame, key: str = "symbol",
                    columns: Sequence[str] | None = None) -> DataFrame:
     """The newest row per ``key`` by ``order`` (event time first, then tie-breakers).
 
-    Returns ``key`` plus ``columns`` (default: every other input column) of that row. Rows with a null key
-    form one group; rows without an event time are not considered.
+    Returns ``key`` plus ``columns`` (default: every other input column) of that row, exactly one per key: rows
+    that ``order`` cannot tell apart are told apart by a hash of their content. Rows with a null key form one
+    group; rows without an event time are not considered.
     """
     cols = [c for c in (columns if columns is not None else ticks.columns) if c != key]
     ranked = ticks.withColumn("_rank", recency(ticks, order))
     if all(fixed_width(ticks, c) for c in cols):
         return ranked.where(F.col("_rank").isNotNull()).groupBy(key).agg(
             *[F.max_by(F.col(c), F.col("_rank")).alias(c) for c in cols])
-    best = ranked.groupBy(F.col(key).alias("_key")).agg(F.max("_rank").alias("_best"))
+    # Null keys are a group of their own: told apart from every real key by a flag.
+    named = lambda c: [F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_key"), F.col(c).isNull().alias("_none")]
+    best = ranked.groupBy(key).agg(F.max("_rank").alias("_best")).select(*named(key), "_best")
     # One row per key; whether it is broadcast follows from its checked size.
-    found = lookup_join(ranked.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\u0000"))),
-                        best.select(F.coalesce(F.col("_key").cast("string"), F.lit("\u0000")).alias("_key"), "_best"),
-                        "_key", "inner")
-    # Equal rows may share the rank; they are one row.
-    return found.where(F.col("_rank") == F.col("_best")).select(key, *cols).distinct()
+    found = lookup_join(ranked.select("*", *named(key)), best, ["_key", "_none"], "inner")
+    # Rows of equal time and tie-breaker: the one of the largest hash counts, so that every key has one row.
+    rows = found.where(F.col("_rank") == F.col("_best")).groupBy(key).agg(
+        F.max_by(F.struct(*cols), row_hash(ticks)).alias("_row"))
+    return rows.select(key, *[F.col("_row").getField(c).alias(c) for c in cols])
 
 
 def last_in_bucket(ticks: DataFrame, width: str = "40 seconds", key: str = "symbol",

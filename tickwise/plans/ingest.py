@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tickwise.config import Settings, written
 from tickwise.functions.encode import kafka_records
-from tickwise.functions.snapshot import DEFAULT_ASSETS, Assets, rejects_of, snapshot_quotes, ticks_of
+from tickwise.functions.snapshot import DEFAULT_ASSETS, Assets, rejects_of, snapshot_split, ticks_of
 from tickwise.operators.joins import row_hash
 from tickwise.sources import kafka
 
@@ -92,10 +92,10 @@ def _first_rows(df: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
 
 def shape(snapshots: DataFrame, assets: Assets = DEFAULT_ASSETS, max_events: int = 0,
           keep: tuple[str, ...] = ()) -> IngestResult:
-    quotes = written(snapshot_quotes(with_fetch_time(snapshots), assets, keep=keep), "quotes")
-    ticks = cap_events(ticks_of(quotes, keep), max_events)
+    split = written(snapshot_split(with_fetch_time(snapshots), assets, keep=keep), "quotes")
+    ticks = cap_events(ticks_of(split, keep), max_events)
     return IngestResult(ticks.drop("price_text"), kafka_records(ticks, price="price_text", keep=keep, exact=True),
-                        rejects_of(quotes, keep=keep))
+                        rejects_of(split, keep=keep))
 
 
 def publish(result: IngestResult, settings: Settings) -> None:

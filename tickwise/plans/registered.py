@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.config import Settings, scratch_path, shared_once, use_utc
+from tickwise.config import Settings, scratch_path, use_utc
 from tickwise.functions import encode, parse, snapshot
 from tickwise.operators import enrich as enrich_op
 from tickwise.operators import grid, latest, summary, windows
@@ -87,6 +87,16 @@ def latest_per_symbol(spark, sf):
     return _enrich_winners(spark, sf, winners)
 
 
+def latest_per_symbol_ties(spark, sf):
+    """Event times cut to the day, so that many ticks of a symbol tie: still one row per symbol."""
+    day = F.date_trunc("day", F.col("timestamp")).cast("timestamp_ntz")
+    ticks = _enriched(spark, sf).withColumn("timestamp", day)
+    winners = latest.latest_per_key(ticks, "symbol", order=("timestamp",), columns=["coin_name", "price", "timestamp"])
+    # Which of the tied rows it is follows from a hash; that it is one of them is checked here.
+    tied = winners.join(ticks.select("symbol", "timestamp", "price", "coin_name").distinct(), ["symbol", "timestamp"], "left_semi")
+    return tied.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), F.max("timestamp").alias("timestamp"))
+
+
 def last_price_40s(spark, sf):
     return latest.last_in_bucket(_ticks(spark, sf), "40 seconds", "symbol", "price",
                                  tie_breakers=("event_id",))
@@ -125,6 +135,21 @@ def parse_damaged(spark, sf):
     return parsed.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def parse_rejects(spark, sf):
+    """The messages that the strict parse rejects, with the reason, from the same single parse."""
+    use_utc(spark)
+    split = parse.split_messages(tables.damaged_messages(spark, sf), keep=("event_id",))
+    return parse.rejected(split, ("event_id",)).select("event_id", "reject_reason")
+
+
+def parse_outcomes(spark, sf):
+    """Messages, ticks and rejects of one parse: every message is one or the other."""
+    use_utc(spark)
+    split = parse.split_messages(tables.damaged_messages(spark, sf), keep=("event_id",))
+    good = F.col("reject_reason").isNull()
+    return split.agg(F.count(F.lit(1)).alias("messages"), F.count_if(good).alias("ticks"), F.count_if(~good).alias("rejects"))
+
+
 def kafka_payload(spark, sf):
     use_utc(spark)
     return encode.kafka_records(_ticks(spark, sf), keep=("event_id",))
@@ -257,25 +282,19 @@ def dashboard_topic_trends(spark, sf):
 
 
 def _stored(spark, sf) -> str:
-    """The enriched ticks as a flat Parquet folder, stored once per input and shared by the queries below."""
-    def build() -> str:
-        path = scratch_path(spark, "stored_table")
-        rows = _enriched(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-        rows.select(*ENRICHED_FIELDS).write.mode("append").parquet(path)
-        return path
-
+    """The enriched ticks as a flat Parquet folder, stored anew by every query that reads it."""
     use_utc(spark)
-    return shared_once(spark, "stored_table", sf, build)
+    path = scratch_path(spark, "stored_table")
+    rows = _enriched(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rows.select(*ENRICHED_FIELDS).write.mode("append").parquet(path)
+    return path
 
 
 def _inspected(spark, sf) -> inspection.InspectionReport:
     """The inspection report over the stored folder."""
-    def build() -> inspection.InspectionReport:
-        path = _stored(spark, sf)
-        settings = Settings(database="tickwise_inspect", table="ticks_" + path.rsplit("/", 1)[-1][:12], output_path=path)
-        return inspection.inspect(spark, settings)
-
-    return shared_once(spark, "inspection", sf, build)
+    path = _stored(spark, sf)
+    settings = Settings(database="tickwise_inspect", table="ticks_" + path.rsplit("/", 1)[-1][:12], output_path=path)
+    return inspection.inspect(spark, settings)
 
 
 def folder_latest(spark, sf):
@@ -375,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "dashboard_analytics_2s": dashboard_analytics_2s,
     "hot_key_enrich_stats": hot_key_enrich_stats,
     "latest_per_symbol": latest_per_symbol,
+    "latest_per_symbol_ties": latest_per_symbol_ties,
     "last_price_40s": last_price_40s,
     "latest_bucket_per_symbol": latest_bucket_per_symbol,
     "dense_trend_grid": dense_trend_grid,
@@ -382,6 +402,8 @@ QUERIES: dict[str, Query] = {
     "enrich_left": enrich_left,
     "json_round_trip": json_round_trip,
     "parse_damaged": parse_damaged,
+    "parse_rejects": parse_rejects,
+    "parse_outcomes": parse_outcomes,
     "kafka_payload": kafka_payload,
     "lenient_normalise": lenient_normalise,
     "snapshot_ticks": snapshot_ticks,
@@ -502,6 +524,11 @@ _DAMAGED = (
     "ELSE json_object('symbol', event_type, 'price', value, 'timestamp', " + _ISO + ")::VARCHAR "
     "END AS json FROM events")
 
+# Every damaged message with the reason for its rejection, null for a tick.
+REJECTS_SQL = ("SELECT d.event_id, CASE WHEN NOT json_valid(d.json) THEN 'not_json' WHEN p.symbol IS NULL THEN 'no_symbol' "
+               "WHEN p.price IS NULL OR isnan(p.price) THEN 'no_price' WHEN p.timestamp IS NULL THEN 'no_timestamp' "
+               f"END AS reject_reason FROM ({_DAMAGED}) d JOIN ({_parsed_json_sql(_DAMAGED)}) p USING (event_id)")
+
 _ASSET_LIST = "[" + ", ".join(f"{{'asset_id': '{a}', 'symbol': '{s}'}}" for a, s in SNAPSHOT_ASSETS) + "]"
 
 # The fixture's rule per event: status, fetch time and the text of the last quote of its own asset, if usable.
@@ -534,6 +561,8 @@ ORACLE_SQL: dict[str, str] = {
     "latest_per_symbol": (
         f"SELECT symbol, user_id, coin_name, category, event_id, price, timestamp FROM ({_ENRICHED}) s "
         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, event_id DESC) = 1"),
+    "latest_per_symbol_ties": ("SELECT event_type AS symbol, CAST(1 AS BIGINT) AS rows, date_trunc('day', max(ts)) AS timestamp "
+                               "FROM events GROUP BY event_type"),
     "last_price_40s": _TREND_POINTS,
     "latest_bucket_per_symbol": (f"SELECT symbol, max(time_bucket) AS latest_bucket "
                                  f"FROM ({_TREND_POINTS}) p GROUP BY symbol"),
@@ -544,6 +573,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT event_id, json_object('symbol', event_type, 'price', value, "
         f"'timestamp', {_ISO})::VARCHAR AS json FROM events"),
     "parse_damaged": _kept_ticks_sql(_DAMAGED),
+    "parse_rejects": f"SELECT * FROM ({REJECTS_SQL}) r WHERE reject_reason IS NOT NULL",
+    "parse_outcomes": ("SELECT count(*) AS messages, count(*) - count(reject_reason) AS ticks, "
+                       f"count(reject_reason) AS rejects FROM ({REJECTS_SQL}) r"),
     "kafka_payload": (
         "SELECT event_id, event_type AS key, json_object('symbol', event_type, 'price', value, "
         f"'timestamp', {_ISO})::VARCHAR AS value FROM events"),

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.operators.joins import assert_unique_keys, check_size
+from tickwise.operators.joins import check_size
 from tickwise.schemas import ENRICHED, METADATA, METADATA_FIELDS
 from tickwise.sources.fs import path_exists
+from tickwise.sources.versions import content_mark, read_version, stored_version
 
 
 def read_metadata(spark: SparkSession, path: str, missing_ok: bool = True) -> DataFrame:
@@ -24,16 +24,15 @@ def pin_metadata(spark: SparkSession, path: str, target: str, max_rows: int, max
     """A checked, unchanging version of the metadata file for a stream: (rows, whether they may be broadcast).
 
     A stream's static side is read again in every micro-batch, so a file changed meanwhile would enter unchecked.
-    The file is therefore copied to ``target`` as a version named by its content, after its keys are proven
-    unique and its size is measured; a restarted stream takes up, and checks, the file as it is then.
+    The file's keys are proven unique, then it is copied to ``target`` as a version named by its content; the
+    version's rows are compared with that name whenever it is taken up, so a half-written or damaged copy is
+    never joined. A restarted stream takes up, and checks, the file as it is then.
     """
-    rows = read_metadata(spark, path)
-    mark = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*METADATA_FIELDS).cast("decimal(38,0)")).alias("h")).first()
-    folder = f"{target.rstrip('/')}/version={mark['n']}-{mark['h'] or 0}"
-    if not path_exists(spark, folder):
-        rows.write.parquet(folder)
-    pinned = spark.read.schema(METADATA).parquet(folder)
-    assert_unique_keys(pinned, "symbol")
+    rows, target = read_metadata(spark, path), target.rstrip("/")
+    mark = content_mark(rows)
+    if not path_exists(spark, f"{target}/version={mark}"):
+        mark = stored_version(spark, rows, target, "symbol")
+    pinned = read_version(spark, target, mark)
     return pinned, check_size(pinned, max_rows, max_bytes).bounded
 
 

@@ -43,15 +43,17 @@ def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", _user().alias("user_id"), tick_json("event_type", "value", "ts").alias("json"))
 
 
-def id_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ts, json``: every event as a message that also carries its user and its id."""
+def id_messages(spark: SparkSession, sf_dir: str, hot_user: bool = False) -> DataFrame:
+    """``ts, json``: every event as a message that also carries its user and its id; with ``hot_user`` every third
+    event is user 1's."""
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(_user()) if hot_user else _user()
     body = F.to_json(F.struct(F.col("event_type").alias("symbol"), F.col("value").alias("price"),
-                              iso_instant("ts").alias("timestamp"), _user().alias("user_id"), "event_id"))
+                              iso_instant("ts").alias("timestamp"), user.alias("user_id"), "event_id"))
     return load(spark, sf_dir, "events").select("ts", body.alias("json"))
 
 
 # Fixed fixture rule: which events are published damaged, and how (residues of event_id).
-def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_messages(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Every event as a JSON message, some damaged the ways a real feed is:
 
     ``event_id % 19 = 0`` not JSON at all; ``% 17 = 1`` price as a JSON string; ``% 13 = 2`` symbol key
@@ -72,7 +74,7 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.lit(',"price":"NaN","timestamp":'), q(iso_instant(ts)),
                                          F.lit("}")))
             .otherwise(tick_json(sym, val, ts)))
-    return e.select("event_id", body.alias("json"))
+    return e.select(*keep, body.alias("json"))
 
 
 def loose_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

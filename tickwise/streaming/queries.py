@@ -10,9 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.operators.windows import DEFAULT_KEYS, window_stats
+from tickwise.sources.fs import make_folder
+from tickwise.streaming.dimension import VersionedDimension
+from tickwise.streaming.flat_log import FlatLog
 from tickwise.streaming.sinks import BatchWriter, append_writer
 
 
@@ -23,13 +27,16 @@ def _apply_trigger(writer, trigger: dict | None):
 def raw_storage_query(enriched: DataFrame, output_path: str, checkpoint: str,
                       name: str = "tick_storage", exactly_once: bool = True,
                       trigger: dict | None = None, partition_by_day: bool = False,
-                      timestamp: str = "timestamp") -> StreamingQuery:
+                      timestamp: str = "timestamp", log: FlatLog | None = None,
+                      dimension: VersionedDimension | None = None) -> StreamingQuery:
     """Append every enriched tick to a Parquet folder.
 
     No watermark: late ticks are always stored even where the windowed statistics drop them.
     ``exactly_once`` uses Spark's file sink (its ``_spark_metadata`` log makes replays idempotent; read the
-    folder with Spark to honour it). Otherwise micro-batches are appended flat into the folder with
-    :func:`~tickwise.streaming.sinks.append_writer` (at-least-once, no metadata folder).
+    folder with Spark to honour it). Otherwise the folder stays flat, without a metadata folder: with ``log``
+    every micro-batch is stored once (:class:`~tickwise.streaming.flat_log.FlatLog`; keep it beside the checkpoint),
+    without one micro-batches are appended at least once (:func:`~tickwise.streaming.sinks.append_writer`).
+    ``dimension`` joins every micro-batch of bare ticks to the dimension version it resolves to (flat folder only).
     ``partition_by_day`` writes ``day=YYYY-MM-DD`` sub-folders (UTC event date) so that time-bounded reads
     skip whole days; the flat layout of the original job is the default.
     """
@@ -40,11 +47,25 @@ def raw_storage_query(enriched: DataFrame, output_path: str, checkpoint: str,
         w = w.format("parquet").option("path", output_path)
         if parts:
             w = w.partitionBy(*parts)
+        if dimension is not None:
+            raise ValueError("a versioned dimension is joined per micro-batch, which Spark's file sink cannot do")
     else:
-        w = w.foreachBatch(append_writer(output_path, partition_by=parts))
+        store = log.writer(partition_by=parts) if log else append_writer(output_path, partition_by=parts)
+        w = w.foreachBatch(dimension.joined(store) if dimension else store)
     return _apply_trigger(w, trigger).start()
 
 
+def stored_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What a storage query stores, as a stream: a query chained to it reads its source no second time.
+
+    Both stored layouts hand out each row once: files of the flat layout are final when they appear, and Spark's
+    file sink is followed through its metadata log. Spark lists a flat folder for every trigger; for a table of very
+    many files store through the file sink, whose log is read instead.
+    """
+    make_folder(spark, path)
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def window_stats_stream(enriched: DataFrame, width: str = "2 seconds", delay: str = "2 seconds",
                         keys: Sequence[str] = DEFAULT_KEYS, timestamp: str = "timestamp",
                         price: str = "price") -> DataFrame:

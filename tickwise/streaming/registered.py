@@ -22,7 +22,7 @@ from tickwise.plans.registered import ORACLE_SQL as BATCH_SQL, ROUND
 from tickwise.plans.registered import _ENRICHED, _stats_sql
 from tickwise.sources import tables
 from tickwise.sources.files import read_table, replay_stream
-from tickwise.sources.fs import delete_path, list_names
+from tickwise.sources.fs import delete_path, files_below, list_names, move, publish_text
 from tickwise.streaming import app
 from tickwise.streaming import queries as sq
 from tickwise.streaming.replay import SliceReplay
@@ -142,12 +142,16 @@ def stream_flat_store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_file_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Data files of the stored ticks, rewritten as one file per event day."""
+    """Data files directly in the stored folder, after it was rewritten as one file per event day; one more file
+    in a sub-folder and one of another kind do not count."""
     root, out = _store_run(spark, sf, exactly_once=False)
     stored = spark.read.parquet(out).withColumn("day", F.to_date("timestamp"))
     stored.repartition("day").write.partitionBy("day").parquet(f"{root}/days")
-    delete_path(spark, out)
-    return catalog.count_data_files(spark, f"{root}/days", recursive=True)
+    for k, name in enumerate(files_below(spark, f"{root}/days")):  # a file per day
+        move(spark, f"{root}/days/{name}", f"{root}/flat/day-{k:05d}.parquet")
+    move(spark, f"{out}/{files_below(spark, out)[0]}", f"{root}/flat/below/other.parquet")
+    publish_text(spark, f"{root}/flat/notes.txt", "not a data file")
+    return catalog.count_data_files(spark, f"{root}/flat")
 
 
 def stream_empty_batches(spark: SparkSession, sf: str) -> DataFrame:

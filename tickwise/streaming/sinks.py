@@ -2,7 +2,7 @@
 
 ``append_writer`` keeps the flat folder contract of the original storage job (Parquet files directly in the
 table folder) and is at-least-once: a micro-batch replayed after a crash between write and commit is
-written twice. ``versioned_writer`` is exactly-once in effect: every micro-batch overwrites its own
+written twice. ``flat_log.FlatLog`` keeps the same folder without duplicates. ``versioned_writer`` is exactly-once in effect: every micro-batch overwrites its own
 ``batch_id=N`` folder, so a replay replaces rather than duplicates. Spark's own file sink (see
 ``queries.raw_storage_query``) is the exactly-once choice for append-only output.
 
@@ -11,34 +11,39 @@ Neither writer coalesces: every task writes its own file, so a large micro-batch
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tickwise.sources.fs import delete_children
+from tickwise.functions.parse import accepted, rejected
+from tickwise.sources.fs import delete_path, files_below, move
+from tickwise.streaming.flat_log import PLAIN_FILES
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
 def append_writer(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> BatchWriter:
-    """Append every non-empty micro-batch to ``path``; empty batches write nothing."""
+    """Append every non-empty micro-batch to ``path``; empty batches write nothing.
+
+    A batch is written to a folder beside the table and its files are then moved in, so no marker and no checksum
+    file ever lies in the table folder, whatever the session's settings, and only the batch's own files are listed.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        spark, stage = batch.sparkSession, f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
         try:
-            if cached.isEmpty():
-                return
-            writer = cached.write.mode("append").format(fmt)
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.save(path)
-            if not partition_by:
-                # Local and mounted disks get checksum side files; the flat folder holds data files only.
-                delete_children(batch.sparkSession, path, hidden_only=True)
+            writer = batch.write.format(fmt).options(**PLAIN_FILES)
+            (writer.partitionBy(*partition_by) if partition_by else writer).save(stage)
+            names = files_below(spark, stage)
+            if fmt == "parquet" and len(names) == 1 and spark.read.schema(batch.schema).parquet(stage).isEmpty():
+                return  # an empty batch may leave one file that tells the schema alone
+            for name in names:  # Spark's file names hold the write's own id and never meet another batch's
+                move(spark, f"{stage}/{name}", f"{path.rstrip('/')}/{name}")
         finally:
-            cached.unpersist()
+            delete_path(spark, stage)
 
     return write
 
@@ -46,9 +51,8 @@ def append_writer(path: str, fmt: str = "parquet", partition_by: Sequence[str] =
 def versioned_writer(path: str, fmt: str = "parquet") -> BatchWriter:
     """Write each micro-batch to ``path/batch_id=N``, replacing that folder if the batch is replayed.
 
-    One folder per micro-batch suits bounded runs and audits. A query that runs for months should collapse
-    the log from time to time: write :func:`latest_updates` of it to a new folder and continue the log
-    from there, so readers never list more than the batches since the last collapse.
+    One folder per micro-batch suits bounded runs and audits; for a query that runs for months
+    :class:`~tickwise.streaming.tiers.TieredLog` keeps the number of folders small.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -68,3 +72,25 @@ def latest_updates(spark: SparkSession, path: str, keys: Sequence[str], schema=N
     log = reader.load(path)
     values = [c for c in log.columns if c not in keys and c != "batch_id"]
     return log.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in values])
+
+
+def fan_out(*branches: tuple[Callable[[DataFrame], DataFrame], BatchWriter]) -> BatchWriter:
+    """One writer for several outputs of a micro-batch, each (selection, writer).
+
+    The batch is kept while they are written, so its source and parsing run once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for select, to in branches:
+                to(select(held), batch_id)
+        finally:
+            held.unpersist()
+
+    return write
+
+
+def split_writer(write_ticks: BatchWriter, write_rejects: BatchWriter, keep: Sequence[str] = ()) -> BatchWriter:
+    """For a stream of :func:`~tickwise.functions.parse.split_messages`: ticks to one writer, rejects to the other."""
+    return fan_out((accepted, write_ticks), (lambda split: rejected(split, keep), write_rejects))
