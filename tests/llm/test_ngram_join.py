@@ -152,3 +152,34 @@ def test_components(spark):
     assert all(got[i] == 1 for i in range(1, 61)) and all(got[i] == 100 for i in range(100, 140))
     assert got[150] == got[200] == 150 and len(got) == 60 + 40 + 2
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join((a, b)[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_of_equal_polynomials_are_different_words(spark):
+    rows = []
+    for k, n in enumerate((1024, 2048, 4096)):
+        rows += [(10 * k, f"x {thue_morse(n)} y z"), (10 * k + 1, f"x {thue_morse(n, 'b', 'a')} y z")]
+    got = op.similarity_join(docs(spark, rows), 3, 90, 100).collect()
+    assert {(x.doc_id, x.component_id, x.n_links) for x in got} == {(d, d, 0) for d, _ in rows}
+
+
+def test_join_of_awkward_tables(spark):
+    assert op.similarity_join(docs(spark, [])).collect() == []
+    rows = AWKWARD + [(20, "ONE two"), (21, "one  two\n")]
+    got = op.similarity_join(docs(spark, rows, extra=True), 3, 90, 100).collect()
+    assert {x.doc_id: x.n_links for x in got if x.doc_id in (5, 20, 21, 1, 3)} == {5: 2, 20: 2, 21: 2, 1: 0, 3: 0}
+    assert [x.n_links for x in got if x.doc_id is None] == [None]
+
+
+def test_shared_tokens_of_many_sets(monkeypatch):
+    r = np.random.default_rng(3)
+    monkeypatch.setattr(op, "_COLUMNS", 7)
+    sets = [np.unique(r.integers(0, 60, int(r.integers(0, 40))).astype(np.uint64)) for _ in range(25)] + [np.empty(0, np.uint64)]
+    found = op._shared_tokens(sets)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            alone = i == j  # tokens that only one set holds are not counted
+            assert alone or found[i, j] == len(np.intersect1d(x, y))

@@ -1,7 +1,8 @@
 """Helpers the operators share: row-wise Arrow maps, written intermediates, word and shingle hashes.
 
-Word hashes are 64-bit and position independent, computed for a whole text with numpy: every byte has a
-fixed random 64-bit value, a word's hash is the polynomial of its byte values, taken from one running sum.
+Word hashes are 64-bit and position independent, computed for a whole text with numpy: a word is cut into lanes of
+eight bytes, each lane is mixed with its number, and the mixed lanes are summed with the length and mixed again. (A
+polynomial of the bytes modulo a power of two would not do: words of Thue-Morse form collide under every base.)
 Words are maximal runs outside ``[\\x20\\x09-\\x0D]`` with A-Z lower-cased; all work is linear in the text.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import tempfile
+import weakref
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 import tickwise
 from tickwise.config import scratch_path
+from tickwise.sources.fs import delete_path
 
 _DDL = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.string(): "string",
         pa.binary(): "binary", pa.bool_(): "boolean", pa.list_(pa.int64()): "array<bigint>",
@@ -82,7 +85,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PLACES[id(out)] = (weakref.ref(out, lambda _, key=id(out): _PLACES.pop(key, None)), path)
+    return out
+
+
+#: Where the tables made by ``written`` lie, by the frame that reads them.
+_PLACES: dict[int, tuple] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written`, once everything that reads them has been written itself."""
+    for table in tables:
+        found = _PLACES.pop(id(table), None)
+        if found is not None:
+            delete_path(table.sparkSession, found[1])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,14 +120,11 @@ def held_out(doc_id: Column) -> Column:
 SEGMENT = 1 << 20
 _M = (1 << 64) - 1
 _R = 0x9E3779B97F4A7C15 | 1
-_rng = np.random.Generator(np.random.PCG64(20240607))
-_BYTE = _rng.integers(1, _M, 256, dtype=np.uint64, endpoint=True)
-_BYTE[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE[_SPACE] = 0
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
-_POWERS: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -120,13 +134,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS:
-        for name, base in (("up", _R), ("down", pow(_R, -1, 1 << 64))):
-            steps = np.full(SEGMENT + 1, base, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS["up"], _POWERS["down"]
+_HELD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LANE = mix(np.arange(1, 4097, dtype=np.uint64) * np.uint64(_R))  # what is added to a lane by its number
+
+
+def _hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """uint64 hash of the words raw[start:end], all of them non-empty; ``raw`` ends with eight bytes to spare."""
+    size = ends - starts
+    lanes = (size + 7) >> 3
+    first = np.cumsum(lanes) - lanes
+    word = np.repeat(np.arange(len(starts)), lanes)
+    number = np.arange(len(word)) - first[word]
+    at = starts[word] + 8 * number
+    lane = np.lib.stride_tricks.sliding_window_view(raw, 8)[at].view("<u8").ravel()
+    held = np.minimum(size[word] - 8 * number, 8)  # bytes of the lane that are the word's
+    lane &= _HELD[held]
+    lane = mix(lane + _LANE[np.minimum(number, len(_LANE) - 1)] + number.astype(np.uint64))
+    return mix(np.add.reduceat(lane, first) + size.astype(np.uint64) * np.uint64(_R))
 
 
 def _segments(data: bytes) -> Iterator[bytes]:
@@ -155,16 +179,11 @@ def word_hashes(text: str | None) -> np.ndarray:
             word = piece.lower().strip()
             found.append(np.array([int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")], np.uint64))
             continue
-        raw = np.frombuffer(piece, np.uint8)
-        if not len(raw):
-            continue
-        up, down = _powers()
-        gap = _SPACE[raw]
+        raw = _LOWER[np.frombuffer(piece + bytes(8), np.uint8)]
+        gap = _SPACE[raw[:-8]]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).view(np.int8)))
-        starts, ends = edge[0::2], edge[1::2]
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * up[:len(raw)], out=total[1:])
-        found.append(mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        if len(edge):
+            found.append(_hashed(raw, edge[0::2], edge[1::2]))
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
