@@ -1,3 +1,4 @@
+import gzip as gzip_module
 import hashlib
 import os
 import random
@@ -70,6 +71,48 @@ def test_only_published_files_are_read_and_files_are_planned(spark, workdir):
     assert len(reader.partitions()) >= 2
 
 
+def foreign(kind, block, *fields, content="application/http; msgtype=response"):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"Content-Type: {content}", *fields, f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_others(spark, workdir):
+    path = os.path.join(workdir, "w")
+    os.makedirs(path)
+    page = b"HTTP/1.1 200 OK\r\nContent-Length:5\r\n\r\nhello"
+    records = [foreign("warcinfo", b"software: x", "WARC-Record-ID: <urn:uuid:1>", content="application/warc-fields"),
+               foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "WARC-Record-ID:<urn:uuid:12345678-90>",
+                       content="application/http; msgtype=request"),
+               foreign("response", page, "WARC-Record-ID: <urn:uuid:3>", "WARC-Target-URI:http://a/", "WARC-Payload-Digest: md5:ab"),
+               foreign("response", b"HTTP/1.1 200 OK", "WARC-Record-ID: <urn:uuid:4>"),
+               foreign("metadata", b"", "WARC-Refers-To: <urn:uuid:3>", content="text/plain"),
+               foreign("response", page, "WARC-Record-ID: <urn:uuid:5>")]
+    with open(os.path.join(path, "a.warc"), "wb") as f:
+        f.write(b"".join(records))
+    with open(os.path.join(path, "b.warc.gz"), "wb") as f:
+        f.write(b"".join(gzip_module.compress(r) for r in records))
+    with open(os.path.join(path, "notes.txt"), "w") as f:
+        f.write("not an archive")
+    for payload in (True, False):
+        got = [(x.record_id, x.record_type, x.target_uri, x.payload_digest, x.refers_to, x.payload_bytes,
+                None if x.payload is None else bytes(x.payload)) for x in warc.read_archives(spark, path, payload).collect()]
+        kept = lambda b: b if payload else None
+        want = [("urn:uuid:1", "warcinfo", None, None, None, 11, kept(b"software: x")),
+                ("urn:uuid:12345678-90", "request", None, None, None, 0, kept(b"")),
+                ("urn:uuid:3", "response", "http://a/", "md5:ab", None, 5, kept(b"hello")),
+                ("urn:uuid:4", "response", None, None, None, 0, kept(b"")),
+                (None, "metadata", None, None, "urn:uuid:3", 0, kept(b"")),
+                ("urn:uuid:5", "response", None, None, None, 5, kept(b"hello"))]
+        assert sorted(got, key=str) == sorted(want * 2, key=str)
+    assert warc.read_archives(spark, path).where("record_type = 'request'").count() == 2
+
+
+def test_marks_too_many_for_a_broadcast(spark, workdir, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_MARKS", 0)
+    records = warc.records_of(spark.createDataFrame(rows(), PAGE))
+    assert records.where("record_type = 'revisit'").count() == sum(x[4] == "revisit" for x in expected(rows()))
+
+
 def test_empty_table(spark, workdir):
     path = os.path.join(workdir, "w")
     warc.write_archives(warc.records_of(spark.createDataFrame([], PAGE)), path)

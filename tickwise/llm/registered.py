@@ -46,15 +46,17 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
-    warc.write_archives(warc.records_of(_table(spark, sf_dir, "pages")), path)
-    # A response's digest and length are taken anew from the payload read back; a revisit has its header's.
-    back = warc.read_archives(spark, path)
-    stored = F.col("payload").isNotNull()
-    return back.select(
-        F.col("record_id").cast("bigint").alias("page_id"),
-        F.when(stored, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("bigint").alias("payload_bytes"),
-        F.when(stored, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+    warc.write_archives(warc.records_of(_table(spark, sf_dir, "pages")), path, gzip=True)
+    # A response's digest and length are taken anew from the payload read back. Of revisits only headers are read:
+    # the type is pushed down, and no payload is kept or decoded.
+    responses = warc.read_archives(spark, path).where("record_type = 'response'").select(
+        "record_id", "record_type", "refers_to", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"))
+    revisits = warc.read_archives(spark, path, payload=False).where("record_type = 'revisit'").select(
+        "record_id", "record_type", "refers_to", "payload_bytes", "payload_digest")
+    return responses.unionByName(revisits).select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
 def op6_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 ``df.write.format("warc")`` writes one archive per task (rolled at a size, plain or one gzip member per
 record) and publishes a manifest on commit, so files of lost or repeated tasks are never read.
-``spark.read.format("warc")`` plans partitions from the manifest's files by size, takes record-type and header
+``spark.read.format("warc")`` plans partitions by size from the manifest's files, or where there is no manifest, as in
+a folder of anyone else's archives, from all ``.warc`` and ``.warc.gz`` files of the folder, takes record-type and header
 predicates pushed down by Spark, parses each record's header first, and skips the payload of every record that
 a predicate excludes, or of all records with the option ``payload=false``: in a plain archive by a seek, in a
 compressed one without keeping or decoding it.
@@ -11,6 +12,11 @@ Schema: record_id, record_type, target_uri, payload_digest (bare hexadecimal SHA
 (of the full payload, also for revisits), payload. Paths are URIs; files are opened through ``pyarrow.fs`` so
 that any store it knows will do, and they must lie in a folder all executors share.
 
+Archives of others: a record whose block is no HTTP message (``warcinfo``, ``metadata``, ``resource``, ...) has its
+whole block as payload, and an HTTP block's payload begins behind its header, or is empty where that has no end;
+nothing is ever looked for beyond the block's length. Ids and digests of other forms are kept whole, without angle
+brackets. A file cut off in the middle of a record ends there.
+
 Cases: a null payload is an empty one; null ids, uris, digests and types are left out of the header and read
 back as null; line ends in header values are percent-escaped; payloads may hold any bytes; an empty table
 gives an archive folder without files, which reads back as no rows.
@@ -29,12 +35,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition,
                                     StringStartsWith, WriterCommitMessage)
 
-from tickwise.llm.common import ship
+from tickwise.llm.common import ship, written
+from tickwise.operators.joins import check_size
 
 SCHEMA = ("record_id string, record_type string, target_uri string, payload_digest string, refers_to string, "
           "payload_bytes bigint, payload binary")
 ROLL_BYTES = 128 << 20
 PLAN_BYTES = 64 << 20
+#: Size up to which the marks of revisits are broadcast: rows, and bytes of their ids and digests.
+MOST_MARKS, MOST_MARK_BYTES = 500_000, 32 << 20
+GZIP_LEVEL = 4
 _MANIFEST = "_manifest-"
 _DATE = "2024-01-01T00:00:00Z"
 _URN = "urn:x-record:"
@@ -105,7 +115,7 @@ class WarcWriter(DataSourceWriter):
                 out, size = store.open_output_stream(f"{root}/{name}", compression=None), 0
             data = record_bytes(row)
             if self.gzip:
-                member = zlib.compressobj(6, zlib.DEFLATED, 31)
+                member = zlib.compressobj(GZIP_LEVEL, zlib.DEFLATED, 31)
                 data = member.compress(data) + member.flush()
             out.write(data)
             size += len(data)
@@ -147,7 +157,10 @@ def _field(headers: dict, column: str) -> str | None:
         value = headers.get("warc-payload-digest")
         return _unescape(value[5:]) if value and value.startswith("sha1:") else value
     value = headers.get("warc-record-id" if column == "record_id" else "warc-refers-to")
-    return _unescape(value[1 + len(_URN):-1]) if value is not None else None
+    if value is None:
+        return None
+    bare = value[1:-1] if value.startswith("<") and value.endswith(">") else value
+    return _unescape(bare[len(_URN):]) if bare.startswith(_URN) else bare
 
 
 _HEADER_COLUMNS = ("record_type", "target_uri", "payload_digest", "record_id", "refers_to")
@@ -235,10 +248,21 @@ def _headers(source: _Plain) -> dict | None:
     while (end := source.buffer.find(b"\r\n\r\n")) < 0:
         if not source.more():
             return None
-    lines = source.read(end + 4)[:end].decode("utf-8", "surrogatepass").split("\r\n")
+    lines = source.read(end + 4)[:end].decode("utf-8", "surrogatepass").lstrip("\r\n").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
-    return {k.lower(): v for k, v in (x.split(": ", 1) for x in lines[1:])}
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:]) if v}
+
+
+def _is_http(headers: dict) -> bool:
+    return headers.get("content-type", "").lower().startswith("application/http")
+
+
+def _http_header(source: _Plain, length: int) -> bytes:
+    """The block's HTTP header with its blank line; the whole block where it has none."""
+    while (end := source.buffer.find(b"\r\n\r\n", 0, length)) < 0 and len(source.buffer) < length and source.more():
+        pass
+    return source.read(length if end < 0 else end + 4)
 
 
 class WarcReader(DataSourceReader):
@@ -264,11 +288,12 @@ class WarcReader(DataSourceReader):
 
         store, root = _store(self.path)
         listed = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
-        files = []
-        for info in listed:
-            if info.base_name.startswith(_MANIFEST):
-                with store.open_input_stream(info.path) as f:
-                    files += json.loads(f.read())
+        files, manifests = [], [i for i in listed if i.base_name.startswith(_MANIFEST)]
+        for info in manifests:
+            with store.open_input_stream(info.path) as f:
+                files += json.loads(f.read())
+        if not manifests:
+            files = [[i.base_name, i.size] for i in listed if i.is_file and i.base_name.endswith((".warc", ".warc.gz"))]
         parts, names, size = [], [], 0
         for name, n in sorted(files):
             if names and size + n > self.plan:
@@ -296,11 +321,10 @@ class WarcReader(DataSourceReader):
                 if self._excluded(headers):
                     source.skip(length + 4)
                     continue
-                while (end := source.buffer.find(b"\r\n\r\n")) < 0 and source.more():
-                    pass
-                http = source.read(end + 4)
-                size = next((int(x[16:]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length: ")), None)
+                http = _http_header(source, length) if _is_http(headers) else b""
+                size = next((int(x[15:]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
                 rest = length - len(http)
+                size = rest if size is None else size
                 payload = None
                 if self.payload and headers.get("warc-type") != "revisit":
                     payload = source.read(rest)
@@ -358,18 +382,22 @@ def records_of(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     """Archive records of (page_id, url, html): of equal payloads from ``least_bytes`` on, all but that of the
     largest page_id become revisits to it. Rows that repeat that page are responses too.
 
-    Which page that is moves as ids and digests only; each html moves once, spread by its page.
+    Which pages those are is found from ids and digests alone, and written as a small table. The pages themselves are
+    marked where they lie, by a broadcast of that table when its checked size allows it, otherwise by a join.
     """
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     # Equal rows get equal records; the digest tells rows of one id with different payloads apart.
-    marks = pages.select("page_id", F.sha1(payload).alias("payload_digest"), F.octet_length(payload).alias("b"))
-    first = marks.where(F.col("b") >= least_bytes).groupBy("payload_digest", "b").agg(F.max("page_id").alias("top"))
-    revisits = marks.join(first, ["payload_digest", "b"]).where(
+    marks = pages.select("page_id", F.unhex(F.sha1(payload)).alias("digest"), F.octet_length(payload).alias("b"))
+    large = marks.where(F.col("b") >= least_bytes)
+    first = large.groupBy("digest", "b").agg(F.max("page_id").alias("top"), F.count("*").alias("c")).where("c > 1")
+    revisits = written(large.join(first, ["digest", "b"]).where(
         F.col("page_id").isNull() & F.col("top").isNotNull() | (F.col("page_id") < F.col("top"))).select(
-        F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"), "top").distinct()
+        F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), "top").distinct(), "warc-revisits")
+    if check_size(revisits, MOST_MARKS, MOST_MARK_BYTES).bounded:
+        revisits = F.broadcast(revisits)
     whole = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("payload_digest"))
-    joined = whole.join(revisits, whole["page_id"].eqNullSafe(revisits["r_id"])
-                        & (whole["payload_digest"] == revisits["r_digest"]), "left")
+    joined = whole.join(revisits, whole["page_id"].eqNullSafe(F.col("r_id"))
+                        & (F.unhex("payload_digest") == F.col("r_digest")), "left")
     again = F.col("r_digest").isNotNull()
     return joined.select(
         F.col("page_id").cast("string").alias("record_id"), F.when(again, "revisit").otherwise("response").alias("record_type"),
