@@ -147,3 +147,22 @@ def test_table(spark):
     assert sorted(x.n_chars for x in masked if x.text) == sorted(len(x.text) for x in masked if x.text)
     assert any(x.text == "x [EMAIL], [PHONE] and [IP]" for x in masked) and any(x.text == "[EMAIL] [CARD]" for x in masked)
     assert op.find(docs(spark, [])).collect() == [] and op.mask(docs(spark, [])).collect() == []
+
+
+PROSE_SUBJECTS = ["sat", "lives", "look", "arrived", "waited", "she stood", "they met", "we stopped", "he stayed", "it ended"]
+PROSE_PLACES = ["home", "elm", "table", "station", "example", "school", "work", "noon", "length", "once"]
+PROSE_TAILS = ["period", "street", "format", "after", "hence", "matrix", "product"]
+
+
+def test_prose_with_at_and_dot_stays():
+    for subject in PROSE_SUBJECTS:
+        for place in PROSE_PLACES:
+            for tail in PROSE_TAILS:
+                for text in (f"{subject} at {place} dot {tail}", f"And {subject} at {place} dot {tail}, then left."):
+                    assert op.added_spans(text, op.base_spans(text)) == [], text
+
+
+@pytest.mark.parametrize("text", ["email john at corp dot intranet", "john.smith at corp dot intranet", "j7 at corp dot intranet",
+                                  "john (at) corp dot intranet", "john at corp (dot) intranet", "john at example dot com"])
+def test_second_sign_makes_an_address(text):
+    assert [k for k, _, _ in op.added_spans(text, op.base_spans(text))] == ["email"]

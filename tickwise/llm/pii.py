@@ -113,6 +113,14 @@ _AT_DOT = re.compile(
     rf"|(?P<spoken>(?<=[a-z0-9._%+-])\s{{1,3}}at\s{{1,3}}(?={_LABEL}{_POINT}{_TAIL}))"
     rf"|(?P<point>(?<=[a-z0-9])\s{{1,3}}dot\s{{1,3}}(?={_TAIL}))",
     re.IGNORECASE)
+# Generic endings of three letters and more; any two letters may be a country's.
+GENERIC_ENDINGS = frozenset((
+    "com org net edu gov mil int info biz name pro museum aero coop jobs travel mobi cat tel asia post app dev shop "
+    "online site store tech blog cloud email xyz club live news page wiki media agency academy center company digital "
+    "group network solutions systems team tools work world").split())
+_MAIL_VERB = re.compile(r"\b(?:e-?mails?|mailed|mailto|mails?|write|writes|wrote|contact|reach|send|sent|ping|message|address|cc|"
+                        r"forward|reply)\b", re.IGNORECASE)
+_LOCAL_SIGN = re.compile(r"[0-9._%+-][a-z0-9._%+-]*\Z", re.IGNORECASE)
 _ADDRESS_AT = re.compile(rf"{_BRACKET_AT}|\s{{1,3}}at\s{{1,3}}|@", re.IGNORECASE)
 _ADDRESS_DOT = re.compile(_POINT, re.IGNORECASE)
 # Each match of _AT_DOT holds "dot", or a bracket with "at", "@" or "." behind it.
@@ -181,6 +189,19 @@ def _characters(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _is_address(text: str, m: re.Match, at: re.Match) -> bool:
+    """Whether "x at y dot word" is an address and not prose, where both separators are bare words.
+
+    A known ending tells it, or a second sign: digits or points before "at", or a word about mail shortly before.
+    """
+    spelled = m[0].lower()
+    ending = spelled.split()[-1]
+    if not at[0].strip().isalpha() or not re.search(r"\sdot\s+" + re.escape(ending) + r"\Z", spelled) or re.search(r"[^a-z0-9\s-]", spelled):
+        return True
+    return (len(ending) == 2 or ending in GENERIC_ENDINGS or bool(_LOCAL_SIGN.search(text, max(0, m.start() - 64), m.start()))
+            or bool(_MAIL_VERB.search(text, max(0, m.start() - 48), m.start())))
+
+
 def _at_dot(text: str) -> list[tuple[int, int, str]]:
     edits = []
     for m in _AT_DOT.finditer(text):
@@ -188,6 +209,8 @@ def _at_dot(text: str) -> list[tuple[int, int, str]]:
             edits.append((m.start(), m.end(), "@" if m["at"] or m["spoken"] else "."))
             continue
         at = _ADDRESS_AT.match(text, m.start(), m.end())
+        if not _is_address(text, m, at):
+            continue
         if at[0] != "@":
             edits.append((at.start(), at.end(), "@"))
         edits += [(d.start(), d.end(), ".") for d in _ADDRESS_DOT.finditer(text, at.end(), m.end())]
