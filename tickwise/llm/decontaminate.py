@@ -7,10 +7,14 @@ largest item, so that a document holding the required share of an item's shingle
 hashes than the sketch has to spare: no true pair is lost. Candidates are then verified by exact containment
 of the item's whole shingle set in the document's.
 
-Items go to the tasks in blocks of a bounded size, every block against all documents. Cases: null or wordless
-texts on either side match nothing; an item with fewer words than a shingle counts as one run of that many
-words; repeated rows give repeated result rows; null ids are kept; empty tables give an empty result. Texts
-of any length are read whole.
+Equal item texts are searched for once; their ids are joined to what was found. Different texts go to the tasks in
+blocks of a bounded size, every block against all documents: a block's results are written and its index released
+before the next one is built, so the driver and a task hold one block at a time.
+
+Cases: null or wordless texts on either side match nothing; an item with fewer words than a shingle counts as one
+run of that many words; repeated rows give repeated result rows; null ids are kept; empty tables give an empty
+result. Texts of any length are read whole. Other columns, whatever their names, are not read, and pass through
+``clean`` as they are.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import map_rows, shingle_hashes, ship, word_hashes
+from tickwise.llm.common import discard, map_rows, shingle_hashes, ship, word_hashes, written
 
 WIDTH = 5
 SHARE = (4, 5)
@@ -112,55 +116,70 @@ class ItemIndex:
         return sorted(found)
 
 
-def _blocks(items: DataFrame, item_id: str):
-    """The items, a bounded block at a time."""
-    base = items.select(F.col(item_id).alias("item_id"), "text").where(F.length("text") > 0)
-    total = base.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
+def _blocks(texts: DataFrame):
+    """The different item texts (key, text), a bounded block at a time."""
+    total = texts.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     n = max(1, -(-total["n"] // BLOCK_ITEMS), -(-(total["b"] or 0) // BLOCK_BYTES))
     for k in range(n):
-        part = base if n == 1 else base.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        table = part.orderBy("item_id", "text").toArrow()
+        part = texts if n == 1 else texts.where(F.pmod(F.xxhash64("key"), F.lit(n)) == k)
+        table = part.orderBy("key").toArrow()
         if table.num_rows:
-            yield table.column("item_id").to_pylist(), table.column("text").to_pylist()
+            yield table.column("key").to_pylist(), table.column("text").to_pylist(), k == n - 1
+
+
+def _texts(items: DataFrame, item_id: str) -> tuple[DataFrame, DataFrame]:
+    """(item_id, key of its text) per item row with a text, and the different texts by key, written."""
+    held = items.select(F.col(item_id).alias("item_id"), "text", F.sha2("text", 256).alias("key")).where(F.length("text") > 0)
+    return held.select("item_id", "key"), written(held.groupBy("key").agg(F.first("text").alias("text")), "benchmark-texts")
 
 
 def contained_items(docs: DataFrame, items: DataFrame, item_id: str = "item_id", width: int = WIDTH,
                     share: tuple[int, int] = SHARE) -> DataFrame:
     """doc_id, item_id, item_shingles, shared, containment: every pair with at least the required share."""
     spark = docs.sparkSession
-    fields = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("item_shingles", pa.int64()), ("shared", pa.int64()),
+    fields = [("doc_id", pa.int64()), ("key", pa.string()), ("item_shingles", pa.int64()), ("shared", pa.int64()),
               ("containment", pa.float64())]
+    rows, texts = _texts(items, item_id)
+    results = []
+    for keys, held, _ in _blocks(texts):
+        index = spark.sparkContext.broadcast(ItemIndex(keys, held, width, share))  # bounded by the block
 
-    def against(ids, texts):
-        index = spark.sparkContext.broadcast(ItemIndex(ids, texts, width, share))  # bounded by the block
-
-        def run(rows):
+        def run(found, index=index):
             known = index.value
-            for doc_id, text in rows:
+            for doc_id, text in found:
                 for i, shared in known.search(text):
                     size = len(known.sets[i])
                     yield doc_id, known.ids[i], size, shared, shared / size
 
-        return map_rows(docs.select("doc_id", "text"), run, fields)
-
-    results = [against(ids, texts) for ids, texts in _blocks(items, item_id)]
+        results.append(written(map_rows(docs.select("doc_id", "text"), run, fields), "benchmark-found"))
+        index.destroy()
     if not results:
         return spark.createDataFrame([], "doc_id bigint, item_id bigint, item_shingles bigint, shared bigint, "
                                          "containment double")
-    return reduce(DataFrame.unionByName, results)
+    return reduce(DataFrame.unionByName, results).join(rows, "key").select(
+        "doc_id", "item_id", "item_shingles", "shared", "containment")
 
 
 def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE) -> DataFrame:
-    """The documents that hold no test item, with their columns; texts are judged where they lie, without a join."""
+    """The documents that hold no test item, with their columns; texts are judged where they lie, without a join.
+
+    With several blocks what one block leaves is written before the next one is looked for.
+    """
     spark = docs.sparkSession
     ship(spark)
-    out = docs
-    for ids, texts in _blocks(items, "item_id"):
-        index = spark.sparkContext.broadcast(ItemIndex(ids, texts, width, share))
+    out, before = docs, None
+    for keys, held, last in _blocks(_texts(items, "item_id")[1]):
+        index = spark.sparkContext.broadcast(ItemIndex(keys, held, width, share))
 
         @F.pandas_udf("boolean")
         def leaks(column, index=index):
             return column.map(lambda t: bool(index.value.search(t)))
 
         out = out.where(~leaks(F.col("text")))
+        if not last:
+            out = written(out, "benchmark-clean")
+            index.destroy()
+            if before is not None:
+                discard(before)
+            before = out
     return out
