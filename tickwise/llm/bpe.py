@@ -8,7 +8,7 @@ length, where rescanning a word costs n squared.
 
 The vocabulary, merges, normaliser, splitting rule and added tokens are those of a tokenizers file whose splitting
 rule drops white space, so what lies between two spaces is encoded on its own: each task keeps the ids of the words
-it met (a bounded memory, started anew when full) and runs the tree for new ones. A table of ids decodes as that
+it met (a bounded memory) and runs the tree for new ones. A table of ids decodes as that
 file's own decoder does; a file with neither decoder nor byte fall-back joins the tokens by a space.
 
 Cases: a null text is empty and has no ids; texts are encoded whole, in slices cut at a space, so a task holds one
@@ -23,7 +23,7 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 
 from tickwise.llm.common import map_rows
 
-#: Words remembered by a task, and the longest one that is.
-WORD_MEMORY = 400_000
+#: Words remembered by a Python worker (twice as many at most), and the longest one that is.
+WORD_MEMORY = 250_000
 WORD_LONGEST = 64
 #: Characters of a text that are encoded at a time; a slice is cut at the next space.
 SLICE = 1 << 13
@@ -65,9 +65,10 @@ def merged(symbols: list[int], ranks: dict[int, int], results: list[int]) -> lis
         if rank is not None:
             tree[leaf] = rank << shift | leaf
         leaf, left = leaf + 1, right
-    for node in range(width - 1, 0, -1):
-        a, b = tree[2 * node], tree[2 * node + 1]
-        tree[node] = a if a < b else b
+    for node in range(width + n - 2, 1, -1):  # each node hands its least leaf on to its parent
+        least = tree[node]
+        if least < tree[node >> 1]:
+            tree[node >> 1] = least
     if tree[1] == _NEVER:
         return symbols
     # Leaves name positions; a vanished symbol is -1, and one -1 stands before the first and behind the last.
@@ -80,13 +81,31 @@ def merged(symbols: list[int], ranks: dict[int, int], results: list[int]) -> lis
         at[right] = -1
         after[left] = behind = after[right]
         before[behind] = left
+        # Three leaves change; each walk ends where a node keeps its value.
+        node, value = right, _NEVER
+        while tree[node] != value:
+            tree[node] = value
+            if node == 1:
+                break
+            other = tree[node ^ 1]
+            if other < value:
+                value = other
+            node >>= 1
+        follower = at[behind]
+        rank = get(new << 32 | follower) if follower >= 0 else None
+        node, value = left, _NEVER if rank is None else rank << shift | left
+        while tree[node] != value:
+            tree[node] = value
+            if node == 1:
+                break
+            other = tree[node ^ 1]
+            if other < value:
+                value = other
+            node >>= 1
         first = before[left]
-        rank = get(new << 32 | at[behind]) if at[behind] >= 0 else None
-        changed = [(right, _NEVER), (left, _NEVER if rank is None else rank << shift | left)]
         if at[first] >= 0:
             rank = get(at[first] << 32 | new)
-            changed.append((first, _NEVER if rank is None else rank << shift | first))
-        for node, value in changed:
+            node, value = first, _NEVER if rank is None else rank << shift | first
             while tree[node] != value:
                 tree[node] = value
                 if node == 1:
@@ -95,7 +114,7 @@ def merged(symbols: list[int], ranks: dict[int, int], results: list[int]) -> lis
                 if other < value:
                     value = other
                 node >>= 1
-    return [s for s in at if s >= 0]
+    return [s for s in at[width:] if s >= 0]
 
 
 def _byte_letters() -> list[str]:
@@ -105,6 +124,28 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(256)]
 
 
+class _Words(dict):
+    """Words met, with what they encode to: looked up, and encoded when they are new.
+
+    When the memory is full it becomes the older half; words found there move on, so frequent ones are never lost.
+    """
+
+    def __init__(self, encode: Callable[[str], tuple[bytes, str, int]]):
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, word: str) -> tuple[bytes, str, int]:
+        found = self.older.get(word)
+        if found is None:
+            found = self.encode(word)
+            if len(word) > WORD_LONGEST:
+                return found
+        if len(self) >= WORD_MEMORY:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Codec:
     """Encoder and decoder of one tokenizers file; truncation and padding that it may ask for are left out."""
 
@@ -134,7 +175,9 @@ class Codec:
         self.results = [vocabulary[a + b] for a, b in pairs]
         self.latin = self._is_known_rule(spec)
         self.letters = dict(enumerate(_byte_letters()))
-        self.words: dict[str, tuple[bytes, str, int]] = {}
+        self.complete = all(c in self.inner and c in self.last for c in self.letters.values())
+        self.words = _Words(lambda word: self._word(
+            word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.letters)))
 
     @staticmethod
     def _is_known_rule(spec: dict) -> bool:
@@ -154,50 +197,44 @@ class Codec:
 
         ``letters``: one per byte. Letters that the vocabulary lacks are left out, as the library does.
         """
-        ids = [self.inner.get(c, -1) for c in letters[:-1]] + [self.last.get(letters[-1], -1)]
-        found = merged([i for i in ids if i >= 0], self.ranks, self.results)
-        return array("I", found).tobytes(), self.decode(found), len(found)
-
-    def _latin_word(self, word: str) -> tuple[bytes, str, int]:
-        found = self._word(word.encode().decode("latin-1").translate(self.letters))
-        if len(word) <= WORD_LONGEST:
-            if len(self.words) >= WORD_MEMORY:
-                self.words.clear()
-            self.words[word] = found
-        return found
-
-    def _slice(self, text: str) -> Iterable[tuple[bytes, str, int]]:
-        known = self.words
+        if self.complete:
+            ids = [*map(self.inner.__getitem__, letters[:-1]), self.last[letters[-1]]]
+        else:
+            ids = [self.inner.get(c, -1) for c in letters[:-1]] + [self.last.get(letters[-1], -1)]
+            ids = [i for i in ids if i >= 0]
+        found = merged(ids, self.ranks, self.results)
+        return array("I", found).tobytes(), " ".join(map(self.token.__getitem__, found)), len(found)
+
+    def _slice(self, text: str) -> Iterator[tuple[bytes, str, int]]:
+        of_word = self.words.__getitem__
         for part in self.cut.split(text) if self.cut else (text,):
             if part in self.added:
                 one = self.added[part]
                 yield array("I", [one]).tobytes(), self.token[one], 1
             elif self.latin and not _BEYOND.search(low := part.lower()):
-                for word in _SPLIT.findall(low):
-                    yield known.get(word) or self._latin_word(word)
+                yield from map(of_word, _SPLIT.findall(low))
             else:
                 for chunk in part.split(" "):  # a chunk is normalised and split on its own
                     if self.latin and not _BEYOND.search(low := chunk.lower()):
-                        for word in _SPLIT.findall(low):
-                            yield known.get(word) or self._latin_word(word)
+                        yield from map(of_word, _SPLIT.findall(low))
                     else:
-                        for letters in self._words(chunk):
-                            yield self._word(letters)
+                        yield from map(self._word, self._words(chunk))
 
-    def parts(self, text: str) -> Iterable[tuple[bytes, str, int]]:
-        """The encoded words of a text, in order, a slice at a time."""
+    def slices(self, text: str) -> Iterator[tuple[bytes, list[str], int]]:
+        """(ids as little-endian unsigned 32-bit integers, words' tokens, number of ids), a slice of the text at a time."""
         at, n = 0, len(text)
         while at < n:
             end = n if n - at <= SLICE else text.find(" ", at + SLICE)
             end = n if end < 0 else end
-            for part in self._slice(text[at:end]):
-                if part[2]:
-                    yield part
+            found = [p for p in self._slice(text[at:end]) if p[2]]
+            if found:
+                ids, tokens, sizes = zip(*found)
+                yield b"".join(ids), tokens, sum(sizes)
             at = end + 1
 
     def encode(self, text: str | None) -> list[int]:
         out = array("I")
-        for ids, _, _ in self.parts(text or ""):
+        for ids, _, _ in self.slices(text or ""):
             out.frombytes(ids)
         return out.tolist()
 
@@ -246,20 +283,12 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: what :func:`encoded` and :func:`decoded` give, as digests."""
     def result(codec: Codec, text: str) -> tuple[int, str, str]:
         ids_hash, text_hash, n = hashlib.sha256(), hashlib.sha256(), 0
-        held: list[tuple[bytes, str, int]] = []
-
-        def flush() -> None:
-            ids_hash.update(b"".join(p[0] for p in held))
-            text_hash.update(" ".join(p[1] for p in held).encode())
-            held.clear()
-
-        for part in codec.parts(text):
-            if len(held) >= 8192:
-                flush()
+        for ids, tokens, size in codec.slices(text):
+            if n:
                 text_hash.update(b" ")
-            held.append(part)
-            n += part[2]
-        flush()
+            ids_hash.update(ids)
+            text_hash.update(" ".join(tokens).encode())
+            n += size
         return n, ids_hash.hexdigest(), text_hash.hexdigest()
 
     return _each(docs, path, result, [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
