@@ -13,7 +13,6 @@ def reference(text):
     from tokenizers import Tokenizer
 
     bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    bpe.encode_special_tokens = True
     return bpe.encode(text or "", add_special_tokens=False).ids
 
 

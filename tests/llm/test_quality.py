@@ -59,3 +59,35 @@ def test_normal_equations_of_partitions_add_up(spark):
         table = op.statistics_table(docs(spark, rows).repartition(parts))
         betas.append(op.fit(table, labels).beta)
     assert betas[0] == pytest.approx(betas[1], rel=1e-4, abs=1e-6)
+
+
+def test_fit_is_the_direct_solution(spark):
+    """The model against one dense ridge solve and one pooling over all learning rows at once."""
+    rows = [(d, prose(20 + d % 50, d) if d % 3 else "bad, Bad " * (10 + d % 40)) for d in range(500)]
+    quality = {d: int(d % 3 > 0) if d % 17 else 0 for d in range(500)}
+    table = op.statistics_table(docs(spark, rows).repartition(4))
+    model = op.fit(table, spark.createDataFrame([(d, q, 0) for d, q in quality.items()], LABEL))
+
+    fold = {d: zlib.crc32(str(d).encode()) % 4 for d in quality}
+    x = {d: np.array(op.statistics(t)) for d, t in rows}
+    learned = [d for d in quality if fold[d] != 2]
+    every = np.array([x[d] for d in learned])
+    assert model.mean == pytest.approx(every.mean(axis=0)) and model.scale[every.std(axis=0) > 1e-6] == pytest.approx(
+        every.std(axis=0)[every.std(axis=0) > 1e-6])
+    ridge = [d for d in learned if fold[d] != 3]
+    phi = model.expand(np.array([x[d] for d in ridge]))
+    penalty = np.sqrt(op.RIDGE * len(ridge) / op.FEATURES) * np.eye(phi.shape[1])
+    beta = np.linalg.lstsq(np.vstack([phi, penalty]), np.concatenate([[quality[d] for d in ridge], np.zeros(phi.shape[1])]),
+                           rcond=None)[0]
+    later = [d for d in learned if fold[d] == 3]
+    raw = model.expand(np.array([x[d] for d in later])) @ beta
+    assert model.raw(np.array([x[d] for d in later])) == pytest.approx(raw, abs=1e-5)
+    cells = {}
+    for s, d in zip(model.raw(np.array([x[d] for d in later])), later):
+        cells.setdefault(np.floor((min(max(s, -0.5), 1.5) + 0.5) * op.BINS / 2), []).append((s, quality[d]))
+    points = np.array([(np.mean([s for s, _ in c]), len(c), np.mean([y for _, y in c])) for _, c in sorted(cells.items())])
+    # The rising line of least squares, by the minimax formula over all runs of points.
+    w, m = points[:, 1], points[:, 2]
+    mean = lambda i, j: (w[i:j + 1] * m[i:j + 1]).sum() / w[i:j + 1].sum()
+    line = [max(min(mean(i, j) for j in range(k, len(m))) for i in range(k + 1)) for k in range(len(m))]
+    assert np.interp(points[:, 0], model.knots, model.levels) == pytest.approx(line, abs=1e-9)
