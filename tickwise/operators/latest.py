@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.timefns import bucket_start
@@ -66,11 +66,12 @@ def latest_per_key(ticks: DataFrame, key: str = "symbol",
     named = lambda c: [F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_key"), F.col(c).isNull().alias("_none")]
     best = ranked.groupBy(key).agg(F.max("_rank").alias("_best")).select(*named(key), "_best")
     # One row per key; whether it is broadcast follows from its checked size.
-    found = lookup_join(ranked.select("*", *named(key)), best, ["_key", "_none"], "inner")
-    # Rows of equal time and tie-breaker: the one of the largest hash counts, so that every key has one row.
-    rows = found.where(F.col("_rank") == F.col("_best")).groupBy(key).agg(
-        F.max_by(F.struct(*cols), row_hash(ticks)).alias("_row"))
-    return rows.select(key, *[F.col("_row").getField(c).alias(c) for c in cols])
+    found = lookup_join(ranked.select("*", *named(key), row_hash(ticks).alias("_hash")), best, ["_key", "_none"], "inner")
+    # Rows of equal time and tie-breaker: the one of the largest hash counts, so that every key has one row. Spark
+    # keeps one row per task and key before the shuffle (a window group limit).
+    tied = Window.partitionBy("_key", "_none").orderBy(F.desc("_hash"))
+    return (found.where(F.col("_rank") == F.col("_best")).withColumn("_place", F.row_number().over(tied))
+            .where("_place = 1").select(key, *cols))
 
 
 def last_in_bucket(ticks: DataFrame, width: str = "40 seconds", key: str = "symbol",
