@@ -183,3 +183,37 @@ def test_shared_tokens_of_many_sets(monkeypatch):
         for j, y in enumerate(sets):
             alone = i == j  # tokens that only one set holds are not counted
             assert alone or found[i, j] == len(np.intersect1d(x, y))
+
+
+def test_finer_counts_never_part_linked_sets():
+    r = np.random.default_rng(8)
+    parted = 0
+    for _ in range(400):
+        n = int(r.integers(1, 3000))
+        x = np.unique(r.integers(1, 1 << 62, n).astype(np.uint64))
+        y = np.union1d(np.delete(x, r.choice(len(x), int(r.integers(0, len(x) // 2 + 1)), replace=False)),
+                       r.integers(1, 1 << 62, int(r.integers(1, len(x) // 2 + 2))).astype(np.uint64))
+        counts = [op._finer_counts(t) or op._class_counts(t).tobytes() for t in (x, y)]
+        shared = len(np.intersect1d(x, y))
+        could = op._could_link(*counts, len(x) + len(y), 80, 100)
+        assert could or 100 * shared < 80 * (len(x) + len(y) - shared)
+        parted += not could
+    assert parted > 50
+    many = np.zeros(2000, np.uint64) + np.uint64(7)  # one class holds more than a count can tell
+    assert op._could_link(op._class_counts(many).tobytes(), op._class_counts(x).tobytes(), 10**6, 80, 100)
+
+
+def test_long_documents_chained_by_chance_shingles(spark):
+    """Long texts that share a few rare shingles with the next one, among them near copies at the threshold."""
+    r = random.Random(12)
+    texts = [[f"w{r.randrange(10**7)}" for _ in range(r.randrange(300, 360))] for _ in range(60)]
+    for i, words in enumerate(texts[1:], 1):
+        words[20:40] = texts[i - 1][200:220]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    rows += [(100 + i, edited(texts[i], k, r)) for i, k in ((3, 4), (9, 6), (9, 7), (21, 8), (33, 2))]
+    got = op.similarity_classes(docs(spark, rows).repartition(3), 5, 80, 100).collect()
+    truth = brute(rows, 5, 80, 100)
+    assert {x.doc_id: x.component_id for x in got} == truth
+    assert 60 <= len(set(truth.values())) < 64
+    each, classes, trees = op._prepared(docs(spark, rows), 5, 80, 100, op.SKETCH_SLOTS)
+    assert max(x["count"] for x in components(trees).groupBy("component").count().collect()) <= 4

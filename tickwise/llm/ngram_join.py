@@ -9,7 +9,10 @@ and steers the cost only; any order gives the same links.
 
 The members of a key's bucket meet in salted slices. No pair leaves such a task: what could link, by length, by the
 tokens the prefixes leave to share and by a bound from the sets' token counts in 64 classes, is joined to trees there,
-so a bucket gives at most a row per member and slice. The components of these trees hold every link. Each set moves
+so a bucket gives at most a row per member and slice. For long sets 64 classes bound little, and a chance token that two
+of them share would chain a whole corpus of long documents together: where a bucket of long sets gives few candidates,
+these leave as pairs and are judged by token counts in as many classes as suit the sets' sizes. The components of
+trees and pairs hold every link. Each set moves
 once to its component (to each pair of slices of a large one), where all its pairs are verified by exact intersection,
 as a product of the sets' membership matrix over the tokens that several of them hold. Only sums leave that task as
 well: links per vertex, and trees of the links. Nothing is capped; links, components and sets never reach the driver.
@@ -47,6 +50,10 @@ _COUNT_EVERY = 4_000_000
 _SLOTS = 1 << 24
 #: Classes of the token counts that bound what two sets can share.
 _CLASSES = 64
+#: Tokens a class at most, on average, where finer counts are taken, and the most classes of these.
+_DENSE, _MOST_CLASSES = 4, 1 << 14
+#: Candidates a member up to which a bucket of long sets gives the pairs themselves; beyond, it gives trees.
+_PAIRS_A_MEMBER = 4
 #: Columns of the membership matrix made at a time.
 _COLUMNS = 4096
 
@@ -173,13 +180,30 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray, num:
     return rare, np.unique(np.concatenate(pairs)) if pairs else none, True
 
 
-def _class_counts(tokens: np.ndarray) -> np.ndarray:
-    """Tokens of a set per class of tokens, 255 for more."""
-    return np.minimum(np.bincount((mix(tokens) & np.uint64(_CLASSES - 1)).astype(np.int64), minlength=_CLASSES), 255).astype(np.uint8)
+def _class_counts(tokens: np.ndarray, classes: int = _CLASSES) -> np.ndarray:
+    """Tokens of a set per class of tokens, 255 for more; ``classes`` is a power of two."""
+    return np.minimum(np.bincount((mix(tokens) & np.uint64(classes - 1)).astype(np.int64), minlength=classes), 255).astype(np.uint8)
+
+
+def _finer_counts(tokens: np.ndarray) -> bytes | None:
+    """Token counts in so many classes that each has two to _DENSE tokens on average; None where _CLASSES do."""
+    if len(tokens) <= _DENSE * _CLASSES:
+        return None
+    return _class_counts(tokens, min(_MOST_CLASSES, 1 << (-(-len(tokens) // _DENSE) - 1).bit_length())).tobytes()
+
+
+def _could_link(x: bytes, y: bytes, n: int, num: int, den: int) -> bool:
+    """Whether two sets of together ``n`` tokens can link, by their token counts; the finer ones are folded."""
+    x, y = (np.frombuffer(c, np.uint8) for c in (x, y))
+    if x.max() == 255 or y.max() == 255:  # counts of a full class are not known
+        return True
+    width = min(len(x), len(y))
+    x, y = (c.reshape(-1, width).sum(axis=0, dtype=np.int64) for c in (x, y))
+    return int(np.minimum(x, y).sum()) * (num + den) >= n * num
 
 
 def _signature_table(docs: DataFrame, width: int, num: int, den: int, levels: np.ndarray, slots: int) -> DataFrame:
-    """doc_id, key, n, full, singles, pairs, counts of every document that could link with one of another set."""
+    """doc_id, key, n, full, singles, pairs, counts, finer of every document that could link with one of another set."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # of fixed size
 
     def run(rows):
@@ -190,10 +214,11 @@ def _signature_table(docs: DataFrame, width: int, num: int, den: int, levels: np
             singles, pairs, full = prefix_keys(tokens, level > 0, level, num, den)
             if len(singles) or len(pairs):
                 yield (doc_id, _set_key(tokens), len(tokens), full, longs(singles), longs(pairs),
-                       _class_counts(tokens).tobytes())
+                       _class_counts(tokens).tobytes(), _finer_counts(tokens))
 
     fields = [("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("full", pa.bool_()),
-              ("singles", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64())), ("counts", pa.binary())]
+              ("singles", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64())), ("counts", pa.binary()),
+              ("finer", pa.binary())]
     return map_rows(docs.select("doc_id", "text"), run, fields)
 
 
@@ -315,8 +340,9 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return label
 
 
-def _candidate_trees(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) whose components hold every link: trees of what could link, made inside the buckets."""
+def _candidates(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b, pair) whose components hold every link, made inside the buckets: trees of what could link, or,
+    marked ``pair``, each two that could."""
     each = members.select(F.inline("sigs"), F.col("id").alias("vertex"), "n", "s", "counts")
     dealt = _dealt(each.withColumn("slices", _slices(F.col("c")))).select(
         "sig", "first", "second", "slice", "vertex", "n", "s", "counts")
@@ -348,12 +374,33 @@ def _candidate_trees(members: DataFrame, num: int, den: int) -> DataFrame:
                 left.append(i[ok])
                 right.append(j[ok])
             a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
-            root = _roots(a, b, len(flat))
+            few = np.bincount(gid[a], minlength=len(groups)) <= _PAIRS_A_MEMBER * size
+            few &= np.maximum.reduceat(n, np.cumsum(size) - size) > _DENSE * _CLASSES
+            alone = few[gid[a]]
+            for i, j in zip(a[alone].tolist(), b[alone].tolist()):
+                yield min(flat[i][4], flat[j][4]), max(flat[i][4], flat[j][4]), True
+            root = _roots(a[~alone], b[~alone], len(flat))
             for k in np.flatnonzero(root != np.arange(len(flat))).tolist():
-                yield flat[root[k]][4], flat[k][4]
+                yield flat[root[k]][4], flat[k][4], False
 
     ordered = dealt.repartition(*order).sortWithinPartitions(*order)
-    return map_rows(ordered, run, [("a", pa.int64()), ("b", pa.int64())], 4096).where("a <> b").distinct()
+    fields = [("a", pa.int64()), ("b", pa.int64()), ("pair", pa.bool_())]
+    return map_rows(ordered, run, fields, 4096).where("a <> b").distinct()
+
+
+def _judged(found: DataFrame, own: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) of ``found``, without the pairs whose finer token counts show that they do not link."""
+    def run(rows):
+        return ((a, b) for a, b, n, x, y in rows if _could_link(x, y, n, num, den))
+
+    def end(name: str) -> DataFrame:
+        return own.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"),
+                          F.coalesce("finer", "counts").alias(f"counts_{name}"))
+
+    pairs = found.where("pair").join(end("a"), "a").join(end("b"), "b").select(
+        "a", "b", F.expr("n_a + n_b").alias("n"), "counts_a", "counts_b")
+    return found.where("not pair").select("a", "b").unionByName(
+        map_rows(pairs, run, [("a", pa.int64()), ("b", pa.int64())], 4096)).distinct()
 
 
 def _shared_tokens(sets: list[np.ndarray]) -> np.ndarray:
@@ -448,11 +495,12 @@ def _prepared(docs: DataFrame, width: int, num: int, den: int, slots: int) -> tu
         "several", "n"), "ngram-classes")
     own = written(_signature_table(docs, width, num, den, levels, slots).join(
         classes.select("key", F.col("class_id").alias("doc_id"), "vertex"), ["doc_id", "key"]).select(
-        F.col("vertex").alias("doc_id"), "n", "full", "singles", "pairs", "counts"), "ngram-leaders")
+        F.col("vertex").alias("doc_id"), "n", "full", "singles", "pairs", "counts", "finer"), "ngram-leaders")
     members = _members(own, num, den)
-    discard(own)
-    trees = written(_candidate_trees(members, num, den), "ngram-trees")
+    found = written(_candidates(members, num, den), "ngram-candidates")
     discard(members)
+    trees = written(_judged(found, own, num, den), "ngram-trees")
+    discard(own, found)
     return each, classes, trees
 
 
