@@ -15,6 +15,7 @@ from tickwise.operators.latest import latest_per_key
 from tickwise.sources.files import pin_metadata, replay_stream
 from tickwise.streaming import flat_log as fl
 from tickwise.streaming import queries as sq
+from tickwise.streaming import tiers
 from tickwise.streaming.cap import EventCap
 from tickwise.streaming.dimension import VersionedDimension
 from tickwise.streaming.flat_log import FlatLog
@@ -339,6 +340,45 @@ def test_tiers_read_the_same_rows_before_during_and_after_a_merge(spark, workdir
     assert len(os.listdir(os.path.join(workdir, "t", "data"))) <= 8
 
 
+def test_tiers_rewrite_no_row_twice_for_one_batch(spark, workdir, monkeypatch):
+    """Batches with rows, each followed by one without: the closing batches of a stream."""
+    written, newest = [], tiers.newest_of_each
+    monkeypatch.setattr(tiers, "newest_of_each", lambda found, *a: written.append(found.count()) or newest(found, *a))
+    log = TieredLog(os.path.join(workdir, "t"), ["k"], fan_in=2)
+    rows = {}
+    for k in range(8):
+        new = {} if k % 2 else {i: k for i in range(k, k + 6)}
+        rows |= new
+        log.write(spark.createDataFrame(list(new.items()), "k int, x int"), k)
+        kept = list(written)
+        assert dict(map(tuple, log.latest(spark).collect())) == rows
+        written[:] = kept
+    # Merged at batches 3 (two folders with rows) and 7 (the merged folder and two more), once each.
+    assert written == [12, 8 + 12]
+    assert len(log.folders(spark)) == 1
+
+
+def test_tiers_without_any_row_keep_their_schema(spark, workdir):
+    log = TieredLog(os.path.join(workdir, "t"), ["k"], fan_in=2)
+    for k in range(4):
+        log.write(spark.createDataFrame([], "k int, x int"), k)
+    assert log.latest(spark).columns == ["k", "x"] and log.latest(spark).count() == 0
+    log.write(spark.createDataFrame([(1, 2)], "k int, x int"), 4)
+    assert [tuple(r) for r in log.latest(spark).collect()] == [(1, 2)]
+
+
+def test_tiers_go_on_from_a_list_of_three_parts(spark, workdir):
+    path = os.path.join(workdir, "t")
+    log = TieredLog(path, ["k"], fan_in=2)
+    log.write(spark.createDataFrame([(1, 0), (2, 0)], "k int, x int"), 0)
+    listed = os.path.join(path, "lists", sorted(n for n in os.listdir(os.path.join(path, "lists")) if n.endswith(".json"))[-1])
+    with open(listed, "w") as f:
+        json.dump({"step": 0, "folders": [[0, 0, 0]], "gone": []}, f)
+    assert log.write(spark.createDataFrame([(9, 9)], "k int, x int"), 0) is False
+    log.write(spark.createDataFrame([(2, 1)], "k int, x int"), 1)
+    assert sorted(map(tuple, log.latest(spark).collect())) == [(1, 0), (2, 1)] and len(log.folders(spark)) == 1
+
+
 # -- cap and hot keys --------------------------------------------------------------------------------------
 
 def test_cap_holds_over_batches_and_replays(spark, workdir):

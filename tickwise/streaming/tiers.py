@@ -1,7 +1,9 @@
 """An update-mode log in tiers: many micro-batches, few folders.
 
 Each micro-batch adds a folder of level 0. Whenever ``fan_in`` folders of a level are there, they are merged into one
-of the next level that keeps, per key, the row of the newest batch. A list of the current folders is published
+of the next level that keeps, per key, the row of the newest batch. Where that fills the next level too, all levels are
+merged in one pass, so no row is written twice for one micro-batch; and where one folder alone holds rows (a stream's
+closing batch changes no window) that folder is listed at the next level as it is. A list of the current folders is published
 whole after each step, so a reader sees the same rows before, during and after a merge, and lists a number of folders
 that grows with the logarithm of the batches. Merged folders are deleted one list later, when no reader that began
 before the merge needs them to start. A replayed batch writes its folder again and is listed once.
@@ -34,14 +36,21 @@ class TieredLog:
             raise ValueError("a merge takes two folders at least")
         self.path, self.keys, self.fan_in = path.rstrip("/"), list(keys), fan_in
 
-    # A list: {"step": number, "folders": [[level, first batch, last batch], ...], "gone": [folder, ...]}
+    # A list: {"step": number, "folders": [[level, first batch, last batch, folder, has rows], ...], "gone": [folder, ...]}
     def _list(self, spark: SparkSession) -> dict:
         names = [n for n in list_names(spark, f"{self.path}/lists") if n.endswith(".json")]
-        return json.loads(read_text(spark, f"{self.path}/lists/{max(names)}")) if names else {
-            "step": -1, "folders": [], "gone": []}
+        if not names:
+            return {"step": -1, "folders": [], "gone": []}
+        found = json.loads(read_text(spark, f"{self.path}/lists/{max(names)}"))
+        # Lists of three parts a folder are older: such a folder has its own name and counts as one with rows.
+        return found | {"folders": [f if len(f) > 3 else [*f, self._name(*f), True] for f in found["folders"]]}
 
-    def _folder(self, level: int, first: int, last: int) -> str:
-        return f"{self.path}/data/level={level}-{first:0{_WIDTH}d}-{last:0{_WIDTH}d}"
+    @staticmethod
+    def _name(level: int, first: int, last: int) -> str:
+        return f"level={level}-{first:0{_WIDTH}d}-{last:0{_WIDTH}d}"
+
+    def _folder(self, name: str) -> str:
+        return f"{self.path}/data/{name}"
 
     def _publish(self, spark: SparkSession, old: dict, folders: list, gone: list[str]) -> dict:
         new = {"step": old["step"] + 1, "folders": folders, "gone": gone}
@@ -58,23 +67,37 @@ class TieredLog:
 
         ``before_merge`` is called between a merge's writing and its publishing.
         """
-        spark, state = batch.sparkSession, None
+        spark = batch.sparkSession
         state = self._list(spark)
-        fresh = not any(first <= batch_id <= last for _, first, last in state["folders"])
+        fresh = not any(first <= batch_id <= last for _, first, last, _, _ in state["folders"])
         if fresh:
-            (batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").options(**PLAIN_FILES)
-             .parquet(self._folder(0, batch_id, batch_id)))
-            state = self._publish(spark, state, [*state["folders"], [0, batch_id, batch_id]], [])
-        while (due := self._due(state["folders"])) is not None:
-            level, first, last = due[0][0] + 1, due[0][1], due[-1][2]
-            sources = [self._folder(*f) for f in due]
-            newest_of_each(spark.read.parquet(*sources), self.keys).write.mode("overwrite").options(**PLAIN_FILES).parquet(
-                self._folder(level, first, last))
+            name = self._name(0, batch_id, batch_id)
+            rows = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+            rows.write.mode("overwrite").options(**PLAIN_FILES).parquet(self._folder(name))
+            filled = not spark.read.schema(rows.schema).parquet(self._folder(name)).isEmpty()
+            state = self._publish(spark, state, [*state["folders"], [0, batch_id, batch_id, name, filled]], [])
+        for place, sources in self._merges(state["folders"]):
+            holders = [f for f in sources if f[4]] or sources[:1]
+            if len(holders) == 1:
+                name, filled = holders[0][3:]
+            else:
+                name, filled = self._name(*place), True
+                found = spark.read.parquet(*[self._folder(f[3]) for f in holders])
+                newest_of_each(found, self.keys).write.mode("overwrite").options(**PLAIN_FILES).parquet(self._folder(name))
             if before_merge is not None:
                 before_merge()
-            state = self._publish(spark, state, [f for f in state["folders"] if f not in due] + [[level, first, last]], sources)
+            state = self._publish(spark, state, [f for f in state["folders"] if f not in sources] + [[*place, name, filled]],
+                                  [self._folder(f[3]) for f in sources if f[3] != name])
         return fresh
 
+    def _merges(self, folders: list) -> list[tuple[tuple, list]]:
+        """What is due: (level, first batch, last batch) of each merged folder, and the listed folders it is made of."""
+        made = {tuple(f[:3]): [f] for f in folders}
+        while (due := self._due(list(made))) is not None:
+            sources = [f for part in due for f in made.pop(part)]
+            made[due[0][0] + 1, due[0][1], due[-1][2]] = sources
+        return [(place, sources) for place, sources in made.items() if len(sources) > 1]
+
     def _due(self, folders: list) -> list | None:
         for level in sorted({f[0] for f in folders}):
             same = sorted((f for f in folders if f[0] == level), key=lambda f: f[1])
@@ -83,7 +106,7 @@ class TieredLog:
         return None
 
     def folders(self, spark: SparkSession) -> list[str]:
-        return [self._folder(*f) for f in self._list(spark)["folders"]]
+        return [self._folder(f[3]) for f in self._list(spark)["folders"]]
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """Per key its newest row."""
