@@ -30,6 +30,23 @@ def test_word_memory_gives_the_tokenizers_ids(monkeypatch):
             assert np.frombuffer(encode(t), "<u2").tolist() == reference(t), t
 
 
+def test_word_memory_is_bounded_and_keeps_frequent_words(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(op, "WORD_MEMORY", 50)
+    parts = op._Parts(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    words, made = op._Words(None, parts), []
+    ids = words.ids
+    words.ids = lambda word: made.append(word) or ids(word)
+    for i in range(300):
+        assert words["often"] == parts.ids(" often")
+        words["".join(chr(97 + int(d)) for d in str(i))]
+    assert len(words) <= 50 and len(words.older) <= 50 and made.count("often") == 1
+    assert not parts  # a plain word is remembered once, not in both memories
+    words["x" * 5000]
+    assert "x" * 5000 not in words
+
+
 def test_added_tokens_have_their_ids():
     from tokenizers import Tokenizer
 
@@ -86,3 +103,15 @@ def test_sequences_and_padding(spark):
 
 def test_empty_table(spark):
     assert op.pieces(docs(spark, [])).collect() == []
+
+
+def test_arrow_batches_are_bounded_and_a_smaller_bound_stays(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, kept in (("10000", "512"), ("0", "512"), ("-1", "512"), ("7", "7")):
+            spark.conf.set(key, given)
+            op.tokenized(docs(spark, [(1, "a b")]))
+            assert spark.conf.get(key) == kept
+    finally:
+        spark.conf.set(key, before)

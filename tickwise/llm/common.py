@@ -31,10 +31,14 @@ _DDL = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.stri
 
 
 _SHIPPED: set[str] = set()
+#: Rows in an Arrow batch between Spark and a Python worker. Both sides hold a whole batch of texts, or two.
+ARROW_ROWS = 512
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application: they need not have it installed."""
+    """Ready a session for this package's Python tasks: small Arrow batches, and the package sent to the executors'
+    workers, once per application, since they need not have it installed."""
+    bound_batches(spark)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -47,6 +51,14 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(archive))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch hold more than ``ARROW_ROWS`` rows: Spark's 10,000 are tens of MB of texts a task, in the JVM
+    as well as in Python. A smaller number set by the caller stays."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], fields: list[tuple[str, pa.DataType]],
              rows_per_batch: int = 512) -> DataFrame:
     """``fn`` gets the rows of one partition as tuples, in order, and yields result tuples.
@@ -72,6 +84,7 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], fi
                 held = []
         if held:
             yield _batch(held, schema)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return df.mapInArrow(run, ", ".join(f"`{n}` {_DDL[t]}" for n, t in fields))
 

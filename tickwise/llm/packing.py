@@ -26,8 +26,9 @@ from tickwise.llm.common import map_rows, written
 
 WINDOW = 2048
 END_ID = 1
-#: Words remembered by a tokenizing task; the memory is started anew when full.
-WORD_MEMORY = 400_000
+#: Words remembered by a tokenizing task, in each of two halves; longer words than WORD_LONGEST never are.
+WORD_MEMORY = 131_072
+WORD_LONGEST = 64
 _LATIN = [chr(c) for c in range(0x250)]
 _L = "".join(re.escape(c) for c in _LATIN if c.isalpha())
 _N = "".join(re.escape(c) for c in _LATIN if c.isnumeric() and not c.isalpha())
@@ -46,38 +47,66 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(256)]
 
 
-class _Parts(dict):
-    """Ids of the splitting rule's parts met so far; a new one is tokenized when it is first looked up."""
+class _Memory(dict):
+    """Ids by word, made when a word is new.
 
-    def __init__(self, bpe):
-        self.model, self.letters = bpe.model, dict(enumerate(_byte_letters()))
+    When the memory is full it becomes the older half; words found there move on, so frequent ones are never lost
+    and a vocabulary of any size takes two halves at most.
+    """
+
+    def __init__(self):
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, word: str) -> bytes:
+        raise NotImplementedError
+
+    def known(self, word: str) -> bytes | None:
+        return self.get(word) or self.older.get(word)
 
-    def __missing__(self, part: str) -> bytes:
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.ids(word)
+            if len(word) > WORD_LONGEST:
+                return found
         if len(self) >= WORD_MEMORY:
+            self.older = dict(self)
             self.clear()
-        spelled = part.encode().decode("latin-1").translate(self.letters)
-        self[part] = found = array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        self[word] = found
         return found
 
 
-class _Words(dict):
+class _Parts(_Memory):
+    """Ids of the splitting rule's parts."""
+
+    def __init__(self, bpe):
+        super().__init__()
+        self.model, self.letters = bpe.model, dict(enumerate(_byte_letters()))
+        self.words: _Memory = _Memory()
+
+    def ids(self, part: str) -> bytes:
+        # A space and plain letters are one part and one word: who met it first tells the other.
+        if part[:1] == " " and part[1:].isalpha() and part.isascii() and (found := self.words.known(part[1:])):
+            return found
+        spelled = part.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+
+class _Words(_Memory):
     """Ids of a space and the word behind it, by word."""
 
     def __init__(self, bpe, parts: _Parts):
+        super().__init__()
         self.bpe, self.parts = bpe, parts
+        parts.words = self
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORD_MEMORY:
-            self.clear()
+    def ids(self, word: str) -> bytes:
         text = " " + word
         if word.isalpha() and word.isascii():
-            found = self.parts[text]
-        elif _BEYOND.search(word):
-            found = array("H", self.bpe.encode(text, add_special_tokens=False).ids).tobytes()
-        else:
-            found = b"".join(map(self.parts.__getitem__, _SPLIT.findall(text)))
-        self[word] = found
-        return found
+            return self.parts.known(text) or self.parts.ids(text)  # remembered here, not there as well
+        if _BEYOND.search(word):
+            return array("H", self.bpe.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.parts.__getitem__, _SPLIT.findall(text)))
 
 
 def byte_bpe(path: str | None = None) -> Callable[[], Callable[[str], bytes]]:
