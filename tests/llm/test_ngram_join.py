@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import AWKWARD, docs, prose
 from tickwise.llm import ngram_join as op
@@ -217,3 +218,44 @@ def test_long_documents_chained_by_chance_shingles(spark):
     assert 60 <= len(set(truth.values())) < 64
     each, classes, trees = op._prepared(docs(spark, rows), 5, 80, 100, op.SKETCH_SLOTS)
     assert max(x["count"] for x in components(trees).groupBy("component").count().collect()) <= 4
+
+
+def _moved_texts(df):
+    """Scans of whole texts in the plan whose rows go to an exchange before any join with marks thins them out."""
+    above, found = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        above = [(d, x) for d, x in above if d < depth]
+        if "Scan" in line and "text#" in line:
+            nearest = next((x for _, x in reversed(above) if "Exchange" in x or "BroadcastHashJoin" in x), "")
+            found += [line] * ("Exchange" in nearest)
+        above.append((depth, line))
+    return found
+
+
+def test_texts_stay_where_they_are_when_one_of_each_is_kept(spark):
+    texts = [prose(40, i) for i in range(60)] + [prose(40, i) + " more" for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[5]), (None, texts[6])]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for given in (rows, rows[:80]):  # with and without a repeated id
+            kept = op.one_of_each(docs(spark, given, extra=True), 3, 90, 100)
+            assert not _moved_texts(kept)
+            assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == list(range(60))
+            assert kept.where("doc_id is null").count() == (len(given) > 80)
+            assert kept.columns == docs(spark, [], extra=True).columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("slots", [64, 1 << 24])
+def test_rows_are_parted_exactly_whatever_slots_they_share(spark, monkeypatch, slots):
+    monkeypatch.setattr(op, "_SLOTS", slots)
+    rows = docs(spark, [(i, f"text {i}") for i in range(-200, 300)] + [(None, "none"), (3, "again")], extra=True)
+    ids = spark.range(-201, 400, 3).select(F.col("id").alias("doc_id"))
+    gone = set(range(-201, 400, 3))
+    parted = [sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in f(rows, ids).collect())
+              for f in (op._without, op._within)]
+    every = sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in rows.collect())
+    assert parted == [[r for r in every if r[1] not in gone], [r for r in every if r[1] in gone]]

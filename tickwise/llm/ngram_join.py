@@ -222,14 +222,19 @@ def _signature_table(docs: DataFrame, width: int, num: int, den: int, levels: np
     return map_rows(docs.select("doc_id", "text"), run, fields)
 
 
-def _slot(c: str | Column) -> Column:
-    return F.pmod(F.xxhash64(c), F.lit(_SLOTS))
+def _slot(c: str | Column, *salt: Column) -> Column:
+    return F.pmod(F.xxhash64(c, *salt), F.lit(_SLOTS))
+
+
+def _marks(slots: DataFrame) -> DataFrame:
+    """The column ``s`` of slots as words (w, m) of a bit map of _SLOTS bits: at most _SLOTS / 64 rows."""
+    return slots.groupBy(F.shiftright("s", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("m"))
 
 
 def _bit_map(slots: DataFrame) -> np.ndarray:
     """The column ``s`` of slots as a bit map of _SLOTS bits; its size does not depend on the rows."""
-    marks = slots.groupBy(F.shiftright("s", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("m")).toArrow()
+    marks = _marks(slots).toArrow()
     words = np.zeros(_SLOTS // 64, np.int64)
     words[marks.column("w").to_numpy()] = marks.column("m").to_numpy()
     return words
@@ -578,17 +583,44 @@ def similarity_join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0)) - F.coalesce("itself", F.lit(0))).alias("n_links"))
 
 
+def _met(rows: DataFrame, ids: DataFrame, how: str = "left_semi", salt: int = 0) -> DataFrame:
+    """The rows whose doc_id shares a slot with one of ``ids``, or, by ``left_anti``, the others.
+
+    The marks that tell it are of fixed size, so they are broadcast and no row of ``rows`` moves.
+    """
+    marks = F.broadcast(_marks(ids.select(_slot("doc_id", F.lit(salt)).alias("s"))))
+    slot = _slot(rows["doc_id"], F.lit(salt))
+    bit = F.call_function("shiftright", marks["m"], F.pmod(slot, F.lit(64)).cast("int")).bitwiseAND(1)
+    return rows.join(marks, (F.shiftright(slot, 6) == marks["w"]) & (bit == 1), how)
+
+
+def _within(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is one of ``ids``. Only they move, and what shares a slot with them."""
+    return _met(docs, ids).join(ids, "doc_id", "left_semi").select(*docs.columns)
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is none of ``ids``, those without one included; hardly a text moves.
+
+    Rows in no slot of ``ids`` stay as they are. Of the others those to be kept are found by their ids alone, and
+    mark slots by another hash: who is in none of these is one of ``ids``. The join decides the few in both.
+    """
+    spared = _met(docs.select("doc_id"), ids).join(ids, "doc_id", "left_anti")
+    unsure = _met(_met(docs, ids), spared, salt=1)
+    return _met(docs, ids, "left_anti").unionByName(unsure.join(ids, "doc_id", "left_anti").select(*docs.columns))
+
+
 def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One document of each group of linked ones, that with the smallest id; columns as they are.
 
     Rows with a null id are linked with nothing and stay; of rows that share an id one stays.
     """
     found = written(similarity_classes(docs, width, num, den).where(F.col("doc_id").isNotNull()), "ngram-groups")
-    told = found.groupBy("doc_id").agg(F.min("component_id").alias("keeper"), F.count("*").alias("rows"))
-    dropped = told.where(F.col("doc_id") != F.col("keeper")).select("doc_id")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    twice = told.where("rows > 1").select("doc_id")
+    told = found.groupBy("doc_id").agg(F.min("component_id").alias("keeper"), F.count("*").alias("rows")).where(
+        "doc_id <> keeper or rows > 1")
+    told = written(told, "ngram-told")
+    single = _without(docs, told.select("doc_id"))
+    twice = told.where("doc_id = keeper").select("doc_id")
     if twice.isEmpty():
-        return kept
-    single = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    return single.unionByName(kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+        return single
+    return single.unionByName(_within(docs, twice).dropDuplicates(["doc_id"]))
