@@ -47,6 +47,18 @@ def test_word_memory_is_bounded_and_keeps_frequent_words(monkeypatch):
     assert "x" * 5000 not in words
 
 
+def test_a_part_is_tokenized_once_whatever_stands_around_it(monkeypatch):
+    made, ids = [], op._Parts.ids
+    monkeypatch.setattr(op._Parts, "ids", lambda self, part: made.append(part) or ids(self, part))
+    words_made, word_ids = [], op._Words.ids
+    monkeypatch.setattr(op._Words, "ids", lambda self, word: words_made.append(word) or word_ids(self, word))
+    encode = op.byte_bpe()()
+    for t in ["so many words", "so, many. words!", "so many,\nwords.\nso", "many  words, words.", "so many words" * 2]:
+        assert np.frombuffer(encode(t), "<u2").tolist() == reference(t), t
+    # Words with other marks behind them are no words of their own.
+    assert len(made) == len(set(made)) and made.count(" words") == 1 and not words_made
+
+
 def test_added_tokens_have_their_ids():
     from tokenizers import Tokenizer
 

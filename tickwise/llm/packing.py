@@ -26,7 +26,7 @@ from tickwise.llm.common import map_rows, written
 
 WINDOW = 2048
 END_ID = 1
-#: Words remembered by a tokenizing task, in each of two halves; longer words than WORD_LONGEST never are.
+#: Parts, and words, remembered by a tokenizing task, in each of two halves; longer ones than WORD_LONGEST never are.
 WORD_MEMORY = 131_072
 WORD_LONGEST = 64
 _LATIN = [chr(c) for c in range(0x250)]
@@ -82,23 +82,18 @@ class _Parts(_Memory):
     def __init__(self, bpe):
         super().__init__()
         self.model, self.letters = bpe.model, dict(enumerate(_byte_letters()))
-        self.words: _Memory = _Memory()
 
     def ids(self, part: str) -> bytes:
-        # A space and plain letters are one part and one word: who met it first tells the other.
-        if part[:1] == " " and part[1:].isalpha() and part.isascii() and (found := self.words.known(part[1:])):
-            return found
         spelled = part.encode().decode("latin-1").translate(self.letters)
         return array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
 
 class _Words(_Memory):
-    """Ids of a space and the word behind it, by word."""
+    """Ids of a space and the word behind it, by word; for texts with words that go to the tokenizer whole."""
 
     def __init__(self, bpe, parts: _Parts):
         super().__init__()
         self.bpe, self.parts = bpe, parts
-        parts.words = self
 
     def ids(self, word: str) -> bytes:
         text = " " + word
@@ -112,10 +107,11 @@ class _Words(_Memory):
 def byte_bpe(path: str | None = None) -> Callable[[], Callable[[str], bytes]]:
     """Factory of a function from a text to its ids as little-endian unsigned 16-bit bytes.
 
-    ``path``: the tokenizer file; by default the public 50k byte-level vocabulary, whose ids fit 16 bits. A
-    word's ids depend on the word and the single space before it alone, so each distinct word is tokenized
-    once and then looked up. Texts in which white space meets white space are tokenized whole, and so are those
-    that hold the content of one of the file's added tokens.
+    ``path``: the tokenizer file; by default the public 50k byte-level vocabulary, whose ids fit 16 bits. A part's
+    ids depend on the part alone, so a text is cut into parts in one pass, and each distinct part is tokenized once
+    and then looked up. In a text with characters the splitting rule is not written out for, the same holds for a
+    word and the single space before it; where white space meets white space there, the tokenizer gets the whole
+    text, as it does where a text holds the content of one of the file's added tokens.
     """
 
     def build():
@@ -135,10 +131,11 @@ def byte_bpe(path: str | None = None) -> Callable[[], Callable[[str], bytes]]:
             return b"".join(map(parts.__getitem__, _SPLIT.findall(text)))
 
         def run(text: str) -> bytes:
-            if any(content in text for content in added):
+            beyond = not text.isascii() and _BEYOND.search(text)
+            if any(content in text for content in added) or beyond and _GAPS.search(text):
                 return array("H", bpe.encode(text, add_special_tokens=False).ids).tobytes()
-            if _GAPS.search(text):
-                return whole(text)
+            if not beyond:
+                return b"".join(map(parts.__getitem__, _SPLIT.findall(text)))
             first, *rest = text.split(" ")
             return whole(first) + b"".join(map(words.__getitem__, rest))
 
