@@ -59,6 +59,55 @@ def test_a_part_is_tokenized_once_whatever_stands_around_it(monkeypatch):
     assert len(made) == len(set(made)) and made.count(" words") == 1 and not words_made
 
 
+def test_new_parts_of_many_texts_are_merged_together(monkeypatch):
+    from tokenizers import Tokenizer
+
+    untouched = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(7)
+    letters = list("aaabbeinost'., \n1é")
+    texts = TEXTS + [t or "" for _, t in AWKWARD] + [prose(500, 1), "aaaaaaa aaaa aaa", "x" * 64 + " " + "x" * 65,
+                     "".join(chr(c) + " " + chr(c) + "x1 " for c in range(0x250))]
+    texts += ["".join(rng.choice(letters, 400)) for _ in range(50)]
+    expected = [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+    for memory in (op.WORD_MEMORY, 300, 3):
+        monkeypatch.setattr(op, "WORD_MEMORY", memory)
+        encode = op.byte_bpe()()
+        for start, step in ((0, len(texts)), (0, 7), (3, 1)):
+            for i in range(start, len(texts), step):
+                got = [np.frombuffer(b, "<u2").tolist() for b in encode.many(texts[i:i + step])]
+                assert got == expected[i:i + step]
+    monkeypatch.setattr(op._Parts, "ids", lambda self, part: pytest.fail(f"{part!r} tokenized on its own"))
+    encode = op.byte_bpe()()
+    assert encode.many(["so many words", "", "so, many. words!"]) == [encode("so many words"), b"", encode("so, many. words!")]
+    assert encode.many([]) == []
+
+
+def test_merges_out_of_order_are_left_to_the_tokenizer(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["model"]["merges"].reverse()
+    path = tmp_path / "reversed.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    encode, untouched = op.byte_bpe(str(path))(), Tokenizer.from_file(str(path))
+    texts = ["a b  c\n\n d", prose(300, 2)]
+    assert encode.merges is None
+    assert [np.frombuffer(b, "<u2").tolist() for b in encode.many(texts)] == [
+        untouched.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_blocks_are_bounded(monkeypatch):
+    monkeypatch.setattr(op, "BLOCK", 10)
+    monkeypatch.setattr(op, "BLOCK_TEXTS", 3)
+    rows = [(i, t) for i, t in enumerate(["a" * 6, "b" * 6, "c" * 50, None, "d", "e", "f"])]
+    blocks = [*op._blocks(iter(rows))]
+    assert [[i for i, _ in b] for b in blocks] == [[0], [1], [2], [3, 4, 5], [6]]
+    assert [r for b in blocks for r in b] == [(i, t or "") for i, t in rows]
+
+
 def test_added_tokens_have_their_ids():
     from tokenizers import Tokenizer
 

@@ -12,10 +12,12 @@ null ids are kept; a text of any length is cut into as many pieces as it needs;
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +31,16 @@ END_ID = 1
 #: Parts, and words, remembered by a tokenizing task, in each of two halves; longer ones than WORD_LONGEST never are.
 WORD_MEMORY = 131_072
 WORD_LONGEST = 64
+#: Characters, and texts, whose new parts are merged together.
+BLOCK, BLOCK_TEXTS = 1 << 18, 512
+_NEVER = np.int32((1 << 31) - 1)
 _LATIN = [chr(c) for c in range(0x250)]
 _L = "".join(re.escape(c) for c in _LATIN if c.isalpha())
 _N = "".join(re.escape(c) for c in _LATIN if c.isnumeric() and not c.isalpha())
 _S = "".join(re.escape(c) for c in _LATIN if c.isspace() and not "\x1c" <= c <= "\x1f")
 # Fixed value: the vocabulary's published splitting rule, with its letter, number and space classes written
 # out for the characters below U+0250. Words with any other character go to the tokenizer whole.
-_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_SPLIT = re.compile(rf" [{_L}]+|[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 _BEYOND = re.compile("[^\u0000-ɏ]")
 _GAPS = re.compile(r"\s\s")
 
@@ -70,11 +75,20 @@ class _Memory(dict):
             if len(word) > WORD_LONGEST:
                 return found
         if len(self) >= WORD_MEMORY:
-            self.older = dict(self)
-            self.clear()
+            self._age()
         self[word] = found
         return found
 
+    def _age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+    def remember(self, found: dict[str, bytes]) -> None:
+        """Keep a block's words; a half holds one block's at least."""
+        if len(self) + len(found) > WORD_MEMORY:
+            self._age()
+        self.update(found)
+
 
 class _Parts(_Memory):
     """Ids of the splitting rule's parts."""
@@ -88,6 +102,85 @@ class _Parts(_Memory):
         return array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
 
+class _Merges:
+    """Ids of many of the splitting rule's parts at once: in every round each part has its lowest merge made.
+
+    A merge stands behind those that make its two sides, so what it makes has no lower one, and all places of a
+    part's lowest merge, taken from the left, are the next ones that the tokenizer would come to.
+    """
+
+    def __init__(self, vocabulary: dict[str, int], pairs: list[tuple[str, str]]):
+        left, right, self.made = (np.array([vocabulary[t] for t in column], np.uint32) for column in
+                                  ([a for a, _ in pairs], [b for _, b in pairs], [a + b for a, b in pairs]))
+        key = left << 16 | right
+        order = np.argsort(key)
+        self.keys, self.rank = np.append(key[order], np.uint32(0xFFFFFFFF)), np.append(order.astype(np.int32), _NEVER)
+        self.letter = np.array([vocabulary[c] for c in _byte_letters()], np.uint32)
+        self.first = self._ranks(np.repeat(self.letter, 256), np.tile(self.letter, 256))  # by two bytes
+        # The rank that makes a token; letters are there from the start.
+        making = np.full(1 << 16, -1, np.int32)
+        making[self.made] = rank = np.arange(len(pairs), dtype=np.int32)
+        self.in_order = bool((making[self.made] == rank).all() and (making[left] < rank).all()
+                             and (making[right] < rank).all() and (making[self.letter] < 0).all())
+
+    @classmethod
+    @lru_cache(maxsize=1)  # some MB a worker
+    def of(cls, path: str) -> _Merges | None:
+        """None for a file whose merges are not of this kind; its parts are left to the tokenizer."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        if model["type"] != "BPE" or any(model.get(k) for k in (
+                "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback",
+                "ignore_merges")):
+            return None
+        vocabulary, pairs = model["vocab"], [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
+        if not pairs or max(vocabulary.values()) >= 0xFFFF or not all(c in vocabulary for c in _byte_letters()):
+            return None
+        merges = cls(vocabulary, pairs)
+        return merges if merges.in_order else None
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 16 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.rank[at], _NEVER)
+
+    def ids(self, parts: list[str]) -> list[bytes]:
+        raw, out = [p.encode() for p in parts], [b""] * len(parts)
+        size = np.fromiter(map(len, raw), np.int32, len(raw))
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        number = np.arange(len(raw), dtype=np.int32)
+        # One more symbol stands behind the last part. A symbol's rank is that of its merge with the next one.
+        owner, symbol = np.append(np.repeat(number, size), np.int32(len(raw))), np.append(self.letter[data], np.uint32(0))
+        rank = np.append(self.first[data[:-1].astype(np.uint16) << 8 | data[1:]], [_NEVER, _NEVER])
+        rank[np.cumsum(size) - 1] = _NEVER
+        while len(number):
+            least = np.minimum.reduceat(rank, np.cumsum(size) - size)
+            done = least == _NEVER
+            if 4 * np.count_nonzero(done) >= len(done):
+                held = np.append(done, False)[owner]
+                flat, ends = symbol[held].astype("<u2").tobytes(), 2 * np.cumsum(size[done])
+                for k, start, end in zip(number[done].tolist(), (ends - 2 * size[done]).tolist(), ends.tolist()):
+                    out[k] = flat[start:end]
+                symbol, rank = symbol[~held], rank[~held]
+                number, size, least, done = number[~done], size[~done], least[~done], done[~done]
+                owner = np.append(np.repeat(np.arange(len(number), dtype=np.int32), size), np.int32(len(number)))
+            at = np.flatnonzero(rank == np.append(np.where(done, np.int32(-1), least), np.int32(-1))[owner])
+            if (np.diff(at) == 1).any():  # a run of one symbol: every other place
+                run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+                at = at[(np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0]
+            symbol[at] = self.made[rank[at]]
+            size -= np.bincount(owner[at], minlength=len(size)).astype(np.int32)
+            kept = np.ones(len(symbol), bool)
+            kept[at + 1] = False
+            symbol, rank, owner = symbol[kept], rank[kept], owner[kept]
+            at -= np.arange(len(at))
+            for places in (at, at - 1):
+                same = owner[places] == owner[places + 1]
+                rank[places] = np.where(same, self._ranks(symbol[places], symbol[places + 1]), _NEVER)
+        return out
+
+
 class _Words(_Memory):
     """Ids of a space and the word behind it, by word; for texts with words that go to the tokenizer whole."""
 
@@ -104,46 +197,102 @@ class _Words(_Memory):
         return b"".join(map(self.parts.__getitem__, _SPLIT.findall(text)))
 
 
+class _Encoder:
+    """A text's ids as little-endian unsigned 16-bit bytes."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.bpe = Tokenizer.from_file(path)
+        # An added token is one id wherever its content stands, so texts that hold one go to the tokenizer whole.
+        self.added = [t.content for t in self.bpe.get_added_tokens_decoder().values()]
+        self.parts, self.merges = _Parts(self.bpe), _Merges.of(path)
+        self.words = _Words(self.bpe, self.parts)
+
+    def _whole(self, text: str) -> bytes:
+        if _BEYOND.search(text):
+            return array("H", self.bpe.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.parts.__getitem__, _SPLIT.findall(text)))
+
+    def _is_plain(self, text: str) -> bool:
+        """Whether the splitting rule is written out for all characters, and no added token may lie in the text."""
+        return (text.isascii() or not _BEYOND.search(text)) and not any(content in text for content in self.added)
+
+    def __call__(self, text: str) -> bytes:
+        if self._is_plain(text):
+            return b"".join(map(self.parts.__getitem__, _SPLIT.findall(text)))
+        if any(content in text for content in self.added) or _GAPS.search(text):
+            return array("H", self.bpe.encode(text, add_special_tokens=False).ids).tobytes()
+        first, *rest = text.split(" ")
+        return self._whole(first) + b"".join(map(self.words.__getitem__, rest))
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each; parts that are new are merged together."""
+        if self.merges is None:
+            return [*map(self, texts)]
+        out, open_texts, get = [], [], self.parts.get
+        for text in texts:
+            if not self._is_plain(text):
+                out.append(self(text))
+                continue
+            parts = _SPLIT.findall(text)
+            found = [*map(get, parts)]
+            at = [i for i, ids in enumerate(found) if ids is None]
+            if at:
+                open_texts.append((len(out), found, at, [parts[i] for i in at]))
+            out.append(b"" if at else b"".join(found))
+        made = self._made({part for _, _, _, missing in open_texts for part in missing})
+        for place, found, at, missing in open_texts:
+            for i, part in zip(at, missing):
+                found[i] = made[part]
+            out[place] = b"".join(found)
+        return out
+
+    def _made(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids by part, of parts that the memory's newer half lacks."""
+        older = self.parts.older
+        made = {part: older[part] for part in parts if part in older}
+        new = [part for part in parts if part not in made and len(part) <= WORD_LONGEST]
+        made.update(zip(new, self.merges.ids(new)))
+        self.parts.remember(made)
+        for part in parts.difference(made):
+            made[part] = self.parts.ids(part)
+        return made
+
+
 def byte_bpe(path: str | None = None) -> Callable[[], Callable[[str], bytes]]:
     """Factory of a function from a text to its ids as little-endian unsigned 16-bit bytes.
 
     ``path``: the tokenizer file; by default the public 50k byte-level vocabulary, whose ids fit 16 bits. A part's
     ids depend on the part alone, so a text is cut into parts in one pass, and each distinct part is tokenized once
-    and then looked up. In a text with characters the splitting rule is not written out for, the same holds for a
-    word and the single space before it; where white space meets white space there, the tokenizer gets the whole
-    text, as it does where a text holds the content of one of the file's added tokens.
+    and then looked up; the function's ``many`` takes a list of texts and merges the parts that are new to it
+    together, by the file's merges. In a text with characters the splitting rule is not written out for, the same
+    holds for a word and the single space before it; where white space meets white space there, the tokenizer gets
+    the whole text, as it does where a text holds the content of one of the file's added tokens.
     """
 
     def build():
-        from tokenizers import Tokenizer
-
         if path is None:
             import public_tokenizers
-        bpe = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-        # An added token is one id wherever its content stands, so texts that hold one go to the tokenizer whole.
-        added = [t.content for t in bpe.get_added_tokens_decoder().values()]
-        parts = _Parts(bpe)
-        words = _Words(bpe, parts)
-
-        def whole(text: str) -> bytes:
-            if _BEYOND.search(text):
-                return array("H", bpe.encode(text, add_special_tokens=False).ids).tobytes()
-            return b"".join(map(parts.__getitem__, _SPLIT.findall(text)))
-
-        def run(text: str) -> bytes:
-            beyond = not text.isascii() and _BEYOND.search(text)
-            if any(content in text for content in added) or beyond and _GAPS.search(text):
-                return array("H", bpe.encode(text, add_special_tokens=False).ids).tobytes()
-            if not beyond:
-                return b"".join(map(parts.__getitem__, _SPLIT.findall(text)))
-            first, *rest = text.split(" ")
-            return whole(first) + b"".join(map(words.__getitem__, rest))
-
-        return run
+        return _Encoder(path or public_tokenizers.path("byte_bpe_50k.json"))
 
     return build
 
 
+def _blocks(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Rows of (id, text), few enough for their texts to have BLOCK characters or to be one text."""
+    block, size = [], 0
+    for doc_id, text in rows:
+        text = text or ""
+        if block and (size + len(text) > BLOCK or len(block) >= BLOCK_TEXTS):
+            yield block
+            block, size = [], 0
+        block.append((doc_id, text))
+        size += len(text)
+    if block:
+        yield block
+
+
 def tokenized(docs: DataFrame, encoder=None, end_id: int = END_ID) -> DataFrame:
     """One row per document: part, local (tokens before it in its partition), n_tokens, doc_id, ids."""
     build = encoder or byte_bpe()
@@ -155,12 +304,14 @@ def tokenized(docs: DataFrame, encoder=None, end_id: int = END_ID) -> DataFrame:
         from pyspark import TaskContext
 
         encode, part, local = build(), TaskContext.get().partitionId(), 0
+        many = getattr(encode, "many", None) or (lambda texts: map(encode, texts))
         end = np.array([end_id], "<u2").tobytes()
-        for doc_id, text in rows:
-            ids = encode(text or "") + end
-            n = len(ids) // 2
-            yield part, local, n, doc_id, ids
-            local += n
+        for block in _blocks(rows):
+            for (doc_id, _), ids in zip(block, many([text for _, text in block])):
+                ids += end
+                n = len(ids) // 2
+                yield part, local, n, doc_id, ids
+                local += n
 
     fields = [("part", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("doc_id", pa.int64()),
               ("ids", pa.binary())]
