@@ -82,6 +82,47 @@ def test_new_parts_of_many_texts_are_merged_together(monkeypatch):
     assert encode.many([]) == []
 
 
+def test_joined_texts_are_cut_like_single_ones():
+    rng = np.random.default_rng(11)
+    letters = list("ase rvl1é²'!\n \x85\xa0\x1c\t'ɏ")
+    texts = [t for t in TEXTS if not op._BEYOND.search(t)] + [
+        "", "", "'s", "x'll've", "''s 's", " \xa0'd", "a\x85", "\xa0 ", "x" + "".join(map(chr, range(0x250)))]
+    texts += ["".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(3000)]
+    parts = [part for t in texts for part in [*op._SPLIT.findall(t), op._EDGE]]
+    data = "".join(t + op._EDGE for t in texts).encode()
+    size = [len(part.encode()) for part in parts]
+    assert op._starts(data).tolist() == (np.cumsum(size) - size).tolist()
+
+
+def test_parts_of_many_texts_are_looked_up_together(monkeypatch):
+    class NoSplit:
+        def findall(self, text):
+            pytest.fail(f"{text!r} cut on its own")
+
+    from tokenizers import Tokenizer
+
+    untouched = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [prose(300, k) for k in range(4)] + ["", "often, often", "x" * 65 + " often"]
+    expected = [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(op, "_SPLIT", NoSplit())
+    monkeypatch.setattr(op, "WORD_MEMORY", 50)
+    encode, made, ids = op.byte_bpe()(), [], op._Merges.ids
+    monkeypatch.setattr(op._Merges, "ids", lambda self, parts: made.extend(parts.to_pylist()) or ids(self, parts))
+    assert [np.frombuffer(b, "<u2").tolist() for b in encode.many(texts)] == expected
+    assert len(made) == len(set(made)) and "x" * 65 not in made + encode.table.parts.to_pylist()
+    made.clear()
+    for i in range(300):
+        text = "often, " + "".join(chr(97 + int(d)) for d in str(i))
+        got = encode.many([text])
+        assert np.frombuffer(got[0], "<u2").tolist() == untouched.encode(text, add_special_tokens=False).ids
+        assert i < 100 or len(encode.table.parts) <= 1 + 2 * 50
+    assert "often" not in made and "," not in made  # frequent ones stay, in a memory of two halves
+    monkeypatch.setattr(op, "BLOCK", 80)  # a large text's parts beyond a bound are not remembered
+    encode = op.byte_bpe()()
+    assert np.frombuffer(encode.many([texts[0]])[0], "<u2").tolist() == expected[0]
+    assert len(encode.table.parts) == 1 + 80 // 8
+
+
 def test_merges_out_of_order_are_left_to_the_tokenizer(tmp_path):
     import json
 
